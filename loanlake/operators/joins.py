@@ -22,19 +22,26 @@ HOT_KEYS = 10_000
 TRACKED_KEYS = 50_000
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate, or None where the session does not offer one."""
+def input_bytes(df: DataFrame) -> int | None:
+    """Size of what the plan scans, or None where the session cannot tell.
+
+    Taken from the leaves, as asking for the size of the whole plan would run
+    the optimizer once more for every join.
+    """
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+        sizes = [leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())]
     except AttributeError:
         return None
+    return sum(int(str(size)) for size in sizes)
+
 
+def _match(on: Sequence[str], null_safe: bool) -> Column:
+    def same(key: str) -> Column:
+        left, right = F.col(f"left.{key}"), F.col(f"right.{key}")
+        return left.eqNullSafe(right) if null_safe else left == right
 
-def _match(left: Sequence[str], right: Sequence[str], null_safe: bool) -> Column:
-    pairs = zip(left, right, strict=True)
-    if null_safe:
-        return reduce(and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs])
-    return reduce(and_, [F.col(a) == F.col(b) for a, b in pairs])
+    return reduce(and_, [same(k) for k in on])
 
 
 def _any_null(columns: Sequence[str]) -> Column:
@@ -97,23 +104,20 @@ def spread_join(
         # Keys are also compared by hash, which depends on the type.
         if left.schema[k].dataType != right.schema[k].dataType:
             raise TypeError(f"join key {k} has different types on the two sides")
-    right_keys = [f"_right_{i}" for i in range(len(on))]
-    payload = [c for c in right.columns if c not in on]
-    right = right.select(
-        *[F.col(k).alias(r) for k, r in zip(on, right_keys, strict=True)], *payload
-    )
-    condition = _match(on, right_keys, null_safe)
-    output = [*left.columns, *payload]
+    condition = _match(on, null_safe)
+    output = [F.col(f"left.{c}") for c in left.columns] + [
+        F.col(f"right.{c}") for c in right.columns if c not in on
+    ]
 
-    size = estimated_bytes(left)
+    size = input_bytes(left)
     if size is not None and size <= small_bytes:
-        return left.join(right, condition, how).select(*output)
+        return left.alias("left").join(right.alias("right"), condition, how).select(*output)
 
     if how == "inner" and not null_safe:
         left = left.where(~_any_null(on))
     hot, keyless_pieces = hot_keys(left, on, null_safe, rows_per_task)
     if not hot and keyless_pieces == 1:
-        return left.join(right, condition, how).select(*output)
+        return left.alias("left").join(right.alias("right"), condition, how).select(*output)
 
     # At most HOT_KEYS rows of two numbers.
     pieces = F.broadcast(
@@ -129,17 +133,14 @@ def spread_join(
         .withColumn("_piece", piece)
     )
     repeated = (
-        right.withColumn("_hash", F.xxhash64(*right_keys))
+        right.withColumn("_hash", F.xxhash64(*on))
         .join(pieces, "_hash", "left")
         .withColumn(
-            "_right_piece",
-            F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)),
+            "_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))
         )
-        .drop("_hash", "_pieces")
     )
-    return dealt.join(
-        repeated, condition & (F.col("_piece") == F.col("_right_piece")), how
-    ).select(*output)
+    condition &= F.col("left._piece") == F.col("right._piece")
+    return dealt.alias("left").join(repeated.alias("right"), condition, how).select(*output)
 
 
 def without_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

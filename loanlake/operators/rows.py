@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -31,20 +33,22 @@ def drop_missing(
 ) -> DataFrame:
     """Rows with all the given columns set.
 
+    One predicate per column and not ``na.drop``: its single predicate over all
+    columns is neither pushed to a scan nor handled well by constraint inference,
+    which doubles its copies with every column that is renamed or converted.
+
     ``dropped`` collects the number of rows removed while the plan runs, which
     saves a counting pass but keeps the filter above the observation.
     """
     if dropped is not None:
-        missing = F.lit(False)
-        for c in columns:
-            missing = missing | F.col(c).isNull()
+        missing = reduce(or_, [F.col(c).isNull() for c in columns])
         df = df.observe(dropped, F.count_if(missing).alias("dropped"))
-    return df.na.drop(subset=list(columns))
+    return df.where(reduce(and_, [F.col(c).isNotNull() for c in columns]))
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
     """Rows without any missing value."""
-    return df.na.drop("any")
+    return drop_missing(df, [f"`{c}`" for c in df.columns])
 
 
 def repayment_key(df: DataFrame) -> str:

@@ -116,9 +116,9 @@ def _fact_joined(x: Lending, **options) -> DataFrame:
 
 
 def _legacy_fact_joined(x: Lending) -> DataFrame:
-    apps = x.legacy_applications
+    applicants = legacy.legacy_applicants(x.legacy_applications)
     return legacy.legacy_loan_fact(
-        legacy.with_applicant(apps, legacy.legacy_applicants(apps), **ALWAYS_SPREAD)
+        legacy.with_applicant(x.legacy_applications, applicants, **ALWAYS_SPREAD)
     )
 
 
