@@ -30,10 +30,11 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        made = tempfile.mkdtemp(prefix="loanlake-")
-        spark.conf.set("spark.checkpoint.dir", made)
-        return made
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None and context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="loanlake-"))
+    if context.getCheckpointDir() is not None:
+        return context.getCheckpointDir()
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
