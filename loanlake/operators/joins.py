@@ -10,6 +10,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanlake.session import stage
+
 # A key below this many rows is no burden to one task.
 ROWS_PER_TASK = 2_000_000
 # Left sides below this size are joined as they are: even one key holding all
@@ -36,6 +38,16 @@ def input_bytes(df: DataFrame) -> int | None:
     return sum(int(str(size)) for size in sizes)
 
 
+def is_small(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
+    size = input_bytes(df)
+    return size is not None and size <= limit
+
+
+def stage_if_large(df: DataFrame, name: str, limit: int = SMALL_BYTES) -> DataFrame:
+    """Write a large intermediate result once where several plans read it."""
+    return df if is_small(df, limit) else stage(df, name)
+
+
 def _match(on: Sequence[str], null_safe: bool) -> Column:
     def same(key: str) -> Column:
         left, right = F.col(f"left.{key}"), F.col(f"right.{key}")
@@ -84,6 +96,7 @@ def spread_join(
     how: str = "left",
     *,
     null_safe: bool = False,
+    sizes_from: DataFrame | None = None,
     small_bytes: int = SMALL_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
@@ -95,6 +108,11 @@ def spread_join(
     exact copies are dealt apart as well. Rows without a key match nothing; a
     left join deals them out too. ``null_safe`` lets NULL match NULL.
 
+    Finding the hot keys reads the key columns once more. Where ``left`` is
+    costly to compute, pass a frame with at least its key counts, such as the
+    table it comes from, as ``sizes_from``. The keys found only decide how rows
+    are dealt, never which rows match.
+
     The result has the left columns and then the right ones that are not keys.
     """
     if how not in ("left", "inner"):
@@ -109,13 +127,13 @@ def spread_join(
         F.col(f"right.{c}") for c in right.columns if c not in on
     ]
 
-    size = input_bytes(left)
-    if size is not None and size <= small_bytes:
+    if is_small(left, small_bytes):
         return left.alias("left").join(right.alias("right"), condition, how).select(*output)
 
     if how == "inner" and not null_safe:
         left = left.where(~_any_null(on))
-    hot, keyless_pieces = hot_keys(left, on, null_safe, rows_per_task)
+    counted = left if sizes_from is None else sizes_from
+    hot, keyless_pieces = hot_keys(counted, on, null_safe, rows_per_task)
     if not hot and keyless_pieces == 1:
         return left.alias("left").join(right.alias("right"), condition, how).select(*output)
 

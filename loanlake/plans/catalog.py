@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loanlake.functions.ids import ID_LENGTH
 from loanlake.operators import clean, quality
+from loanlake.operators.joins import stage_if_large
 from loanlake.plans import gate, legacy, mart, reports, star
 from loanlake.plans.pipeline import star_tables
 from loanlake.session import shared_dir, stage
@@ -27,7 +28,8 @@ class Lending:
     """Lazy plans of the cleaned sources and the star over one data folder.
 
     The dimensions and the reports on them remove duplicates on their own few
-    columns, so they read the applications without the full-row distinct.
+    columns, so they read the applications without the full-row distinct. Large
+    cleaned sources are staged, as joins read them once to find hot keys.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -44,7 +46,8 @@ class Lending:
 
     @cached_property
     def applications(self) -> DataFrame:
-        return clean.clean_applications(self.raw["loan_applications"])
+        cleaned = clean.clean_applications(self.raw["loan_applications"])
+        return stage_if_large(cleaned, "applications")
 
     @cached_property
     def application_rows(self) -> DataFrame:
@@ -53,11 +56,12 @@ class Lending:
     @cached_property
     def repayments(self) -> DataFrame:
         as_of = F.lit(AS_OF).cast("timestamp_ntz")
-        return clean.clean_repayments(self.raw["loan_repayments"], as_of=as_of)
+        cleaned = clean.clean_repayments(self.raw["loan_repayments"], as_of=as_of)
+        return stage_if_large(cleaned, "repayments")
 
     @cached_property
     def credit(self) -> DataFrame:
-        return clean.clean_credit(self.raw["credit_bureau"])
+        return stage_if_large(clean.clean_credit(self.raw["credit_bureau"]), "credit")
 
     @cached_property
     def applicants(self) -> DataFrame:
@@ -294,7 +298,7 @@ QUERIES: dict[str, Callable[[Lending], DataFrame]] = {
     "dq_between": lambda x: gate.loan_suite(x.fact),
     "dq_orphans": _orphans,
     "dq_staging_suite": lambda x: gate.staging_suite(x.staged),
-    "dq_mart_suite": lambda x: gate.mart_suite(x.performance()),
+    "dq_mart_suite": lambda x: gate.mart_suite(stage_if_large(x.performance(), "mart")),
     "dq_documented_suite": _suite_documented,
     "pipeline_row_counts": _row_counts,
     "legacy_clean_applications": lambda x: x.legacy_applications,

@@ -67,7 +67,8 @@ def loan_performance(
 
     summary = summarise_repayments(repayments).withColumnRenamed("has_defaulted", "_defaulted")
     joined = spread_join(staged_loans, summary, "application_id", **join_options)
-    joined = spread_join(joined, profile, key, **join_options)
+    # The first join keeps the loans as they are, so they tell the key counts.
+    joined = spread_join(joined, profile, key, sizes_from=staged_loans, **join_options)
     amount = F.col("loan_amount_requested_usd")
     paid = or_zero(F.col("total_amount_paid_usd"))
     overdue = F.col("delinquent_payment_count")

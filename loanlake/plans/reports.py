@@ -57,9 +57,10 @@ def default_by_band(
     loans = fact_loans.groupBy("applicant_id", "application_id").agg(
         F.count("*").alias("_loan_rows")
     )
-    loans = spread_join(loans, paid_loans, "application_id", "inner", **join_options)
+    options = {"how": "inner", "sizes_from": fact_loans, **join_options}
+    loans = spread_join(loans, paid_loans, "application_id", **options)
     return (
-        spread_join(loans, band_of_id, "applicant_id", "inner", **join_options)
+        spread_join(loans, band_of_id, "applicant_id", **options)
         .groupBy("credit_band")
         .agg(
             F.count_distinct("application_id").alias("total_loans"),
