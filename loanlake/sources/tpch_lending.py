@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanlake.operators.joins import spread_join
+from loanlake.operators.joins import is_small, spread_join
 
 APPLICATIONS = {
     "application_id": "if(k % 97 = 0, null, concat('LN', k))",
@@ -78,6 +78,21 @@ CREDIT = {
     "bureau_pull_date": "if(u % 41 = 0, 'bad-date', '2024-01-10')",
 }
 
+# Stated so that no job has to read a file footer for them.
+TABLE_TYPES = {
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+        " o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_linenumber int, l_quantity double, l_extendedprice double,"
+        " l_returnflag string, l_shipdate timestamp_ntz"
+    ),
+}
+
 # Column names of the older source files.
 LEGACY_NAMES = {
     "applicant_email": "applicant_email_address",
@@ -92,16 +107,24 @@ def header(name: str) -> str:
     return name.replace("_usd", "_(USD)").replace("_", " ").title().replace("Usd", "USD")
 
 
+def use_all_cores(df: DataFrame, key: str) -> DataFrame:
+    """Deal a small table out by key: its one file would be one task's work."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key) if is_small(df) else df
+
+
 def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.selectExpr(*[f"{expr} as `{header(name)}`" for name, expr in columns.items()])
 
 
 def raw_sources(spark: SparkSession, folder: str, *, legacy: bool = False) -> dict[str, DataFrame]:
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    def table(name: str, key: str) -> DataFrame:
+        path = f"{folder.rstrip('/')}/{name}.parquet"
+        return use_all_cores(spark.read.schema(TABLE_TYPES[name]).parquet(path), key)
 
-    customers = table("customer").withColumnRenamed("c_custkey", "u")
-    orders = table("orders").withColumnsRenamed({"o_orderkey": "k", "o_custkey": "u"})
+    customers = table("customer", "c_custkey").withColumnRenamed("c_custkey", "u")
+    orders = table("orders", "o_orderkey").withColumnsRenamed(
+        {"o_orderkey": "k", "o_custkey": "u"}
+    )
     applications = spread_join(orders, customers, "u", "inner").selectExpr(
         "*", "explode(sequence(1, if(k % 50 = 1, 2, 1))) as copy"
     )
@@ -110,6 +133,6 @@ def raw_sources(spark: SparkSession, folder: str, *, legacy: bool = False) -> di
         columns = {LEGACY_NAMES.get(name, name): expr for name, expr in columns.items()}
     return {
         "loan_applications": _project(applications, columns),
-        "loan_repayments": _project(table("lineitem"), REPAYMENTS),
+        "loan_repayments": _project(table("lineitem", "l_orderkey"), REPAYMENTS),
         "credit_bureau": _project(customers, CREDIT),
     }
