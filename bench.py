@@ -43,7 +43,7 @@ def seconds(spark, name: str, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cpus, int(cpus) if cpus.isdigit() else 8)
     spark.sparkContext.setLogLevel("ERROR")
     seconds(spark, HEADLINE[0], folder)

@@ -21,7 +21,11 @@ SMALL_BYTES = 256 * 1024 * 1024
 # driver and what is broadcast. A key it does not return holds less than 1/10,000
 # of the rows and is joined the ordinary way, so the result is always whole.
 HOT_KEYS = 10_000
-TRACKED_KEYS = 50_000
+TRACKED_KEYS = 20_000
+# Sketches of the tasks are merged in this many groups, and those then in one.
+SKETCH_GROUPS = 256
+# A key is never cut finer than this, as its right rows are repeated per piece.
+MAX_PIECES = 20_000
 
 
 def input_bytes(df: DataFrame) -> int | None:
@@ -65,28 +69,39 @@ def hot_keys(
 ) -> tuple[list[tuple[int, int]], int]:
     """(key hash, pieces) of the heavy keys, and the pieces for rows without a key.
 
-    One aggregate over the key columns alone, on mergeable sketches: nothing is
-    shuffled but one sketch per task.
+    One pass over the key columns alone, on mergeable sketches: what is shuffled
+    is one sketch of bounded size per task.
     """
     key = F.xxhash64(*on)
     unmatched = F.lit(False) if null_safe else _any_null(on)
-    found = (
+    sketches = (
         df.select(F.when(~unmatched, key).alias("_key"))
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group"))
         .agg(
-            F.expr(f"approx_top_k(_key, {HOT_KEYS}, {TRACKED_KEYS})").alias("top"),
+            F.expr(f"approx_top_k_accumulate(_key, {TRACKED_KEYS})").alias("sketch"),
             F.count_if(F.col("_key").isNull()).alias("keyless"),
         )
-        .select(
-            F.filter("top", lambda t: t["count"] > rows_per_task).alias("top"), "keyless"
-        )
-        .first()
     )
-    pieces = [
-        (t["item"], ceil(t["count"] / rows_per_task))
-        for t in found["top"]
-        if t["item"] is not None
-    ]
-    return pieces, max(1, ceil(found["keyless"] / rows_per_task))
+    # Grouped by a constant, as merging no sketch at all fails.
+    merged = sketches.groupBy(F.lit(0).alias("_all")).agg(
+        F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"),
+        F.sum("keyless").alias("keyless"),
+    )
+    found = merged.select(
+        F.filter(
+            F.expr(f"approx_top_k_estimate(sketch, {HOT_KEYS})"),
+            lambda t: t["count"] > rows_per_task,
+        ).alias("top"),
+        "keyless",
+    ).first()
+    if found is None:
+        return [], 1
+
+    def pieces(rows: int) -> int:
+        return min(MAX_PIECES, max(1, ceil(rows / rows_per_task)))
+
+    hot = [(t["item"], pieces(t["count"])) for t in found["top"] if t["item"] is not None]
+    return hot, pieces(found["keyless"])
 
 
 def spread_join(

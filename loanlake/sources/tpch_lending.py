@@ -108,8 +108,13 @@ def header(name: str) -> str:
 
 
 def use_all_cores(df: DataFrame, key: str) -> DataFrame:
-    """Deal a small table out by key: its one file would be one task's work."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key) if is_small(df) else df
+    """Deal a small table out by key: its one file would be one task's work.
+
+    A large one is left alone, as its splits already outnumber the cores.
+    """
+    if not is_small(df):
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -117,14 +122,15 @@ def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def raw_sources(spark: SparkSession, folder: str, *, legacy: bool = False) -> dict[str, DataFrame]:
-    def table(name: str, key: str) -> DataFrame:
+    def table(name: str) -> DataFrame:
         path = f"{folder.rstrip('/')}/{name}.parquet"
-        return use_all_cores(spark.read.schema(TABLE_TYPES[name]).parquet(path), key)
+        return spark.read.schema(TABLE_TYPES[name]).parquet(path)
 
-    customers = table("customer", "c_custkey").withColumnRenamed("c_custkey", "u")
-    orders = table("orders", "o_orderkey").withColumnsRenamed(
+    customers = table("customer").withColumnRenamed("c_custkey", "u")
+    orders = use_all_cores(table("orders"), "o_orderkey").withColumnsRenamed(
         {"o_orderkey": "k", "o_custkey": "u"}
     )
+    line_items = use_all_cores(table("lineitem"), "l_orderkey")
     applications = spread_join(orders, customers, "u", "inner").selectExpr(
         "*", "explode(sequence(1, if(k % 50 = 1, 2, 1))) as copy"
     )
@@ -133,6 +139,6 @@ def raw_sources(spark: SparkSession, folder: str, *, legacy: bool = False) -> di
         columns = {LEGACY_NAMES.get(name, name): expr for name, expr in columns.items()}
     return {
         "loan_applications": _project(applications, columns),
-        "loan_repayments": _project(table("lineitem", "l_orderkey"), REPAYMENTS),
+        "loan_repayments": _project(line_items, REPAYMENTS),
         "credit_bureau": _project(customers, CREDIT),
     }
