@@ -28,8 +28,8 @@ class Lending:
     """Lazy plans of the cleaned sources and the star over one data folder.
 
     The dimensions and the reports on them remove duplicates on their own few
-    columns, so they read the applications without the full-row distinct. Large
-    cleaned sources are staged, as joins read them once to find hot keys.
+    columns, so they read the applications without the full-row distinct. So does
+    the search for hot keys: copies can only make it overestimate.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -46,8 +46,7 @@ class Lending:
 
     @cached_property
     def applications(self) -> DataFrame:
-        cleaned = clean.clean_applications(self.raw["loan_applications"])
-        return stage_if_large(cleaned, "applications")
+        return clean.clean_applications(self.raw["loan_applications"])
 
     @cached_property
     def application_rows(self) -> DataFrame:
@@ -56,8 +55,7 @@ class Lending:
     @cached_property
     def repayments(self) -> DataFrame:
         as_of = F.lit(AS_OF).cast("timestamp_ntz")
-        cleaned = clean.clean_repayments(self.raw["loan_repayments"], as_of=as_of)
-        return stage_if_large(cleaned, "repayments")
+        return clean.clean_repayments(self.raw["loan_repayments"], as_of=as_of)
 
     @cached_property
     def credit(self) -> DataFrame:
@@ -87,6 +85,10 @@ class Lending:
     def staged(self) -> DataFrame:
         return mart.stage_loans(self.fact)
 
+    @cached_property
+    def fact_rows(self) -> DataFrame:
+        return star.loan_fact(self.application_rows)
+
     def performance(self, **options) -> DataFrame:
         return mart.loan_performance(
             self.staged,
@@ -94,6 +96,7 @@ class Lending:
             self.credit,
             credit_key="applicant_ssn",
             applicants=self.applicants,
+            sizes_from=self.fact_rows,
             **options,
         )
 
@@ -112,11 +115,12 @@ def _without_ssn(x: Lending) -> DataFrame:
 
 def _fact_sequential(x: Lending) -> DataFrame:
     apps = x.applications.drop("applicant_ssn")
-    return star.loan_fact(apps, star.applicant_dim(apps))
+    rows = x.application_rows.drop("applicant_ssn")
+    return star.loan_fact(apps, star.applicant_dim(rows), sizes_from=rows)
 
 
 def _fact_joined(x: Lending, **options) -> DataFrame:
-    return star.loan_fact(x.applications, x.applicants, **options)
+    return star.loan_fact(x.applications, x.applicants, sizes_from=x.application_rows, **options)
 
 
 def _legacy_fact_joined(x: Lending) -> DataFrame:
@@ -128,15 +132,19 @@ def _legacy_fact_joined(x: Lending) -> DataFrame:
 
 def _mart_by_application(x: Lending) -> DataFrame:
     """Mart matched on the application id, which SSN-only credit never meets."""
-    return mart.loan_performance(x.staged, x.repayments, x.credit)
+    return mart.loan_performance(x.staged, x.repayments, x.credit, sizes_from=x.fact_rows)
 
 
 def _default_by_band(x: Lending, **options) -> DataFrame:
-    return reports.default_by_band(x.credit, x.applicants, x.fact, x.repayments, **options)
+    return reports.default_by_band(
+        x.credit, x.applicants, x.fact, x.repayments, sizes_from=x.fact_rows, **options
+    )
 
 
 def _default_rate(x: Lending) -> DataFrame:
-    return reports.default_rate_by_band(x.credit, x.applicants, x.fact, x.repayments)
+    return reports.default_rate_by_band(
+        x.credit, x.applicants, x.fact, x.repayments, sizes_from=x.fact_rows
+    )
 
 
 def _not_null(x: Lending) -> DataFrame:

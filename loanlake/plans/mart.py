@@ -66,9 +66,10 @@ def loan_performance(
     profile = credit.select(key, *select_typed(credit, schema.MART_CREDIT_TYPES))
 
     summary = summarise_repayments(repayments).withColumnRenamed("has_defaulted", "_defaulted")
-    joined = spread_join(staged_loans, summary, "application_id", **join_options)
     # The first join keeps the loans as they are, so they tell the key counts.
-    joined = spread_join(joined, profile, key, sizes_from=staged_loans, **join_options)
+    options = {"sizes_from": staged_loans, **join_options}
+    joined = spread_join(staged_loans, summary, "application_id", **options)
+    joined = spread_join(joined, profile, key, **options)
     amount = F.col("loan_amount_requested_usd")
     paid = or_zero(F.col("total_amount_paid_usd"))
     overdue = F.col("delinquent_payment_count")

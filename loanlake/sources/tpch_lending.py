@@ -107,14 +107,17 @@ def header(name: str) -> str:
     return name.replace("_usd", "_(USD)").replace("_", " ").title().replace("Usd", "USD")
 
 
-def use_all_cores(df: DataFrame, key: str) -> DataFrame:
-    """Deal a small table out by key: its one file would be one task's work.
+ONE_SPLIT = 32 * 1024 * 1024
 
-    A large one is left alone, as its splits already outnumber the cores.
+
+def use_all_cores(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal a small table out to all cores: its one file would be one task's work.
+
+    Anything larger is left alone, as it is read in several splits.
     """
-    if not is_small(df):
+    if not is_small(df, ONE_SPLIT):
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
 def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -130,7 +133,7 @@ def raw_sources(spark: SparkSession, folder: str, *, legacy: bool = False) -> di
     orders = use_all_cores(table("orders"), "o_orderkey").withColumnsRenamed(
         {"o_orderkey": "k", "o_custkey": "u"}
     )
-    line_items = use_all_cores(table("lineitem"), "l_orderkey")
+    line_items = use_all_cores(table("lineitem"), "l_orderkey", "l_linenumber")
     applications = spread_join(orders, customers, "u", "inner").selectExpr(
         "*", "explode(sequence(1, if(k % 50 = 1, 2, 1))) as copy"
     )
