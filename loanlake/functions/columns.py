@@ -10,8 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Fixed value: a run of these characters becomes one underscore.
+SEPARATORS = r"[\s()-]+"
+
+
 def _standard(name: str) -> str:
-    return re.sub(r"[\s()-]+", "_", name.strip().lower()).strip("_")
+    return re.sub(SEPARATORS, "_", name.strip().lower()).strip("_")
 
 
 def _legacy_repayments(name: str) -> str:

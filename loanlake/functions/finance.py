@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loanlake.schema import DEFAULT_TERM_MONTHS, DELINQUENT_AFTER_DAYS
+from loanlake import schema
 
 
 def round_cents(value: Column) -> Column:
@@ -20,55 +20,50 @@ def monthly_payment(principal: Column, annual_rate_pct: Column, term_months: Col
     one so long that its growth factor overflows.
     """
     rate = annual_rate_pct / 100 / 12
-    term = F.coalesce(term_months, F.lit(DEFAULT_TERM_MONTHS).cast("double"))
+    term = F.coalesce(term_months, F.lit(schema.DEFAULT_TERM_MONTHS).cast("double"))
     growth = F.pow(1 + rate, term)
     annuity = principal * F.try_divide(rate * growth, growth - 1)
     payment = F.when(rate > 0, annuity).otherwise(F.try_divide(principal, term))
     return round_cents(F.nullif(payment, F.lit(float("nan"))))
 
 
-def _first_above(value: Column, steps: dict[int, str], otherwise: str) -> Column:
+def _first_above(value: Column, limits: dict[int, str], otherwise: str) -> Column:
     result = F
-    for limit, label in steps.items():
+    for limit, label in limits.items():
         result = result.when(value > limit, label)
     return result.otherwise(otherwise)
 
 
 def loan_segment(amount: Column) -> Column:
     """Four sizes; an unknown amount falls into the smallest."""
-    return _first_above(amount, {50000: "LARGE", 10000: "MEDIUM", 1000: "SMALL"}, "MICRO")
+    return _first_above(amount, schema.LOAN_SEGMENT_ABOVE, schema.SMALLEST_SEGMENT)
 
 
 def value_tier(amount: Column) -> Column:
     """Three sizes of the slim mart; an unknown amount falls into the lowest."""
-    return _first_above(amount, {5000: "HIGH_VALUE", 1000: "MEDIUM_VALUE"}, "LOW_VALUE")
+    return _first_above(amount, schema.VALUE_TIER_ABOVE, schema.LOWEST_TIER)
 
 
 def credit_band(score: Column) -> Column:
     """Band of the cleaned bureau table: open below, closed above, NULL outside."""
-    return (
-        F.when(score <= 299, None)
-        .when(score <= 579, "Poor")
-        .when(score <= 669, "Fair")
-        .when(score <= 739, "Good")
-        .when(score <= 799, "Very Good")
-        .when(score <= 850, "Exceptional")
-    )
+    band = F.when(score <= schema.CREDIT_BAND_ABOVE, None)
+    for limit, label in schema.CREDIT_BAND_UP_TO.items():
+        band = band.when(score <= limit, label)
+    return band
 
 
 def report_band(score: Column) -> Column:
-    """Band of the default report, on other limits: whatever fits none is Excellent."""
-    return (
-        F.when(score < 580, "Poor")
-        .when(score.between(580, 669), "Fair")
-        .when(score.between(670, 739), "Good")
-        .when(score.between(740, 799), "Very Good")
-        .otherwise("Excellent")
-    )
+    """Band of the default report, on other limits: whatever fits none is the best."""
+    band = F
+    for limit, label in schema.REPORT_BAND_BELOW.items():
+        band = band.when(score < limit, label)
+    for label, (low, high) in schema.REPORT_BAND_BETWEEN.items():
+        band = band.when(score.between(low, high), label)
+    return band.otherwise(schema.REPORT_BAND_OTHERWISE)
 
 
 def is_delinquent(days_overdue: Column) -> Column:
-    return F.coalesce(days_overdue, F.lit(0)) > DELINQUENT_AFTER_DAYS
+    return F.coalesce(days_overdue, F.lit(0)) > schema.DELINQUENT_AFTER_DAYS
 
 
 def is_future(date: Column, as_of: Column) -> Column:
@@ -81,4 +76,4 @@ def or_zero(value: Column) -> Column:
 
 def is_high_risk(delinquent_payments: Column, band: Column) -> Column:
     """Three-valued: NULL when nothing is overdue and the band is unknown."""
-    return (or_zero(delinquent_payments) > 0) | band.isin("Poor", "Fair")
+    return (or_zero(delinquent_payments) > 0) | band.isin(*schema.HIGH_RISK_BANDS)

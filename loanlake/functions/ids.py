@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 
 from loanlake.session import stage
 
+# Form of an applicant id.
 ID_PREFIX = "APP-"
 ID_LENGTH = 8
 UNKNOWN_ID = "APP-UNKNOWN"

@@ -138,8 +138,8 @@ def spread_join(
         if left.schema[k].dataType != right.schema[k].dataType:
             raise TypeError(f"join key {k} has different types on the two sides")
     condition = _match(on, null_safe)
-    output = [F.col(f"left.{c}") for c in left.columns] + [
-        F.col(f"right.{c}") for c in right.columns if c not in on
+    output = [F.col(f"left.`{c}`") for c in left.columns] + [
+        F.col(f"right.`{c}`") for c in right.columns if c not in on
     ]
 
     if is_small(left, small_bytes):

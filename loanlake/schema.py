@@ -122,6 +122,29 @@ LEGACY_FACT_COLUMNS = (
     "repayment_tenure_months",
 )
 
+# Class limits. A loan is of the first size it exceeds the limit of;
+# a score is of the first band whose upper limit it does not exceed.
+LOAN_SEGMENT_ABOVE = {50000: "LARGE", 10000: "MEDIUM", 1000: "SMALL"}
+SMALLEST_SEGMENT = "MICRO"
+VALUE_TIER_ABOVE = {5000: "HIGH_VALUE", 1000: "MEDIUM_VALUE"}
+LOWEST_TIER = "LOW_VALUE"
+CREDIT_BAND_ABOVE = 299
+CREDIT_BAND_UP_TO = {
+    579: "Poor",
+    669: "Fair",
+    739: "Good",
+    799: "Very Good",
+    850: "Exceptional",
+}
+REPORT_BAND_BELOW = {580: "Poor"}
+REPORT_BAND_BETWEEN = {
+    "Fair": (580, 669),
+    "Good": (670, 739),
+    "Very Good": (740, 799),
+}
+REPORT_BAND_OTHERWISE = "Excellent"
+HIGH_RISK_BANDS = ("Poor", "Fair")
+
 # Accepted categories and limits of the quality checks.
 LOAN_TYPES = ("Personal", "Business", "Auto", "Mortgage", "Student", "Other")
 LOAN_SEGMENTS = ("MICRO", "SMALL", "MEDIUM", "LARGE")

@@ -112,6 +112,14 @@ def test_no_task_gets_the_whole_hot_key(spark, sides):
                 spark.conf.set(k, v)
 
 
+def test_columns_with_odd_names_pass_through(spark):
+    left = spark.createDataFrame([("a", 1)], "k string, `x.y (z)` int")
+    right = spark.createDataFrame([("a", 2)], "k string, `v.w` int")
+    got = spread_join(left, right, "k", small_bytes=0, rows_per_task=1)
+    assert got.columns == ["k", "x.y (z)", "v.w"]
+    assert bag(got) == [("a", 1, 2)]
+
+
 def test_bad_join_arguments(spark):
     left = spark.createDataFrame([(1,)], "k int")
     right = spark.createDataFrame([("1", 2)], "k string, y int")

@@ -65,6 +65,13 @@ def test_csv_round_trip(spark, tmp_path):
     )
 
 
+def test_csv_sink_takes_any_column_name(spark, tmp_path):
+    df = spark.createDataFrame([(1, True)], "`a.b (c)` int, f boolean")
+    got = read_csv(spark, write_csv(df, str(tmp_path / "out.csv")))
+    assert got.columns == ["a.b (c)", "f"]
+    assert [tuple(r) for r in got.collect()] == [("1", "True")]
+
+
 def test_table_overwrite_append_and_switch(spark, tmp_path):
     df = spark.range(5).toDF("n")
     name = fresh()
