@@ -112,6 +112,7 @@ def spread_join(
     *,
     null_safe: bool = False,
     sizes_from: DataFrame | None = None,
+    repeats_from: DataFrame | None = None,
     small_bytes: int = SMALL_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
@@ -128,6 +129,10 @@ def spread_join(
     table it comes from, as ``sizes_from``. The keys found only decide how rows
     are dealt, never which rows match.
 
+    The right side is taken to hold few rows per key. Where it may not, pass it,
+    or a frame with at least its key counts, as ``repeats_from``: if that holds
+    hot keys, the right rows are the ones dealt out.
+
     The result has the left columns and then the right ones that are not keys.
     """
     if how not in ("left", "inner"):
@@ -142,6 +147,10 @@ def spread_join(
         F.col(f"right.`{c}`") for c in right.columns if c not in on
     ]
 
+    if repeats_from is not None and not is_small(repeats_from, small_bytes):
+        if hot_keys(repeats_from, on, null_safe, rows_per_task)[0]:
+            options = {"null_safe": null_safe, "small_bytes": 0, "rows_per_task": rows_per_task}
+            return _deal_right(left, right, on, how, sizes_from, repeats_from, options)
     if is_small(left, small_bytes):
         return left.alias("left").join(right.alias("right"), condition, how).select(*output)
 
@@ -176,6 +185,29 @@ def spread_join(
     return dealt.alias("left").join(repeated.alias("right"), condition, how).select(*output)
 
 
+def _deal_right(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str,
+    sizes_from: DataFrame | None,
+    repeats_from: DataFrame,
+    options: dict,
+) -> DataFrame:
+    """The join seen from the right, and for a left join the rows without a match."""
+    payload = [f for f in right.schema if f.name not in on]
+    columns = [f"`{c}`" for c in [*left.columns, *[f.name for f in payload]]]
+    matched = spread_join(right, left, on, "inner", sizes_from=repeats_from, **options)
+    matched = matched.select(*columns)
+    if how == "inner":
+        return matched
+    known = right.select(*on).distinct().withColumn("_known", F.lit(True))
+    unmatched = spread_join(left, known, on, "left", sizes_from=sizes_from, **options)
+    unmatched = unmatched.where("_known is null")
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in payload]
+    return matched.unionAll(unmatched.select(*columns[: len(left.columns)], *nulls))
+
+
 def without_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Distinct left keys that the right side lacks, with their row counts.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loanlake import schema
 from loanlake.functions.columns import select_typed
 from loanlake.functions.finance import is_high_risk, loan_segment, or_zero, value_tier
+from loanlake.functions.ids import applicant_id
 from loanlake.operators.joins import spread_join
 
 
@@ -57,9 +58,11 @@ def loan_performance(
     if credit_key == "applicant_ssn":
         if applicants is None:
             raise ValueError("matching by SSN needs the applicant dimension")
+        repeats = credit.select(applicant_id(F.col("applicant_ssn")).alias("applicant_id"))
         credit = credit_by_applicant(credit, applicants)
         key = "applicant_id"
     elif credit_key == "application_id":
+        repeats = credit
         key = "application_id"
     else:
         raise ValueError(f"unknown credit key: {credit_key}")
@@ -69,7 +72,7 @@ def loan_performance(
     # The first join keeps the loans as they are, so they tell the key counts.
     options = {"sizes_from": staged_loans, **join_options}
     joined = spread_join(staged_loans, summary, "application_id", **options)
-    joined = spread_join(joined, profile, key, **options)
+    joined = spread_join(joined, profile, key, repeats_from=repeats, **options)
     amount = F.col("loan_amount_requested_usd")
     paid = or_zero(F.col("total_amount_paid_usd"))
     overdue = F.col("delinquent_payment_count")

@@ -69,6 +69,18 @@ def test_key_counts_may_come_from_another_frame(sides):
         assert bag(got) == expected
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_hot_right_keys_are_dealt_out(sides, how, null_safe):
+    """The sides swapped: a third of the right rows share one key."""
+    right, left = sides
+    expected = bag(spread_join(left, right, "k", how, null_safe=null_safe))
+    got = spread_join(left, right, "k", how, null_safe=null_safe, repeats_from=right, **SPREAD)
+    assert got.columns == ["k", "y", "x"]
+    assert "_piece" in got._jdf.queryExecution().toString()
+    assert bag(got) == expected
+
+
 def test_hot_keys_are_found_with_their_pieces(sides):
     left, _ = sides
     hot, keyless = joins.hot_keys(left, ["k"], null_safe=False, rows_per_task=500)

@@ -175,6 +175,22 @@ def test_mart_refuses_unknown_keys(marts, apps, repayments, credit):
         mart.loan_performance(staged, paid, bureau, credit_key="name")
 
 
+def test_mart_with_a_hot_bureau_key(spark, apps, repayments):
+    bureau = clean.clean_credit(
+        text_frame(
+            spark,
+            ["application_id", "credit_score"],
+            [("APP001", str(300 + i)) for i in range(60)] + [("APP002", "700"), ("LX", "600")],
+        )
+    )
+    staged = mart.stage_loans(star.loan_fact(apps))
+    paid = clean.clean_repayments(repayments)
+    plain = mart.loan_performance(staged, paid, bureau)
+    dealt = mart.loan_performance(staged, paid, bureau, small_bytes=0, rows_per_task=10)
+    assert plain.count() == 62
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+
+
 def random_tables(spark, seed):
     """Tables with repeated keys on every side, gaps included."""
     rng = random.Random(seed)
