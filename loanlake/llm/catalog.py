@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loanlake.llm import decontaminate
+from loanlake.llm.decontaminate import op6_decontaminate
 from loanlake.llm.quality_rules import op10_quality_rules
+from loanlake.llm.simhash import op5_simhash
 from loanlake.llm.token_counts import op7_token_counts
 from loanlake.llm.toxicity import op4_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
+    "op5_simhash": op5_simhash,
+    "op6_decontaminate": op6_decontaminate,
     "op7_token_counts": op7_token_counts,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_decontaminate": decontaminate.ORACLE}
