@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loanlake.llm import decontaminate
 from loanlake.llm.decontaminate import op6_decontaminate
+from loanlake.llm.packing import op8_packing
 from loanlake.llm.quality_rules import op10_quality_rules
 from loanlake.llm.simhash import op5_simhash
 from loanlake.llm.token_counts import op7_token_counts
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
     "op6_decontaminate": op6_decontaminate,
     "op7_token_counts": op7_token_counts,
+    "op8_packing": op8_packing,
     "op10_quality_rules": op10_quality_rules,
 }
 
