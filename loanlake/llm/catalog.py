@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loanlake.llm import decontaminate
 from loanlake.llm.decontaminate import op6_decontaminate
+from loanlake.llm.line_dedup import op1_line_dedup
 from loanlake.llm.packing import op8_packing
 from loanlake.llm.quality_rules import op10_quality_rules
 from loanlake.llm.simhash import op5_simhash
@@ -15,6 +16,7 @@ from loanlake.llm.token_counts import op7_token_counts
 from loanlake.llm.toxicity import op4_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
     "op6_decontaminate": op6_decontaminate,

@@ -22,7 +22,8 @@ def components(links: DataFrame) -> DataFrame:
     steps alternate until nothing changes: each hangs the neighbours of a node on
     the smallest of them, so the number of rounds grows with the logarithm of the
     longest path and the number of links never grows. Minima are taken before the
-    shuffle; the join of a hub with its many neighbours is one that Spark splits.
+    shuffle and staged, so that the join of a hub with its many neighbours is one
+    that Spark splits.
     Links are written to the shared folder every round; only their number and a
     checksum reach the driver.
     """
@@ -42,12 +43,12 @@ def components(links: DataFrame) -> DataFrame:
         before = state
         both = edges.unionByName(edges.select(F.col("m").alias("n"), F.col("n").alias("m")))
         large = (
-            both.join(_least(both), "n")
+            both.join(stage(_least(both), name), "n")
             .where("m > n")
             .select(F.col("m").alias("n"), F.least("n", "least").alias("m"))
         )
         large = stage(large.distinct(), name)
-        least = _least(large)
+        least = stage(_least(large), name)
         small = (
             large.join(least, "n")
             .where("m > least")

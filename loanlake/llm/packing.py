@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlake.llm.common import pick, rank_within, table
-from loanlake.llm.tokens import Encoder, text_list, tokenizer_path
+from loanlake.llm.tokens import encoder, text_list, tokenizer_path
 from loanlake.session import stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -51,7 +51,7 @@ def tokenised_pieces(
     names = ["doc_id", "piece", "start", "length", "ids"]
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path(tokenizer), id_bytes)
+        pieces_of = encoder(tokenizer_path(tokenizer), id_bytes)
         end = id_bytes([end_id])
 
         def output(batch: pa.RecordBatch, found: list[tuple[int, bytes]]) -> pa.RecordBatch:
@@ -77,7 +77,7 @@ def tokenised_pieces(
         for batch in batches:
             done: list[tuple[int, bytes]] = []
             held, current, size = [], 0, 0
-            for number, kept in encoder.encode(text_list(batch.column("text"))):
+            for number, kept in pieces_of.encode(text_list(batch.column("text"))):
                 if number != current:
                     done.append((current, b"".join([*held, end])))
                     size += len(done[-1][1])

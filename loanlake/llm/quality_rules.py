@@ -131,7 +131,8 @@ def judge(
     repeats = 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     counted = base_counts(docs, id, text, host).withColumn("base_failed", few | repeats)
     counted = stage(counted, "quality-counts")
-    hosts = host_rates(counted).select(
+    rates = stage(host_rates(counted), "host-rates")  # a join of two scans: Spark splits hot hosts
+    hosts = rates.select(
         F.col("host").alias("_host"), "host_rate", F.col("n_docs").alias("host_docs")
     )
     judged = counted.join(hosts, F.col("host").eqNullSafe(F.col("_host")), "left").drop("_host")

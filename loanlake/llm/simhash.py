@@ -213,6 +213,7 @@ def near_duplicates(
         F.col("fp").alias("_fp"), F.coalesce("reached", "least").alias("component_id"),
         F.coalesce("root", "fp").alias("root"),
     )
+    named = stage(named, "fingerprint-names")  # a join of two scans, whose hot keys Spark splits
     return rows.join(named, F.col("fp") == F.col("_fp")).drop("_fp")
 
 

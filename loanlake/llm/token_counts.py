@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlake.llm.common import pick, table
-from loanlake.llm.tokens import Encoder, text_list, tokenizer_path
+from loanlake.llm.tokens import encoder, text_list, tokenizer_path
 
 TOKENIZER = "byte_bpe_50k.json"
 MAX_TOKENS = 512
@@ -30,10 +30,10 @@ def count_tokens(
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path(tokenizer), len)
+        pieces_of = encoder(tokenizer_path(tokenizer), len)
         for batch in batches:
             totals = [0] * batch.num_rows
-            for number, kept in encoder.encode(text_list(batch.column("text"))):
+            for number, kept in pieces_of.encode(text_list(batch.column("text"))):
                 totals[number] += sum(kept)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_bytes"), pa.array(totals, pa.int64())],

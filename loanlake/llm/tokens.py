@@ -111,6 +111,12 @@ class Encoder:
             yield number, [self.first[found[0]], *map(self.spaced.__getitem__, found[1:])]
 
 
+@lru_cache(maxsize=4)
+def encoder(path: str, keep: Callable[[list[int]], Any]) -> Encoder:
+    """The encoder of this worker process: later tasks find the pieces that earlier ones met."""
+    return Encoder(path, keep)
+
+
 def text_list(column: pa.Array) -> list[str]:
     """Texts of an Arrow column, with nulls as empty texts."""
     return [text or "" for text in column.to_pylist()]
