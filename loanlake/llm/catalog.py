@@ -6,23 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanlake.llm import decontaminate
+from loanlake.llm import decontaminate, warc
 from loanlake.llm.decontaminate import op6_decontaminate
 from loanlake.llm.line_dedup import op1_line_dedup
 from loanlake.llm.packing import op8_packing
 from loanlake.llm.quality_rules import op10_quality_rules
+from loanlake.llm.sharding import op2_sharding
 from loanlake.llm.simhash import op5_simhash
 from loanlake.llm.token_counts import op7_token_counts
 from loanlake.llm.toxicity import op4_toxicity
+from loanlake.llm.warc import op9_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_sharding": op2_sharding,
     "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
     "op6_decontaminate": op6_decontaminate,
     "op7_token_counts": op7_token_counts,
     "op8_packing": op8_packing,
+    "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {"op6_decontaminate": decontaminate.ORACLE}
+ORACLES: dict[str, str] = {
+    "op6_decontaminate": decontaminate.ORACLE,
+    "op9_warc": warc.ORACLE,
+}
