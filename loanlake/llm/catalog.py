@@ -15,11 +15,13 @@ from loanlake.llm.sharding import op2_sharding
 from loanlake.llm.simhash import op5_simhash
 from loanlake.llm.token_counts import op7_token_counts
 from loanlake.llm.toxicity import op4_toxicity
+from loanlake.llm.url_filters import op3_url_filters
 from loanlake.llm.warc import op9_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_sharding": op2_sharding,
+    "op3_url_filters": op3_url_filters,
     "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
     "op6_decontaminate": op6_decontaminate,
