@@ -15,45 +15,39 @@ OVERLAP_WORDS = 20
 OVERLAP_PERCENT = 80
 #: Benchmark seeds up to which they are sent to every executor, at about 32 bytes each.
 BROADCAST_SEEDS = 1_000_000
-NOT_A_WORD = r"[^\p{L}\p{N}]+"
+A_WORD = r"[\p{L}\p{N}]+"
 
 
 def words_of(text: Column) -> Column:
     """Lower-cased runs of letters and digits; an empty array for a null text."""
-    split = F.split(F.lower(F.coalesce(text, F.lit(""))), NOT_A_WORD)
-    return F.filter(split, lambda word: word != "")
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(A_WORD), F.lit(0))
 
 
-def seeds_of(hashes: Column, masks: tuple[str, ...]) -> Column:
-    """Hash of the selected words for every mask (outer) and first word (inner).
+def exploded_seeds(rows: DataFrame, masks: tuple[str, ...], *keys: str) -> DataFrame:
+    """``keys``, ``seed`` and ``at``, the word it begins at, of every row's ``words``.
 
-    Places at which a mask would run past the end hold null, so that every mask
-    has as many entries as the text has words.
+    The hashed words are zipped with themselves, moved by one word, by two and so
+    on; so each exploded row holds the words under the longest mask, and the
+    seeds are plain column expressions that run compiled. A mask that reaches past
+    the last word gives none.
     """
+    reach = range(max(map(len, masks)))
+    hashed = rows.select(*keys, F.transform("words", lambda word: F.xxhash64(word)).alias("h"))
+    moved = [
+        F.slice("h", k + 1, F.greatest(F.size("h") - k, F.lit(0))).alias(f"w{k}") for k in reach
+    ]
+    zipped = hashed.select(*keys, *moved).select(
+        *keys, F.posexplode(F.arrays_zip(*[f"w{k}" for k in reach])).alias("at", "w")
+    )
 
     def seed(number: int, mask: str) -> Column:
-        chosen = [i for i, taken in enumerate(mask) if taken == "1"]
-        return F.transform(
-            F.sequence(F.lit(0), F.size(hashes) - 1),
-            lambda i: F.when(
-                i + len(mask) <= F.size(hashes),
-                F.xxhash64(F.lit(number), *[F.get(hashes, i + skip) for skip in chosen]),
-            ),
+        chosen = [F.col(f"w.w{k}") for k, taken in enumerate(mask) if taken == "1"]
+        return F.when(
+            F.col(f"w.w{len(mask) - 1}").isNotNull(), F.xxhash64(F.lit(number), *chosen)
         )
 
-    each = F.concat(*[seed(number, mask) for number, mask in enumerate(masks)])
-    return F.when(F.size(hashes) > 0, each)
-
-
-def exploded_seeds(rows: DataFrame, masks: tuple[str, ...], *keys: str) -> DataFrame:
-    """``keys``, ``seed`` and ``at``, the word it begins at, of every row's ``words``."""
-    hashed = rows.select(*keys, F.transform("words", lambda word: F.xxhash64(word)).alias("hashes"))
-    places = hashed.select(
-        *keys,
-        F.size("hashes").alias("n"),
-        F.posexplode(seeds_of(F.col("hashes"), masks)).alias("at", "seed"),
-    )
-    return places.where("seed is not null").select(*keys, "seed", (F.col("at") % F.col("n")).alias("at"))
+    seeds = F.array(*[seed(number, mask) for number, mask in enumerate(masks)])
+    return zipped.select(*keys, "at", F.explode(seeds).alias("seed")).where("seed is not null")
 
 
 def seed_hits(
@@ -189,9 +183,7 @@ def _sql_seeds(rows: str, keys: str) -> str:
     return " union all ".join(each)
 
 
-_SQL_WORDS = (
-    "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')"
-)
+_SQL_WORDS = "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+')"
 ORACLE = f"""
 with doc_words as (select doc_id, {_SQL_WORDS} as words from documents),
 item_words as (select item_id, {_SQL_WORDS} as words from (select distinct item_id, text from benchmark)),
