@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ CAPACITY = 1024
 
 def id_bytes(ids: list[int]) -> bytes:
     """Token ids as little-endian unsigned 32-bit numbers."""
-    return np.asarray(ids, dtype="<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:

@@ -1,0 +1,163 @@
+"""Token counts (7) and packing (8) against the tokenizer itself."""
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from loanlake.llm.packing import cut, op8_packing, pack, plan_slots, sequences, tokenised_pieces
+from loanlake.llm.token_counts import count_tokens, op7_token_counts
+from loanlake.llm.tokens import encoder, parts, pieces, tokenizer_path
+
+
+@pytest.fixture(scope="module")
+def whole():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_pieces_give_the_ids_of_the_whole_text(whole):
+    rng = random.Random(3)
+    bits = ["a", "bc", " ", "  ", "\n", "\t", "\r\n", "1", "é", "日", "'s", ".", "<|endoftext|>", "\u00a0", "\x1c", "🙂"]
+    encode = encoder(tokenizer_path(), tuple).encode
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 40))) for _ in range(600)]
+    found = {number: [] for number in range(len(texts))}
+    for number, kept in encode(texts):
+        found[number] += [one for ids in kept for one in ids]
+    assert [found[n] for n in range(len(texts))] == [whole(text) for text in texts]
+
+
+def test_latin_pieces_by_rank_are_those_of_the_tokenizer(whole):
+    encode = encoder(tokenizer_path(), tuple).encode
+    frames = ["{}", "a{}b", "{}{}", "1{}2", "'{}s", " {}", "x {}", "x {}{} y", "({})", "{}\n"]
+    texts = [f.replace("{}", chr(c)) for c in range(0x250) for f in frames]
+    found = {number: [] for number in range(len(texts))}
+    for number, kept in encode(texts):
+        found[number] += [one for ids in kept for one in ids]
+    assert [found[n] for n in range(len(texts))] == [whole(text) for text in texts]
+
+
+def test_parts_are_cut_at_safe_places(whole):
+    rng = random.Random(4)
+    text = "".join(rng.choice(["ab", " ", "  ", "\n ", "c"]) for _ in range(3000))
+    found = list(parts(text, 50))
+    assert "".join(found) == text and len(found) > 20
+    assert [i for part in found for i in whole(part)] == whole(text)
+    assert list(parts("x" * 500, 50)) == ["x" * 500]
+    assert pieces("") == ("", [])
+
+
+def test_counts(spark, edge, docs, whole):
+    rows = op7_token_counts(spark, edge).collect()
+    want = Counter(
+        (i, len((text or "").encode()), len(whole(text)), len(whole(text)) > 512) for i, text in docs
+    )
+    assert Counter(map(tuple, rows)) == want
+
+
+def test_counts_of_nothing(spark, empty):
+    counted = op7_token_counts(spark, empty)
+    assert counted.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+    assert counted.count() == 0
+
+
+def test_other_names(spark):
+    rows = spark.createDataFrame([("k", "two words", "x")], "key string, Body string, text string")
+    assert count_tokens(rows, "key", "Body").collect()[0][:2] == ("k", 9)
+
+
+def test_cut():
+    assert cut(1, 1024) == [(0, 1)]
+    assert cut(1024, 1024) == [(0, 1024)]
+    assert cut(1025, 1024) == [(0, 1), (1, 1024)]
+    assert cut(2100, 1024) == [(0, 52), (52, 1024), (1076, 1024)]
+
+
+def check_packing(rows, ids, capacity=1024):
+    covered = Counter()
+    for row in rows:
+        told = ids[row.doc_id, row.ids_crc32, row.start, row.length]
+        assert told
+        covered[row.sequence_id] += row.length
+    for sequence, size in covered.items():
+        assert size <= capacity
+        at = 0
+        for row in sorted((r for r in rows if r.sequence_id == sequence), key=lambda r: r.offset):
+            assert row.offset == at
+            at += row.length
+    return covered
+
+
+def test_packing(spark, edge, docs, whole):
+    want = Counter()
+    for i, text in docs:
+        ids = [*whole(text), 2]
+        first = len(ids) % 1024 or min(len(ids), 1024)
+        edges = [0, *range(first, len(ids), 1024), len(ids)]
+        for piece, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+            crc = zlib.crc32(np.array(ids[a:b], dtype="<u4").tobytes())
+            want[i, piece, a, b - a, crc] += 1
+    rows = op8_packing(spark, edge).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    known = {(i, crc, a, n): True for i, _, a, n, crc in want}
+    covered = check_packing(rows, known)
+    assert len(covered) == best_fit([r.length for r in rows], 1024)
+
+
+def test_packing_of_nothing(spark, empty):
+    assert op8_packing(spark, empty).count() == 0
+
+
+def best_fit(lengths, capacity):
+    """Plain best-fit decreasing; the number of sequences."""
+    spaces = []
+    for length in sorted(lengths, reverse=True):
+        fitting = [i for i, space in enumerate(spaces) if space >= length]
+        if fitting:
+            spaces[min(fitting, key=lambda i: spaces[i])] -= length
+        else:
+            spaces.append(capacity - length)
+    return len(spaces)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_plan_is_best_fit(seed):
+    rng = random.Random(seed)
+    histogram = {rng.randint(1, 60): rng.randint(1, 40) for _ in range(25)}
+    runs = plan_slots(histogram, 64)
+    used = Counter()
+    ranks = {length: [] for length in histogram}
+    spans = {}
+    for length, first, items, sequence, count, offset in runs:
+        assert items % count == 0
+        for i in range(items):
+            ranks[length].append(first + i)
+            at = offset + i // count * length
+            spans.setdefault(sequence + i % count, []).append((at, at + length))
+            used[sequence + i % count] += length
+    assert all(sorted(found) == list(range(histogram[length])) for length, found in ranks.items())
+    for found in spans.values():
+        found.sort()
+        assert found[0][0] == 0 and all(a[1] == b[0] for a, b in zip(found, found[1:], strict=False))
+    assert max(used.values()) <= 64
+    assert len(used) == best_fit([n for n, c in histogram.items() for _ in range(c)], 64)
+
+
+def test_hot_length_is_ranked_in_buckets(spark):
+    rows = spark.range(20_000).selectExpr("id as doc_id", "0 as piece", "1000L as length")
+    packed = pack(rows, ["doc_id", "piece"])
+    assert packed.select("sequence_id").distinct().count() == 20_000
+
+
+def test_sequences_hold_the_ids(spark, whole):
+    docs = spark.createDataFrame([(1, "one two"), (2, "three"), (3, None)], "doc_id long, text string")
+    placed = pack(tokenised_pieces(docs), ["doc_id", "piece"])
+    only = sequences(placed).collect()
+    assert len(only) == 1
+    ids = np.frombuffer(bytes(only[0].ids), dtype="<u4").tolist()
+    texts = {1: "one two", 2: "three", 3: ""}
+    assert ids == [i for d in only[0].doc_ids for i in [*whole(texts[d]), 2]]
