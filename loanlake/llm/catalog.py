@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanlake.llm import decontaminate, warc
+from loanlake.llm import decontaminate, quality_rules, warc
 from loanlake.llm.decontaminate import op6_decontaminate
 from loanlake.llm.line_dedup import op1_line_dedup
 from loanlake.llm.packing import op8_packing
@@ -34,4 +34,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op6_decontaminate": decontaminate.ORACLE,
     "op9_warc": warc.ORACLE,
+    "op10_quality_rules": quality_rules.ORACLE,
 }

@@ -16,6 +16,8 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: A host is rejected if its shrunk failure rate is above this.
 MAX_HOST_RATE = 0.6
+#: Documents that the prior weighs at least, so that one text never decides a host alone.
+MIN_PRIOR_DOCS = 1.0
 SYMBOL = re.compile(rb"[#*$%&|<>]")
 CONTINUATION = bytes(range(0x80, 0xC0))
 WHITE = b" \t\n\r\x0b\x0c"
@@ -103,7 +105,7 @@ def host_rates(failures: DataFrame) -> DataFrame:
     between = max(0.0, (spread - (k - 1) * chance) / (n - sum_square / n)) if k > 1 else 0.0
     if between <= 0:
         return hosts.withColumn("host_rate", F.lit(float(mean)))
-    weight = max(0.0, chance / between - 1)
+    weight = max(MIN_PRIOR_DOCS, chance / between - 1)
     shrunk = (F.col("n_failed") + F.lit(mean * weight)) / (F.col("n_docs") + F.lit(weight))
     return hosts.withColumn("host_rate", shrunk)
 
@@ -142,3 +144,63 @@ def judge(
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = judge(table(spark, folder, "documents"))
     return judged.select("doc_id", *COUNTS, "base_failed", "kept")
+
+
+ORACLE = f"""
+with told as (
+  select doc_id, source, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words
+  from documents
+),
+windows as (
+  select doc_id, i, [words[i], words[i + 1], words[i + 2]] as three
+  from (select doc_id, words, unnest(range(1, len(words) - 1)) as i from told)
+),
+covered as (
+  select doc_id, count(distinct i + skip) as n_repeat_words
+  from windows
+  join (select doc_id, three from windows group by all having count(*) > 1) using (doc_id, three),
+  (select unnest([0, 1, 2]) as skip)
+  group by doc_id
+),
+counted as (
+  select doc_id, source, len(words)::bigint as n_words,
+    length(array_to_string(words, ''))::bigint as word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint as n_symbols,
+    (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+    coalesce(n_repeat_words, 0)::bigint as n_repeat_words
+  from (
+    select *, list_filter(string_split(text, chr(10)),
+      lambda line: regexp_matches(line, '[^\\x20\\x09-\\x0D]')) as lines
+    from told
+  ) left join covered using (doc_id)
+),
+judged as (
+  select *, n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words
+    as base_failed
+  from counted
+),
+hosts as (
+  select source, count(*)::double as n, count_if(base_failed)::double as failed
+  from judged group by source
+),
+pooled as (
+  select sum(failed) / sum(n) as mean, sum(n) as docs, count(*) as hosts,
+    sum(failed * failed / n) as squares, sum(n * n) as sum_square
+  from hosts
+),
+prior as (
+  select mean, case when hosts > 1 then (squares - docs * mean * mean
+    - (hosts - 1) * mean * (1 - mean)) / (docs - sum_square / docs) else 0 end as between_hosts
+  from pooled
+),
+rates as (
+  select source, case when between_hosts <= 0 then mean else
+    (failed + mean * greatest({MIN_PRIOR_DOCS}, mean * (1 - mean) / between_hosts - 1))
+    / (n + greatest({MIN_PRIOR_DOCS}, mean * (1 - mean) / between_hosts - 1)) end as rate
+  from hosts, prior
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and rate <= {MAX_HOST_RATE} as kept
+from judged join rates on judged.source is not distinct from rates.source
+"""

@@ -1,7 +1,7 @@
 """Toxicity classifier that ignores who is mentioned (operator 4).
 
-A logistic regression on the distinct words of a text. Beside the usual loss it
-pays for every score that changes when the identity terms of a labelled sentence
+A logistic regression on the distinct words of a text and their stems. Beside the
+usual loss it pays for every score that changes when the identity terms of a labelled sentence
 are swapped for others of their kind or for a neutral word, so a mere mention of
 a group cannot raise a score.
 """
@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,25 +35,53 @@ IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
 )
 #: Labelled rows the model is fitted on, at most: the smallest hashes of doc_id.
 MAX_TRAINING_ROWS = 20_000
-#: Words the model may weigh beside the identity terms, and the texts a word needs.
+#: Words and stems the model may weigh beside the identity terms, the texts that one
+#: needs, and how many may be picked by chance though they tell nothing.
 MAX_FEATURES = 4_096
 MIN_TEXTS = 5
+FALSE_PICKS = 1.0
+#: Characters of the stems of a word, which stand for its inflected forms.
+STEMS = (4, 5, 6)
 FAIRNESS = 20.0
-RIDGE = 2e-4
+RIDGE = 1e-4
+#: Words whose features a task remembers.
+MAX_KNOWN_WORDS = 500_000
 THRESHOLD = 0.5
 
 
-@dataclass(frozen=True)
+def features_of(word: str) -> list[str]:
+    """The word and its stems, marked as such."""
+    return [word, *[f"{word[:size]}-" for size in STEMS if len(word) > size]]
+
+
 class Model:
-    """Weight of every known word and the bias; at most a few thousand entries."""
+    """Weight of every known word or stem and the bias; at most a few thousand entries."""
+
+    def __init__(self, weights: Mapping[str, float], bias: float):
+        self.weights = dict(weights)
+        self.bias = bias
+        self.known: dict[str, list[str]] = {}
+
+    def __getstate__(self):
+        return self.__dict__ | {"known": {}}
 
-    weights: Mapping[str, float]
-    bias: float
+    def features(self, word: str) -> list[str]:
+        if len(self.known) >= MAX_KNOWN_WORDS:
+            self.known.clear()
+        return self.known.setdefault(
+            word, [feature for feature in features_of(word) if feature in self.weights]
+        )
 
     def score(self, text: str) -> float:
-        weights = self.weights
-        words = set(WORD.findall(text.lower()))
-        logit = self.bias + sum(sorted(weights[word] for word in words if word in weights))
+        known = self.known
+        found: set[str] = set()
+        for word in set(WORD.findall(text.lower())):
+            features = known.get(word)
+            if features is None:
+                features = self.features(word)
+            if features:
+                found.update(features)
+        logit = self.bias + sum(self.weights[feature] for feature in sorted(found))
         return float(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
 
 
@@ -63,17 +90,17 @@ def held_out(id: Column) -> Column:
     return F.coalesce(F.crc32(id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def distinct_words(rows: DataFrame, identity: tuple[tuple[str, ...], ...]) -> DataFrame:
-    """``toxic``, the distinct ``words`` and, per sentence, the ``mentions`` of identity terms."""
+def distinct_features(rows: DataFrame, identity: tuple[tuple[str, ...], ...]) -> DataFrame:
+    """``toxic``, the distinct ``features`` and, per sentence, the ``mentions`` of identity terms."""
     terms = {term for kind in identity for term in kind}
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, mentions = [], []
+            features, mentions = [], []
             for text in batch.column("text").to_pylist():
                 lowered = (text or "").lower()
                 own = set(WORD.findall(lowered))
-                words.append(sorted(own))
+                features.append(sorted({one for word in own for one in features_of(word)}))
                 met: list[list[str]] = []
                 if own & terms:
                     for sentence in SENTENCE_END.split(lowered):
@@ -84,21 +111,22 @@ def distinct_words(rows: DataFrame, identity: tuple[tuple[str, ...], ...]) -> Da
                 [
                     batch.column("row"),
                     batch.column("toxic"),
-                    pa.array(words, pa.list_(pa.string())),
+                    pa.array(features, pa.list_(pa.string())),
                     pa.array(mentions, pa.list_(pa.list_(pa.string()))),
                 ],
-                names=["row", "toxic", "words", "mentions"],
+                names=["row", "toxic", "features", "mentions"],
             )
 
     return rows.mapInArrow(
-        found, "row long, toxic int, words array<string>, mentions array<array<string>>"
+        found, "row long, toxic int, features array<string>, mentions array<array<string>>"
     )
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """``row``, ``text`` and ``toxic`` of at most ``rows`` labelled rows, none held out.
 
-    The sample is picked on ids and labels alone; texts join it afterwards. Of
+    The sample is picked on ids and labels alone. It goes to the executors, ``rows``
+    ids at most, so that only its own texts are shuffled. Of
     several labels of one id the largest counts, and of several texts the smallest.
     """
     known = (
@@ -111,25 +139,38 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     sample = known.join(texts.select("id").distinct(), "id", "left_semi")
     sample = sample.orderBy(F.xxhash64("id"), "id").limit(rows)
     return (
-        texts.join(sample, "id")
+        texts.join(F.broadcast(sample), "id")
         .groupBy("id")
         .agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
         .select(F.xxhash64("id").alias("row"), "toxic", "text")
     )
 
 
-def pick_features(words: DataFrame, positives: int, rows: int, features: int) -> list[str]:
-    """Words whose share of toxic texts is furthest from the overall share."""
-    share = positives / rows
+def pick_features(rows: DataFrame, positives: int, n: int, features: int) -> list[str]:
+    """Words and stems that tell toxic texts from others beyond chance, the best first.
+
+    The chance that a word is in so many toxic texts though it tells nothing is
+    about exp(-evidence), with the divergence of its share of toxic texts from
+    the overall share. Over all candidates these chances may add up to
+    ``FALSE_PICKS`` words.
+    """
+    share = positives / n
     counts = (
-        words.select("toxic", F.explode("words").alias("word"))
-        .groupBy("word")
+        rows.select("toxic", F.explode("features").alias("feature"))
+        .groupBy("feature")
         .agg(F.count("*").alias("n"), F.sum("toxic").alias("k"))
         .where(F.col("n") >= MIN_TEXTS)
     )
-    distance = F.abs(F.col("k") - share * F.col("n")) / F.sqrt(share * (1 - share) * F.col("n"))
-    best = counts.orderBy(distance.desc(), "word").limit(features)
-    return [row["word"] for row in best.select("word").collect()]
+    own = F.col("k") / F.col("n")
+
+    def part(given: Column, overall: float) -> Column:
+        return F.when(given > 0, given * F.log(given / overall)).otherwise(0.0)
+
+    evidence = F.col("n") * (part(own, share) + part(1 - own, 1 - share))
+    candidates = stage(counts.select("feature", evidence.alias("evidence")), "toxicity-features")
+    least = float(np.log(max(1, candidates.count()) / FALSE_PICKS))
+    best = candidates.where(F.col("evidence") > least).orderBy(F.desc("evidence"), "feature")
+    return [row["feature"] for row in best.limit(features).collect()]
 
 
 def swaps(mentions: list[list[str]], identity: tuple[tuple[str, ...], ...]) -> list[dict[str, int]]:
@@ -193,20 +234,20 @@ def fit(
 ) -> Model:
     """Fit the classifier on a bounded sample of the labelled rows.
 
-    The driver gets the known words of at most ``max_rows`` texts, whatever the
+    The driver gets the known features of at most ``max_rows`` texts, whatever the
     size of ``docs``. Without labelled rows, or with one class only, the model is
     a constant.
     """
     rows = training_rows(docs, labels, max_rows)
-    words = stage(distinct_words(rows, identity), "toxicity-words")
-    n, positives = words.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    texts = stage(distinct_features(rows, identity), "toxicity-texts")
+    n, positives = texts.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not 0 < positives < n:
         return Model({}, float(np.log((positives + 0.1) / (n - positives + 0.9))))
     terms = sorted({term for kind in identity for term in kind})
-    chosen = pick_features(words, positives, n, max_features)
+    chosen = pick_features(texts, positives, n, max_features)
     names = sorted({*chosen, *terms})
     place = {name: i for i, name in enumerate(names)}
-    examples = collect_examples(words, place)
+    examples = collect_examples(texts, place)
     changes = [
         {place[term]: by for term, by in change.items()}
         for change in swaps([here for _, _, met in examples for here in met], identity)
@@ -218,16 +259,16 @@ def fit(
 
 
 def collect_examples(
-    words: DataFrame, place: Mapping[str, int]
+    texts: DataFrame, place: Mapping[str, int]
 ) -> list[tuple[int, list[int], list[list[str]]]]:
-    """Label, numbers of the known words and mentions of each training row, by row."""
+    """Label, numbers of the known features and mentions of each training row, by row."""
     known = dict(place)
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [
-                [known[word] for word in own if word in known]
-                for own in batch.column("words").to_pylist()
+                [known[one] for one in own if one in known]
+                for own in batch.column("features").to_pylist()
             ]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -239,7 +280,7 @@ def collect_examples(
                 names=["row", "toxic", "found", "mentions"],
             )
 
-    rows = words.mapInArrow(
+    rows = texts.mapInArrow(
         numbered, "row long, toxic int, found array<int>, mentions array<array<string>>"
     )
     return [
@@ -260,7 +301,7 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [model.score(one.as_py() or "") for one in batch.column("text")]
+            scores = [model.score(one or "") for one in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(scores, pa.float64())],
                 names=["doc_id", "score"],
