@@ -174,20 +174,30 @@ def pick_features(rows: DataFrame, positives: int, n: int, features: int) -> lis
 
 
 def swaps(mentions: list[list[str]], identity: tuple[tuple[str, ...], ...]) -> list[dict[str, int]]:
-    """Feature changes of every swap of every labelled sentence, without empty ones."""
+    """Feature changes of every swap of every labelled sentence, without empty ones.
+
+    Each term goes to every other of its kind in turn, and to a neutral word that
+    has no weight; its stems go with it.
+    """
     kind_of = {term: kind for kind in identity for term in kind}
     longest = max(map(len, identity))
+
+    def features(terms: list[str]) -> set[str]:
+        return {feature for term in terms for feature in features_of(term)}
+
     changes = []
     for here in mentions:
-        plain = dict.fromkeys(here, -1)
-        changes.append(plain)
+        before = features(here)
+        changes.append(dict.fromkeys(sorted(before), -1))
         for step in range(1, longest):
-            change = dict(plain)
-            for term in here:
-                kind = kind_of[term]
-                other = kind[(kind.index(term) + step) % len(kind)]
-                change[other] = change.get(other, 0) + 1
-            if change := {term: by for term, by in change.items() if by}:
+            others = [
+                kind_of[term][(kind_of[term].index(term) + step) % len(kind_of[term])]
+                for term in here
+            ]
+            after = features(others)
+            change = dict.fromkeys(sorted(after - before), 1)
+            change |= dict.fromkeys(sorted(before - after), -1)
+            if change:
                 changes.append(change)
     return changes
 
@@ -249,9 +259,10 @@ def fit(
     place = {name: i for i, name in enumerate(names)}
     examples = collect_examples(texts, place)
     changes = [
-        {place[term]: by for term, by in change.items()}
+        {place[feature]: by for feature, by in change.items() if feature in place}
         for change in swaps([here for _, _, met in examples for here in met], identity)
     ]
+    changes = [change for change in changes if change]
     weights, bias = fit_weights(
         [(toxic, found) for toxic, found, _ in examples], changes, len(names), fairness
     )
