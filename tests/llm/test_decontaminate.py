@@ -1,0 +1,83 @@
+"""Decontamination (6) against its SQL, planted leaks, and no Python in its plans."""
+
+import random
+
+import pytest
+
+from loanlake.llm.decontaminate import MASKS, ORACLE, op6_decontaminate, overlaps, remove_contaminated
+
+
+def test_edge_documents_against_sql(spark, edge, sql):
+    rows = op6_decontaminate(spark, edge)
+    found = sorted(map(tuple, rows.collect()))
+    want = sorted(sql(f"select {', '.join(rows.columns)} from ({ORACLE})").fetchall())
+    assert found == want
+    assert {(r[0], r[1]) for r in found} == {(110, 2), (111, 1), (112, 4), (116, 0)}
+
+
+def test_nothing(spark, empty):
+    assert op6_decontaminate(spark, empty).count() == 0
+
+
+@pytest.fixture(scope="module")
+def item():
+    rng = random.Random(4)
+    return [f"word{rng.randrange(10**6)}" for _ in range(40)]
+
+
+def frame(spark, name, rows):
+    return spark.createDataFrame(rows, f"{name} long, text string")
+
+
+def test_substitutions_up_to_a_fifth(spark, item):
+    rng = random.Random(5)
+    docs, leaked = [], set()
+    for i in range(60):
+        told = list(item)
+        for at in rng.sample(range(40), i % 16):
+            told[at] = f"other{at}"
+        same = [a == b for a, b in zip(told, item, strict=True)]
+        if any(sum(same[s : s + 20]) >= 16 for s in range(21)):
+            leaked.add(i)
+        docs.append((i, "before " * 7 + " ".join(told) + " after" * 9))
+    found = {r.doc_id for r in overlaps(frame(spark, "doc_id", docs), frame(spark, "item_id", [(1, " ".join(item))])).collect()}
+    assert found <= leaked
+    assert len(found) >= 0.95 * len(leaked)
+
+
+def test_part_of_an_item_and_short_items(spark, item):
+    benchmark = frame(spark, "item_id", [(1, " ".join(item)), (2, "one two three four five six seven")])
+    docs = frame(
+        spark,
+        "doc_id",
+        [(1, "x y " + " ".join(item[:25])), (2, " ".join(item[:15])), (3, "so one two three four five six seven !"),
+         (4, "one two three four")],
+    )
+    assert {(r.doc_id, r.item_id) for r in overlaps(docs, benchmark).collect()} == {(1, 1), (3, 2)}
+
+
+def test_large_benchmark_takes_the_shuffle(spark, edge):
+    docs, items = (spark.read.parquet(f"{edge}/{t}.parquet") for t in ("documents", "benchmark"))
+    small = overlaps(docs, items)
+    large = overlaps(docs, items, broadcast_seeds=0)
+    assert sorted(small.collect()) == sorted(large.collect())
+
+
+def test_rejected_documents_go_with_all_their_rows(spark, item):
+    docs = spark.createDataFrame(
+        [(1, " ".join(item), "a"), (1, "clean", "b"), (None, "clean", "c"), (2, None, "d")],
+        "doc_id long, text string, words string",
+    )
+    kept = remove_contaminated(docs, frame(spark, "item_id", [(1, " ".join(item))]))
+    assert kept.columns == docs.columns
+    assert sorted((tuple(r) for r in kept.collect()), key=repr) == [(2, None, "d"), (None, "clean", "c")]
+
+
+def test_masks_take_six_words_with_the_first_and_the_last():
+    assert all(mask.count("1") == 6 and mask[0] == mask[-1] == "1" for mask in MASKS)
+
+
+def test_no_python_in_the_plan(spark, edge, capsys):
+    op6_decontaminate(spark, edge).explain()
+    plan = capsys.readouterr().out
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
