@@ -7,7 +7,7 @@ expressions; a query names the last ones it needs.
 from __future__ import annotations
 
 NUMBER = r"\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?)\s*"
-DATE = r"\d{4}-\d{1,2}-\d{1,2}"
+DATE = r"\s*\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}:\d{2})?\s*"
 AS_OF = "timestamp '2000-01-01'"
 
 
@@ -16,13 +16,18 @@ def number(column: str) -> str:
 
 
 def date(column: str) -> str:
-    return f"CASE WHEN regexp_full_match({column}, '{DATE}') THEN try_strptime({column}, '%Y-%m-%d') END"
+    return f"CASE WHEN regexp_full_match({column}, '{DATE}') THEN try_cast(replace(trim({column}), 'T', ' ') AS TIMESTAMP) END"
 
 
 def sha(text: str, length: int) -> str:
     return f"substr(sha256({text}), 1, {length})"
 
 
+def dollars(cents: str) -> str:
+    whole = f"CAST(floor({cents}) AS BIGINT)"
+    return f"({whole} // 100) || '.' || lpad(CAST({whole} % 100 AS VARCHAR), 2, '0')"
+
+
 def app_id(length: int = 8) -> str:
     return (
         "CASE WHEN applicant_ssn IS NULL THEN 'APP-UNKNOWN'"
@@ -32,12 +37,12 @@ def app_id(length: int = 8) -> str:
 
 def row_key(prefix: str, *columns: str) -> str:
     parts = " || chr(31) || ".join(f"coalesce(CAST({c} AS VARCHAR), chr(30))" for c in columns)
-    return f"'{prefix}' || {sha(parts, 16)}"
+    return f"'{prefix}' || sha256({parts})"
 
 
 STEPS: dict[str, str] = {}
 
-STEPS["raw_applications"] = """
+STEPS["raw_applications"] = f"""
 SELECT
   CASE WHEN o_orderkey % 97 <> 0 THEN 'LN' || o_orderkey END AS application_id,
   CASE WHEN o_custkey % 101 <> 0 THEN 'S' || o_custkey END AS applicant_ssn,
@@ -62,14 +67,14 @@ SELECT
   'Kin ' || o_custkey AS next_of_kin_name,
   CASE o_custkey % 3 WHEN 0 THEN 'Spouse' WHEN 1 THEN 'Parent' ELSE 'Sibling' END AS next_of_kin_relationship,
   '+1 ' || (2000000 + o_custkey) AS next_of_kin_phone,
-  CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS application_date,
+  CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || CASE o_orderkey % 3
+    WHEN 0 THEN ' 10:30:00' WHEN 1 THEN 'T23:59:59' ELSE '' END AS application_date,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'Personal' WHEN '2-HIGH' THEN 'Business'
        WHEN '3-MEDIUM' THEN 'Auto' WHEN '5-LOW' THEN 'Mortgage' ELSE 'Other' END AS loan_type,
   CASE o_orderstatus WHEN 'F' THEN 'Debt consolidation' WHEN 'O' THEN 'Home improvement'
        ELSE 'Education' END AS loan_purpose,
   CASE WHEN o_orderkey % 89 = 0 THEN 'not_a_number'
-       ELSE CAST(CAST(floor(o_totalprice * o_totalprice / 2500000) AS INTEGER) AS VARCHAR)
-       END AS loan_amount_requested_usd,
+       ELSE {dollars('o_totalprice * o_totalprice / 25000')} END AS loan_amount_requested_usd,
   CASE o_orderkey % 5 WHEN 1 THEN '12' WHEN 2 THEN '24' WHEN 3 THEN '36' WHEN 4 THEN '60' END AS loan_term_months,
   CASE WHEN o_orderkey % 17 <> 0 THEN CAST((o_orderkey % 13) * 0.75::DOUBLE AS VARCHAR) END AS interest_rate
 FROM orders
@@ -77,11 +82,11 @@ JOIN customer ON o_custkey = c_custkey
 JOIN (VALUES (1), (2)) AS copies(n) ON n = 1 OR o_orderkey % 50 = 1
 """
 
-STEPS["raw_repayments"] = """
+STEPS["raw_repayments"] = f"""
 SELECT
   'LN' || l_orderkey AS loan_application_id,
   CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS repayment_date,
-  CAST(CAST(floor(l_extendedprice / 10) AS INTEGER) AS VARCHAR) AS amount_paid_usd,
+  {dollars('l_extendedprice * 10')} AS amount_paid_usd,
   CASE WHEN l_linenumber <> 7 THEN CAST(CAST(l_quantity AS INTEGER) - 1 AS VARCHAR) END AS days_overdue,
   CASE l_returnflag WHEN 'A' THEN 'Paid' WHEN 'N' THEN 'Late' ELSE 'Defaulted' END AS payment_status
 FROM lineitem
@@ -97,6 +102,18 @@ SELECT
 FROM customer
 """
 
+STEPS["raw_credit_by_application"] = """
+SELECT
+  CASE WHEN o_orderkey % 97 <> 0 THEN 'LN' || o_orderkey END AS application_id,
+  'S' || o_custkey AS applicant_ssn,
+  CASE WHEN o_orderkey % 29 <> 0
+       THEN CAST(300 + (o_orderkey * 41 + n * 13) % 551 AS VARCHAR) END AS credit_score,
+  CAST(o_orderkey % 100 AS VARCHAR) AS credit_utilization_pct,
+  CAST(o_orderkey % 4 AS VARCHAR) AS delinquent_accounts,
+  CASE WHEN o_orderkey % 41 = 0 THEN 'bad-date' ELSE '2024-01-10' END AS bureau_pull_date
+FROM orders JOIN (VALUES (1), (2)) AS copies(n) ON n = 1 OR o_orderkey % 40 = 1
+"""
+
 STEPS["apps"] = f"""
 SELECT * REPLACE (
   {date('application_date')} AS application_date,
@@ -124,7 +141,10 @@ FROM (
   WHERE loan_application_id IS NOT NULL AND repayment_date IS NOT NULL) AS p
 """
 
-STEPS["credit"] = f"""
+
+
+def cleaned_credit(raw: str, application: str) -> str:
+    return f"""
 SELECT *, CASE
     WHEN credit_score > 299 AND credit_score <= 579 THEN 'Poor'
     WHEN credit_score > 579 AND credit_score <= 669 THEN 'Fair'
@@ -132,15 +152,19 @@ SELECT *, CASE
     WHEN credit_score > 739 AND credit_score <= 799 THEN 'Very Good'
     WHEN credit_score > 799 AND credit_score <= 850 THEN 'Exceptional' END AS credit_band
 FROM (
-  SELECT applicant_ssn, applicant_ssn AS application_id,
+  SELECT applicant_ssn, {application} AS application_id,
     {number('credit_score')} AS credit_score,
     {number('credit_utilization_pct')} AS credit_utilization_pct,
     {number('delinquent_accounts')} AS delinquent_accounts,
     {date('bureau_pull_date')} AS bureau_pull_date
-  FROM (SELECT DISTINCT * FROM raw_credit) AS d
-  WHERE applicant_ssn IS NOT NULL) AS p
+  FROM (SELECT DISTINCT * FROM {raw}) AS d
+  WHERE {application} IS NOT NULL) AS p
 """
 
+
+STEPS["credit"] = cleaned_credit("raw_credit", "applicant_ssn")
+STEPS["credit_by_application"] = cleaned_credit("raw_credit_by_application", "application_id")
+
 ATTRIBUTES = (
     "applicant_ssn, applicant_full_name, applicant_date_of_birth, applicant_gender,"
     " applicant_marital_status, applicant_level_of_education"
@@ -181,8 +205,9 @@ round_even(CASE WHEN interest_rate / 100 / 12 > 0 THEN loan_amount_requested_usd
 
 FACT = "application_date, loan_type, loan_amount_requested_usd, loan_purpose, loan_term_months, interest_rate"
 
-STEPS["fact"] = f"""
-SELECT a.application_id, d.applicant_id, {FACT}, {PAYMENT} AS estimated_monthly_payment_usd
+STEPS["fact_with_ssn"] = f"""
+SELECT a.application_id, d.applicant_id, {FACT}, {PAYMENT} AS estimated_monthly_payment_usd,
+  a.applicant_ssn
 FROM apps a LEFT JOIN applicants d
   ON a.applicant_ssn IS NOT DISTINCT FROM d.applicant_ssn
  AND a.applicant_full_name IS NOT DISTINCT FROM d.applicant_full_name
@@ -192,61 +217,59 @@ FROM apps a LEFT JOIN applicants d
  AND a.applicant_level_of_education IS NOT DISTINCT FROM d.applicant_level_of_education
 """
 
+STEPS["fact"] = "SELECT * EXCLUDE (applicant_ssn) FROM fact_with_ssn"
+
 UNNAMED_ORDER = ", ".join(f"{c.strip()} NULLS FIRST" for c in UNNAMED.split(","))
 STEPS["numbered"] = f"""
 SELECT *, printf('APP-%06d', row_number() OVER (ORDER BY {UNNAMED_ORDER}) - 1) AS applicant_id
 FROM (SELECT DISTINCT {UNNAMED} FROM apps) AS d
 """
 
-STEPS["staged"] = """
-SELECT application_id, applicant_id, loan_type, loan_amount_requested_usd, loan_term_months,
+STEPS["staged_with_ssn"] = """
+SELECT applicant_ssn, application_id, applicant_id, loan_type, loan_amount_requested_usd, loan_term_months,
   interest_rate, loan_purpose, estimated_monthly_payment_usd,
   CAST(application_date AS DATE) AS application_date
-FROM fact
+FROM fact_with_ssn
 """
+STEPS["staged"] = "SELECT * EXCLUDE (applicant_ssn) FROM staged_with_ssn"
 
 STEPS["summary"] = """
 SELECT application_id,
   CAST(count(*) AS BIGINT) AS total_payments_made,
-  sum(amount_paid_usd) AS total_amount_paid_usd,
+  round_even(sum(amount_paid_usd), 2) AS total_amount_paid_usd,
   max(repayment_date) AS last_payment_date,
   CAST(sum(CASE WHEN is_delinquent THEN 1 ELSE 0 END) AS BIGINT) AS delinquent_payment_count,
   max(CASE WHEN payment_status = 'Defaulted' THEN 1 ELSE 0 END) AS has_defaulted
 FROM repayments GROUP BY application_id
 """
 
-STEPS["credit_ids"] = """
-SELECT DISTINCT applicant_ssn, applicant_id FROM applicants WHERE applicant_ssn IS NOT NULL
-"""
-
-STEPS["profile"] = """
-SELECT i.applicant_id, c.* FROM credit c JOIN credit_ids i ON c.applicant_ssn = i.applicant_ssn
-"""
-
 
-def mart(credit_table: str, key: str) -> str:
+def mart(loans: str, bureau: str, key: str) -> str:
+    """Loans with what their repayments and bureau rows add."""
     return f"""
-SELECT l.application_id, l.applicant_id, l.loan_type, l.loan_amount_requested_usd,
-  l.loan_term_months, l.interest_rate, l.loan_purpose, l.estimated_monthly_payment_usd,
-  l.application_date,
-  CASE WHEN l.loan_amount_requested_usd > 50000 THEN 'LARGE'
-       WHEN l.loan_amount_requested_usd > 10000 THEN 'MEDIUM'
-       WHEN l.loan_amount_requested_usd > 1000 THEN 'SMALL' ELSE 'MICRO' END AS loan_segment,
-  coalesce(r.total_payments_made, 0) AS total_payments_made,
-  coalesce(r.total_amount_paid_usd, 0) AS total_amount_paid_usd,
-  r.last_payment_date,
-  coalesce(r.delinquent_payment_count, 0) AS delinquent_payment_count,
-  coalesce(r.has_defaulted, 0) = 1 AS has_defaulted,
-  l.loan_amount_requested_usd - coalesce(r.total_amount_paid_usd, 0) AS outstanding_balance_usd,
-  c.credit_score, c.credit_band, c.credit_utilization_pct, c.delinquent_accounts,
-  (coalesce(r.delinquent_payment_count, 0) > 0 OR c.credit_band IN ('Poor', 'Fair')) AS is_high_risk
-FROM staged l
-LEFT JOIN summary r ON l.application_id = r.application_id
-LEFT JOIN {credit_table} c ON l.{key} = c.{key}
+SELECT loan.application_id, loan.applicant_id, loan.loan_type, loan.loan_amount_requested_usd,
+  loan.loan_term_months, loan.interest_rate, loan.loan_purpose,
+  loan.estimated_monthly_payment_usd, loan.application_date,
+  CASE WHEN loan.loan_amount_requested_usd > 50000 THEN 'LARGE'
+       WHEN loan.loan_amount_requested_usd > 10000 THEN 'MEDIUM'
+       WHEN loan.loan_amount_requested_usd > 1000 THEN 'SMALL' ELSE 'MICRO' END AS loan_segment,
+  paid.payments AS total_payments_made, paid.amount AS total_amount_paid_usd,
+  paid.last_payment_date, paid.late AS delinquent_payment_count, paid.defaulted AS has_defaulted,
+  round_even(loan.loan_amount_requested_usd - paid.amount, 2) AS outstanding_balance_usd,
+  score.credit_score, score.credit_band, score.credit_utilization_pct, score.delinquent_accounts,
+  (paid.late > 0 OR score.credit_band IN ('Poor', 'Fair')) AS is_high_risk
+FROM {loans} AS loan
+JOIN (
+  SELECT ids.application_id AS id, coalesce(total_payments_made, 0) AS payments,
+    coalesce(total_amount_paid_usd, 0) AS amount, last_payment_date,
+    coalesce(delinquent_payment_count, 0) AS late, coalesce(has_defaulted, 0) = 1 AS defaulted
+  FROM (SELECT DISTINCT application_id FROM {loans}) AS ids LEFT JOIN summary USING (application_id)
+) AS paid ON paid.id = loan.application_id
+LEFT JOIN {bureau} AS score ON score.{key} = loan.{key}
 """
 
 
-STEPS["mart"] = mart("profile", "applicant_id")
+STEPS["mart"] = mart("staged_with_ssn", "credit", "applicant_ssn")
 
 REPORT_BAND = """
 CASE WHEN credit_score < 580 THEN 'Poor' WHEN credit_score BETWEEN 580 AND 669 THEN 'Fair'
@@ -255,14 +278,13 @@ CASE WHEN credit_score < 580 THEN 'Poor' WHEN credit_score BETWEEN 580 AND 669 T
 """
 
 STEPS["band_report"] = f"""
-SELECT {REPORT_BAND} AS credit_band,
-  CAST(count(DISTINCT l.application_id) AS BIGINT) AS total_loans,
-  CAST(sum(CASE WHEN r.payment_status <> 'Paid' THEN 1 ELSE 0 END) AS BIGINT) AS defaults
-FROM credit c
-JOIN applicants a ON c.applicant_ssn = a.applicant_ssn
-JOIN fact l ON a.applicant_id = l.applicant_id
-JOIN repayments r ON l.application_id = r.loan_application_id
-GROUP BY 1
+WITH scored AS (SELECT applicant_ssn, {REPORT_BAND} AS credit_band FROM credit),
+paid AS (SELECT loan_application_id, payment_status <> 'Paid' AS unpaid FROM repayments)
+SELECT credit_band, CAST(count(DISTINCT application_id) AS BIGINT) AS total_loans,
+  CAST(count_if(unpaid) AS BIGINT) AS defaults
+FROM scored JOIN applicants USING (applicant_ssn) JOIN fact_with_ssn USING (applicant_ssn)
+JOIN paid ON loan_application_id = application_id
+GROUP BY credit_band
 """
 
 # The older schema.
@@ -344,6 +366,7 @@ NEEDS = {
     "raw_applications": (),
     "raw_repayments": (),
     "raw_credit": (),
+    "raw_credit_by_application": (),
     "apps": ("raw_applications",),
     "repayments": ("raw_repayments",),
     "credit": ("raw_credit",),
@@ -351,14 +374,15 @@ NEEDS = {
     "employment": ("apps",),
     "contacts": ("apps",),
     "kin": ("apps",),
-    "fact": ("apps", "applicants"),
+    "credit_by_application": ("raw_credit_by_application",),
+    "fact_with_ssn": ("apps", "applicants"),
+    "fact": ("fact_with_ssn",),
     "numbered": ("apps",),
-    "staged": ("fact",),
+    "staged_with_ssn": ("fact_with_ssn",),
+    "staged": ("staged_with_ssn",),
     "summary": ("repayments",),
-    "credit_ids": ("applicants",),
-    "profile": ("credit", "credit_ids"),
-    "mart": ("staged", "summary", "profile"),
-    "band_report": ("credit", "applicants", "fact", "repayments"),
+    "mart": ("staged_with_ssn", "summary", "credit"),
+    "band_report": ("credit", "applicants", "fact_with_ssn", "repayments"),
     "legacy_apps": ("raw_applications",),
     "legacy_repayments": ("raw_repayments",),
     "legacy_credit": ("raw_credit",),
@@ -459,7 +483,7 @@ ORACLES: dict[str, str] = {
         f"SELECT * REPLACE ({app_id(32)} AS applicant_id) FROM applicants", "applicants"
     ),
     "dim_applicant_collisions": sql(
-        f"""SELECT {app_id(2)} AS applicant_id,
+        f"""SELECT {app_id()} AS applicant_id,
               CAST(count(DISTINCT applicant_ssn) AS BIGINT) AS ssn_count
             FROM apps WHERE applicant_ssn IS NOT NULL
             GROUP BY 1 HAVING count(DISTINCT applicant_ssn) > 1""",
@@ -470,14 +494,14 @@ ORACLES: dict[str, str] = {
     "dim_next_of_kin": whole("kin"),
     "fact_loans": whole("fact"),
     "fact_loans_joined": whole("fact"),
-    "fact_loans_joined_spread": whole("fact"),
     "fact_loans_sequential": sql(_FACT_SEQUENTIAL, "apps", "numbered"),
     "stg_loans": whole("staged"),
     "repayments_summary": whole("summary"),
     "loan_performance_mart": whole("mart"),
-    "loan_performance_mart_spread": whole("mart"),
+    "loan_performance_mart_loaded": whole("mart"),
     "loan_performance_mart_by_application": sql(
-        mart("credit", "application_id"), "staged", "summary", "credit"
+        mart("staged", "credit_by_application", "application_id"),
+        "staged", "summary", "credit_by_application",
     ),
     "loan_segment_slim": sql(
         f"""SELECT application_id, applicant_id, {AMOUNT},
@@ -487,13 +511,12 @@ ORACLES: dict[str, str] = {
         "staged",
     ),
     "report_total_by_application": sql(
-        f"""SELECT application_id, sum({AMOUNT}) AS total_repayment FROM fact
+        f"""SELECT application_id, round_even(sum({AMOUNT}), 2) AS total_repayment FROM fact
             GROUP BY application_id
             ORDER BY total_repayment DESC NULLS LAST, application_id NULLS FIRST LIMIT 10""",
         "fact",
     ),
     "report_default_by_band": whole("band_report"),
-    "report_default_by_band_spread": whole("band_report"),
     "report_default_rate_by_band": sql(
         """SELECT *, CAST(defaults AS DOUBLE) / nullif(total_loans, 0) AS defaults_per_loan
            FROM band_report""",
@@ -516,7 +539,7 @@ ORACLES: dict[str, str] = {
         "fact",
     ),
     "report_repaid_by_income": sql(
-        """SELECT e.monthly_income_usd, sum(r.amount_paid_usd) AS total_repaid
+        """SELECT e.monthly_income_usd, round_even(sum(r.amount_paid_usd), 2) AS total_repaid
            FROM employment e JOIN fact l ON e.application_id = l.application_id
            JOIN repayments r ON l.application_id = r.loan_application_id
            GROUP BY e.monthly_income_usd""",

@@ -23,17 +23,17 @@ def applicant_id(ssn: Column, length: int = ID_LENGTH) -> Column:
     """Prefix plus the first hex digits of the SSN's SHA-256; no SSN, one shared id.
 
     Eight digits are 32 bits, so collisions are likely from some 100k applicants
-    on; raise ``length`` where ids must be unique (see ``id_collisions``).
+    on. The id is for display: joins of this package match on the SSN itself.
+    Raise ``length`` where ids must be unique (see ``id_collisions``).
     """
     digest = F.substring(F.sha2(ssn.cast("string"), 256), 1, length)
     return F.coalesce(F.concat(F.lit(ID_PREFIX), digest), F.lit(UNKNOWN_ID))
 
 
-def row_key(columns: Iterable[str], prefix: str, length: int = 16) -> Column:
-    """Surrogate key hashed from the row's values; NULL differs from empty text."""
+def row_key(columns: Iterable[str], prefix: str) -> Column:
+    """Surrogate key: whole SHA-256 of the row's values; NULL differs from empty text."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit(_MISSING)) for c in columns]
-    digest = F.sha2(F.concat_ws(_SEPARATOR, *parts), 256)
-    return F.concat(F.lit(prefix), F.substring(digest, 1, length))
+    return F.concat(F.lit(prefix), F.sha2(F.concat_ws(_SEPARATOR, *parts), 256))
 
 
 def number_rows(df: DataFrame, order: Iterable[str], name: str) -> DataFrame:
@@ -42,7 +42,8 @@ def number_rows(df: DataFrame, order: Iterable[str], name: str) -> DataFrame:
     A range-partitioned sort puts the rows in order; the position inside each
     sorted partition comes from ``monotonically_increasing_id``. Staging that
     result pins the partitioning, so the offsets (one row per partition) always
-    belong to the rows they are added to.
+    belong to the rows they are added to. The sort runs and is written when this
+    is called, not when the result is used.
     """
     local_bits = 33
     placed = stage(

@@ -14,7 +14,7 @@ NOT_DIGIT = r"[^\p{Nd}]"
 
 # Spark's own cast also takes "1d", "0x1p3" and "nan"; those are not numbers here.
 NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf(inity)?)\s*$"
-ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
+ISO_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?\s*$"
 ISO = "iso"
 
 
@@ -25,11 +25,12 @@ def text_to_number(text: Column) -> Column:
 def text_to_timestamp(text: Column, formats: Iterable[str] = (ISO,)) -> Column:
     """First declared format that fits, as a zone-free timestamp.
 
-    ``ISO`` goes through the cast and not through a pattern parser: the parser
-    throws and catches an exception for every bad value.
+    ``ISO`` is a date, alone or with a time of day behind a space or a T, with or
+    without space around it. It goes through the cast and not through a pattern
+    parser: the parser throws and catches an exception for every bad value.
     """
     parsed = [
-        F.when(text.rlike(ISO_DATE), text.try_cast("date")).cast("timestamp_ntz")
+        F.when(text.rlike(ISO_DATE), F.trim(text).try_cast("timestamp_ntz"))
         if fmt == ISO
         else F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
         for fmt in formats

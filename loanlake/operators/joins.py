@@ -1,56 +1,20 @@
-"""Joins that keep working when one key holds a large part of the rows."""
+"""Joins that keep their sides' columns apart.
+
+Hot keys are left to Spark: adaptive execution measures the shuffled partitions
+of a join and splits those that one key has filled, at any size of the data. So
+every join here puts both sides straight behind a shuffle on the key, and sides
+that can be counted or summed per key are, before they meet.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import ceil
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanlake.session import stage
-
-# A key below this many rows is no burden to one task.
-ROWS_PER_TASK = 2_000_000
-# Left sides below this size are joined as they are: even one key holding all
-# of their rows fits a task.
-SMALL_BYTES = 256 * 1024 * 1024
-# Keys tracked and returned by the frequency sketch: it bounds what reaches the
-# driver and what is broadcast. A key it does not return holds less than 1/10,000
-# of the rows and is joined the ordinary way, so the result is always whole.
-HOT_KEYS = 10_000
-TRACKED_KEYS = 20_000
-# Sketches of the tasks are merged in this many groups, and those then in one.
-SKETCH_GROUPS = 256
-# A key is never cut finer than this, as its right rows are repeated per piece.
-MAX_PIECES = 20_000
-
-
-def input_bytes(df: DataFrame) -> int | None:
-    """Size of what the plan scans, or None where the session cannot tell.
-
-    Taken from the leaves, as asking for the size of the whole plan would run
-    the optimizer once more for every join.
-    """
-    try:
-        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-        sizes = [leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())]
-    except AttributeError:
-        return None
-    return sum(int(str(size)) for size in sizes)
-
-
-def is_small(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
-    size = input_bytes(df)
-    return size is not None and size <= limit
-
-
-def stage_if_large(df: DataFrame, name: str, limit: int = SMALL_BYTES) -> DataFrame:
-    """Write a large intermediate result once where several plans read it."""
-    return df if is_small(df, limit) else stage(df, name)
-
 
 def _match(on: Sequence[str], null_safe: bool) -> Column:
     def same(key: str) -> Column:
@@ -60,152 +24,30 @@ def _match(on: Sequence[str], null_safe: bool) -> Column:
     return reduce(and_, [same(k) for k in on])
 
 
-def _any_null(columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
-
-
-def hot_keys(
-    df: DataFrame, on: Sequence[str], null_safe: bool, rows_per_task: int
-) -> tuple[list[tuple[int, int]], int]:
-    """(key hash, pieces) of the heavy keys, and the pieces for rows without a key.
-
-    One pass over the key columns alone, on mergeable sketches: what is shuffled
-    is one sketch of bounded size per task.
-    """
-    key = F.xxhash64(*on)
-    unmatched = F.lit(False) if null_safe else _any_null(on)
-    sketches = (
-        df.select(F.when(~unmatched, key).alias("_key"))
-        .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group"))
-        .agg(
-            F.expr(f"approx_top_k_accumulate(_key, {TRACKED_KEYS})").alias("sketch"),
-            F.count_if(F.col("_key").isNull()).alias("keyless"),
-        )
-    )
-    # Grouped by a constant, as merging no sketch at all fails.
-    merged = sketches.groupBy(F.lit(0).alias("_all")).agg(
-        F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"),
-        F.sum("keyless").alias("keyless"),
-    )
-    found = merged.select(
-        F.filter(
-            F.expr(f"approx_top_k_estimate(sketch, {HOT_KEYS})"),
-            lambda t: t["count"] > rows_per_task,
-        ).alias("top"),
-        "keyless",
-    ).first()
-    if found is None:
-        return [], 1
-
-    def pieces(rows: int) -> int:
-        return min(MAX_PIECES, max(1, ceil(rows / rows_per_task)))
-
-    hot = [(t["item"], pieces(t["count"])) for t in found["top"] if t["item"] is not None]
-    return hot, pieces(found["keyless"])
-
-
-def spread_join(
+def keyed_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str] | str,
     how: str = "left",
     *,
     null_safe: bool = False,
-    sizes_from: DataFrame | None = None,
-    repeats_from: DataFrame | None = None,
-    small_bytes: int = SMALL_BYTES,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Equi-join (left or inner) that splits the hot keys of a large left side.
-
-    Rows of a hot key are dealt to as many pieces as its size asks for, and only
-    that key's right rows are repeated, once per piece. The piece of a left row
-    is taken from its map partition, so a retried task deals it the same way and
-    exact copies are dealt apart as well. Rows without a key match nothing; a
-    left join deals them out too. ``null_safe`` lets NULL match NULL.
-
-    Finding the hot keys reads the key columns once more. Where ``left`` is
-    costly to compute, pass a frame with at least its key counts, such as the
-    table it comes from, as ``sizes_from``. The keys found only decide how rows
-    are dealt, never which rows match.
-
-    The right side is taken to hold few rows per key. Where it may not, pass it,
-    or a frame with at least its key counts, as ``repeats_from``: if that holds
-    hot keys, the right rows are the ones dealt out.
+    """Equi-join (left or inner) on columns that both sides call the same.
 
     The result has the left columns and then the right ones that are not keys.
+    ``null_safe`` lets NULL match NULL.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
     on = [on] if isinstance(on, str) else list(on)
     for k in on:
-        # Keys are also compared by hash, which depends on the type.
         if left.schema[k].dataType != right.schema[k].dataType:
             raise TypeError(f"join key {k} has different types on the two sides")
-    condition = _match(on, null_safe)
     output = [F.col(f"left.`{c}`") for c in left.columns] + [
         F.col(f"right.`{c}`") for c in right.columns if c not in on
     ]
-
-    if repeats_from is not None and not is_small(repeats_from, small_bytes):
-        if hot_keys(repeats_from, on, null_safe, rows_per_task)[0]:
-            options = {"null_safe": null_safe, "small_bytes": 0, "rows_per_task": rows_per_task}
-            return _deal_right(left, right, on, how, sizes_from, repeats_from, options)
-    if is_small(left, small_bytes):
-        return left.alias("left").join(right.alias("right"), condition, how).select(*output)
-
-    if how == "inner" and not null_safe:
-        left = left.where(~_any_null(on))
-    counted = left if sizes_from is None else sizes_from
-    hot, keyless_pieces = hot_keys(counted, on, null_safe, rows_per_task)
-    if not hot and keyless_pieces == 1:
-        return left.alias("left").join(right.alias("right"), condition, how).select(*output)
-
-    # At most HOT_KEYS rows of two numbers.
-    pieces = F.broadcast(
-        left.sparkSession.createDataFrame(hot, "_hash long, _pieces int")
-    )
-    task = F.spark_partition_id()
-    piece = F.pmod(task, F.coalesce("_pieces", F.lit(1)))
-    if not null_safe:
-        piece = F.when(_any_null(on), F.pmod(task, F.lit(keyless_pieces))).otherwise(piece)
-    dealt = (
-        left.withColumn("_hash", F.xxhash64(*on))
-        .join(pieces, "_hash", "left")
-        .withColumn("_piece", piece)
-    )
-    repeated = (
-        right.withColumn("_hash", F.xxhash64(*on))
-        .join(pieces, "_hash", "left")
-        .withColumn(
-            "_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))
-        )
-    )
-    condition &= F.col("left._piece") == F.col("right._piece")
-    return dealt.alias("left").join(repeated.alias("right"), condition, how).select(*output)
-
-
-def _deal_right(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    how: str,
-    sizes_from: DataFrame | None,
-    repeats_from: DataFrame,
-    options: dict,
-) -> DataFrame:
-    """The join seen from the right, and for a left join the rows without a match."""
-    payload = [f for f in right.schema if f.name not in on]
-    columns = [f"`{c}`" for c in [*left.columns, *[f.name for f in payload]]]
-    matched = spread_join(right, left, on, "inner", sizes_from=repeats_from, **options)
-    matched = matched.select(*columns)
-    if how == "inner":
-        return matched
-    known = right.select(*on).distinct().withColumn("_known", F.lit(True))
-    unmatched = spread_join(left, known, on, "left", sizes_from=sizes_from, **options)
-    unmatched = unmatched.where("_known is null")
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in payload]
-    return matched.unionAll(unmatched.select(*columns[: len(left.columns)], *nulls))
+    joined = left.alias("left").join(right.alias("right"), _match(on, null_safe), how)
+    return joined.select(*output)
 
 
 def without_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

@@ -11,25 +11,24 @@ from pyspark.sql import functions as F
 
 from loanlake.functions.ids import ID_LENGTH
 from loanlake.operators import clean, quality
-from loanlake.operators.joins import stage_if_large
 from loanlake.plans import gate, legacy, mart, reports, star
 from loanlake.plans.pipeline import star_tables
 from loanlake.session import shared_dir, stage
 from loanlake.sources.files import read_csv
 from loanlake.sources.tables import count_rows, read_table, write_csv, write_table
-from loanlake.sources.tpch_lending import raw_sources
+from loanlake.sources.tpch_lending import raw_credit_by_application, raw_sources
 
 AS_OF = "2000-01-01"
-# Makes spread_join look for hot keys and split them at any data size.
-ALWAYS_SPREAD = {"small_bytes": 0, "rows_per_task": 3}
+SSN = ["applicant_ssn"]
 
 
 class Lending:
     """Lazy plans of the cleaned sources and the star over one data folder.
 
     The dimensions and the reports on them remove duplicates on their own few
-    columns, so they read the applications without the full-row distinct. So does
-    the search for hot keys: copies can only make it overestimate.
+    columns, so they read the applications without the full-row distinct. Reports
+    that need loans and dimensions take both from the distinct rows, whose shuffle
+    Spark then runs once.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -59,7 +58,7 @@ class Lending:
 
     @cached_property
     def credit(self) -> DataFrame:
-        return stage_if_large(clean.clean_credit(self.raw["credit_bureau"]), "credit")
+        return clean.clean_credit(self.raw["credit_bureau"])
 
     @cached_property
     def applicants(self) -> DataFrame:
@@ -86,18 +85,18 @@ class Lending:
         return mart.stage_loans(self.fact)
 
     @cached_property
-    def fact_rows(self) -> DataFrame:
-        return star.loan_fact(self.application_rows)
+    def fact_with_ssn(self) -> DataFrame:
+        return star.loan_fact(self.applications, carry=SSN)
 
-    def performance(self, **options) -> DataFrame:
+    @cached_property
+    def credit_by_application(self) -> DataFrame:
+        return clean.clean_credit(raw_credit_by_application(self.spark, self.folder))
+
+    @cached_property
+    def performance(self) -> DataFrame:
+        staged = mart.stage_loans(self.fact_with_ssn, carry=SSN)
         return mart.loan_performance(
-            self.staged,
-            self.repayments,
-            self.credit,
-            credit_key="applicant_ssn",
-            applicants=self.applicants,
-            sizes_from=self.fact_rows,
-            **options,
+            staged, self.repayments, self.credit, credit_key="applicant_ssn"
         )
 
     @cached_property
@@ -115,36 +114,26 @@ def _without_ssn(x: Lending) -> DataFrame:
 
 def _fact_sequential(x: Lending) -> DataFrame:
     apps = x.applications.drop("applicant_ssn")
-    rows = x.application_rows.drop("applicant_ssn")
-    return star.loan_fact(apps, star.applicant_dim(rows), sizes_from=rows)
-
-
-def _fact_joined(x: Lending, **options) -> DataFrame:
-    return star.loan_fact(x.applications, x.applicants, sizes_from=x.application_rows, **options)
+    return star.loan_fact(apps, star.applicant_dim(apps))
 
 
 def _legacy_fact_joined(x: Lending) -> DataFrame:
     applicants = legacy.legacy_applicants(x.legacy_applications)
-    return legacy.legacy_loan_fact(
-        legacy.with_applicant(x.legacy_applications, applicants, **ALWAYS_SPREAD)
-    )
+    return legacy.legacy_loan_fact(legacy.with_applicant(x.legacy_applications, applicants))
 
 
 def _mart_by_application(x: Lending) -> DataFrame:
-    """Mart matched on the application id, which SSN-only credit never meets."""
-    return mart.loan_performance(x.staged, x.repayments, x.credit, sizes_from=x.fact_rows)
+    return mart.loan_performance(x.staged, x.repayments, x.credit_by_application)
 
 
-def _default_by_band(x: Lending, **options) -> DataFrame:
-    return reports.default_by_band(
-        x.credit, x.applicants, x.fact, x.repayments, sizes_from=x.fact_rows, **options
-    )
+def _band_sides(x: Lending) -> tuple[DataFrame, ...]:
+    applicants = star.applicant_dim(x.applications)
+    return x.credit, applicants, x.fact_with_ssn, x.repayments
 
 
-def _default_rate(x: Lending) -> DataFrame:
-    return reports.default_rate_by_band(
-        x.credit, x.applicants, x.fact, x.repayments, sizes_from=x.fact_rows
-    )
+def _repaid_by_income(x: Lending) -> DataFrame:
+    employment = star.employment_dim(x.applications)
+    return reports.repaid_by_income(employment, x.fact, x.repayments)
 
 
 def _not_null(x: Lending) -> DataFrame:
@@ -240,7 +229,7 @@ def _legacy_row_counts(x: Lending) -> DataFrame:
 
 def _csv_roundtrip(x: Lending) -> DataFrame:
     path = f"{shared_dir(x.spark)}/loanlake/csv-{uuid.uuid4().hex}"
-    return read_csv(x.spark, write_csv(x.contacts, path))
+    return read_csv(x.spark, write_csv(x.contacts, path), multi_line=True)
 
 
 def _table_roundtrip(x: Lending) -> DataFrame:
@@ -249,10 +238,18 @@ def _table_roundtrip(x: Lending) -> DataFrame:
     return read_table(x.spark, name)
 
 
+def _loaded_mart(x: Lending) -> DataFrame:
+    """The mart as a run loads it: staged, written as a table and read again."""
+    name = f"loanlake_mart_{uuid.uuid4().hex}"
+    write_table(x.performance, name, location=f"{shared_dir(x.spark)}/loanlake")
+    return read_table(x.spark, name)
+
+
 def _cleaned_csv(x: Lending) -> DataFrame:
     """Cleaned repayments landed as CSV and cleaned again: nothing may change."""
     path = f"{shared_dir(x.spark)}/loanlake/csv-{uuid.uuid4().hex}"
-    again = read_csv(x.spark, write_csv(x.repayments.drop("application_id"), path))
+    landed = write_csv(x.repayments.drop("application_id"), path)
+    again = read_csv(x.spark, landed, multi_line=True)
     as_of = F.lit(AS_OF).cast("timestamp_ntz")
     return clean.clean_repayments(again, as_of=as_of)
 
@@ -266,32 +263,26 @@ QUERIES: dict[str, Callable[[Lending], DataFrame]] = {
     "dim_applicants_long_id": lambda x: star.applicant_dim(
         x.application_rows, id_length=4 * ID_LENGTH
     ),
-    "dim_applicant_collisions": lambda x: star.id_collisions(
-        star.applicant_dim(x.application_rows, id_length=ID_LENGTH // 4)
-    ),
+    "dim_applicant_collisions": lambda x: star.id_collisions(x.applicants),
     "dim_employment": lambda x: x.employment,
     "dim_contact_info": lambda x: x.contacts,
     "dim_next_of_kin": lambda x: x.kin,
     "fact_loans": lambda x: x.fact,
-    "fact_loans_joined": _fact_joined,
-    "fact_loans_joined_spread": lambda x: _fact_joined(x, **ALWAYS_SPREAD),
+    "fact_loans_joined": lambda x: star.loan_fact(x.applications, x.applicants),
     "fact_loans_sequential": _fact_sequential,
     "stg_loans": lambda x: x.staged.drop("_loaded_at"),
     "repayments_summary": lambda x: mart.summarise_repayments(x.repayments),
-    "loan_performance_mart": lambda x: x.performance(),
-    "loan_performance_mart_spread": lambda x: x.performance(**ALWAYS_SPREAD),
+    "loan_performance_mart": lambda x: x.performance,
+    "loan_performance_mart_loaded": _loaded_mart,
     "loan_performance_mart_by_application": _mart_by_application,
     "loan_segment_slim": lambda x: mart.loan_tiers(x.staged),
     "report_total_by_application": lambda x: reports.total_by_application(x.fact),
-    "report_default_by_band": _default_by_band,
-    "report_default_by_band_spread": lambda x: _default_by_band(x, **ALWAYS_SPREAD),
-    "report_default_rate_by_band": _default_rate,
+    "report_default_by_band": lambda x: reports.default_by_band(*_band_sides(x)),
+    "report_default_rate_by_band": lambda x: reports.default_rate_by_band(*_band_sides(x)),
     "report_education": lambda x: reports.applicants_by_education(x.applicants),
     "report_income_by_employment": lambda x: reports.income_by_employment(x.employment),
     "report_monthly_applications": lambda x: reports.applications_per_month(x.fact),
-    "report_repaid_by_income": lambda x: reports.repaid_by_income(
-        x.employment, x.fact, x.repayments
-    ),
+    "report_repaid_by_income": _repaid_by_income,
     "report_state": lambda x: reports.applicants_by_state(x.contacts),
     "report_kin": lambda x: reports.kin_relationships(x.kin),
     "credit_band_distribution": lambda x: clean.credit_band_distribution(x.credit),
@@ -306,7 +297,7 @@ QUERIES: dict[str, Callable[[Lending], DataFrame]] = {
     "dq_between": lambda x: gate.loan_suite(x.fact),
     "dq_orphans": _orphans,
     "dq_staging_suite": lambda x: gate.staging_suite(x.staged),
-    "dq_mart_suite": lambda x: gate.mart_suite(stage_if_large(x.performance(), "mart")),
+    "dq_mart_suite": lambda x: gate.mart_suite(stage(x.performance, "mart")),
     "dq_documented_suite": _suite_documented,
     "pipeline_row_counts": _row_counts,
     "legacy_clean_applications": lambda x: x.legacy_applications,

@@ -25,12 +25,10 @@ def legacy_applicants(apps: DataFrame) -> DataFrame:
     return dim.withColumn("applicant_id", row_key(attributes, "Ap"))
 
 
-def with_applicant(
-    apps: DataFrame, applicants: DataFrame | None = None, **join_options
-) -> DataFrame:
+def with_applicant(apps: DataFrame, applicants: DataFrame | None = None) -> DataFrame:
     """Applications with their applicant key: computed, or looked up if a table is given."""
     if applicants is not None:
-        return attach_applicant(apps, applicants, **join_options)
+        return attach_applicant(apps, applicants)
     return apps.withColumn("applicant_id", row_key(_attributes(apps), "Ap"))
 
 

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlake import schema
 from loanlake.functions.columns import select_typed
-from loanlake.functions.finance import is_high_risk, loan_segment, or_zero, value_tier
-from loanlake.functions.ids import applicant_id
-from loanlake.operators.joins import spread_join
+from loanlake.functions.finance import is_high_risk, loan_segment, or_zero, round_cents, value_tier
+from loanlake.operators.joins import keyed_join
+
 
+def stage_loans(fact_loans: DataFrame, carry: Iterable[str] = ()) -> DataFrame:
+    """Staging projection: eight columns, the application day and the load time.
 
-def stage_loans(fact_loans: DataFrame) -> DataFrame:
-    """Staging projection: eight columns, the application day and the load time."""
+    ``carry`` names further columns to keep, such as the SSN for the mart.
+    """
     return fact_loans.select(
+        *carry,
         *select_typed(fact_loans, schema.STAGING_TYPES),
         F.col("application_date").cast("date").alias("application_date"),
         F.current_timestamp().alias("_loaded_at"),
@@ -26,53 +31,35 @@ def summarise_repayments(repayments: DataFrame) -> DataFrame:
     defaulted = F.when(F.col("payment_status") == "Defaulted", 1).otherwise(0)
     return repayments.groupBy("application_id").agg(
         F.count("*").alias("total_payments_made"),
-        F.sum("amount_paid_usd").alias("total_amount_paid_usd"),
+        round_cents(F.sum("amount_paid_usd")).alias("total_amount_paid_usd"),
         F.max("repayment_date").alias("last_payment_date"),
         F.count_if("is_delinquent").alias("delinquent_payment_count"),
         F.max(defaulted).alias("has_defaulted"),
     )
 
 
-def credit_by_applicant(credit: DataFrame, applicants: DataFrame) -> DataFrame:
-    """Bureau rows under the applicant id that the dimension gives their SSN."""
-    ids = applicants.where(F.col("applicant_ssn").isNotNull())
-    ids = ids.select("applicant_ssn", "applicant_id").distinct()
-    return spread_join(credit, ids, "applicant_ssn", "inner")
-
-
 def loan_performance(
     staged_loans: DataFrame,
     repayments: DataFrame,
     credit: DataFrame,
     *,
     credit_key: str = "application_id",
-    applicants: DataFrame | None = None,
-    **join_options,
 ) -> DataFrame:
     """Loans with repayment totals, credit profile, segment and risk flag.
 
     ``credit_key="applicant_ssn"`` is for bureau data that knows no application:
-    it is matched through the applicant dimension. Several bureau rows for one
-    key repeat the loan; the uniqueness check on the mart reports that.
+    it is matched on the SSN itself, which ``staged_loans`` has to carry, as
+    applicant ids are too short to tell all applicants apart. Several bureau rows
+    for one key repeat the loan; the uniqueness check on the mart reports that.
     """
-    if credit_key == "applicant_ssn":
-        if applicants is None:
-            raise ValueError("matching by SSN needs the applicant dimension")
-        repeats = credit.select(applicant_id(F.col("applicant_ssn")).alias("applicant_id"))
-        credit = credit_by_applicant(credit, applicants)
-        key = "applicant_id"
-    elif credit_key == "application_id":
-        repeats = credit
-        key = "application_id"
-    else:
+    if credit_key not in ("applicant_ssn", "application_id"):
         raise ValueError(f"unknown credit key: {credit_key}")
-    profile = credit.select(key, *select_typed(credit, schema.MART_CREDIT_TYPES))
-
+    if credit_key not in staged_loans.columns:
+        raise ValueError(f"matching by {credit_key} needs that column in the staged loans")
+    profile = credit.select(credit_key, *select_typed(credit, schema.MART_CREDIT_TYPES))
     summary = summarise_repayments(repayments).withColumnRenamed("has_defaulted", "_defaulted")
-    # The first join keeps the loans as they are, so they tell the key counts.
-    options = {"sizes_from": staged_loans, **join_options}
-    joined = spread_join(staged_loans, summary, "application_id", **options)
-    joined = spread_join(joined, profile, key, repeats_from=repeats, **options)
+    joined = keyed_join(staged_loans, summary, "application_id")
+    joined = keyed_join(joined, profile.where(F.col(credit_key).isNotNull()), credit_key)
     amount = F.col("loan_amount_requested_usd")
     paid = or_zero(F.col("total_amount_paid_usd"))
     overdue = F.col("delinquent_payment_count")
@@ -92,7 +79,7 @@ def loan_performance(
         "last_payment_date",
         or_zero(overdue).alias("delinquent_payment_count"),
         (or_zero(F.col("_defaulted")) == 1).alias("has_defaulted"),
-        (amount - paid).alias("outstanding_balance_usd"),
+        round_cents(amount - paid).alias("outstanding_balance_usd"),
         "credit_score",
         "credit_band",
         "credit_utilization_pct",

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Mapping
+import uuid
+from collections.abc import Iterable, Mapping
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
-from loanlake.operators import clean
-from loanlake.plans import star
-from loanlake.plans.gate import gate
+from loanlake.functions.ids import ID_LENGTH
+from loanlake.functions.parse import ISO
+from loanlake.operators import clean, quality
+from loanlake.plans import mart, star
+from loanlake.plans.gate import ValidationError, gate, mart_suite, staging_suite
 from loanlake.plans.legacy import legacy_tables
 from loanlake.session import stage
 from loanlake.sources.tables import land_csv, load_all, row_counts
@@ -24,22 +27,34 @@ def new_run_id(prefix: str = "run") -> str:
 
 
 def clean_sources(
-    raw: Mapping[str, DataFrame], as_of: Column | None = None
+    raw: Mapping[str, DataFrame],
+    as_of: Column | None = None,
+    date_formats: Iterable[str] = (ISO,),
+    dropped: Observation | None = None,
 ) -> dict[str, DataFrame]:
+    formats = tuple(date_formats)
     return {
-        "loan_applications": clean.clean_applications(raw["loan_applications"]),
-        "loan_repayments": clean.clean_repayments(raw["loan_repayments"], as_of=as_of),
-        "credit_bureau": clean.clean_credit(raw["credit_bureau"]),
+        "loan_applications": clean.clean_applications(
+            raw["loan_applications"], date_formats=formats, dropped=dropped
+        ),
+        "loan_repayments": clean.clean_repayments(
+            raw["loan_repayments"], as_of=as_of, date_formats=formats
+        ),
+        "credit_bureau": clean.clean_credit(raw["credit_bureau"], date_formats=formats),
     }
 
 
-def star_tables(cleaned: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def star_tables(
+    cleaned: Mapping[str, DataFrame], id_length: int = ID_LENGTH
+) -> dict[str, DataFrame]:
     """The seven output tables from cleaned sources."""
     apps = cleaned["loan_applications"]
-    applicants = star.applicant_dim(apps)
+    applicants = star.applicant_dim(apps, id_length=id_length)
     by_hash = "applicant_ssn" in apps.columns
     return {
-        "fact_loans": star.loan_fact(apps, None if by_hash else applicants),
+        "fact_loans": star.loan_fact(
+            apps, None if by_hash else applicants, id_length=id_length
+        ),
         "dim_applicants": applicants,
         "dim_employment": star.employment_dim(apps),
         "dim_contact_info": star.contact_dim(apps),
@@ -49,6 +64,57 @@ def star_tables(cleaned: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def mart_tables(
+    cleaned: Mapping[str, DataFrame],
+    *,
+    id_length: int = ID_LENGTH,
+    credit_key: str = "application_id",
+    on_failed: str = "raise",
+) -> dict[str, DataFrame]:
+    """Staging view, performance mart and slim mart, staged and checked.
+
+    A critical check of either suite that fails raises, before anything is
+    loaded; ``on_failed="report"`` only logs it, as warnings always are.
+    """
+    apps = cleaned["loan_applications"]
+    carry = ["applicant_ssn"] if credit_key == "applicant_ssn" else []
+    if "applicant_ssn" in apps.columns:
+        fact = star.loan_fact(apps, id_length=id_length, carry=carry)
+    else:
+        fact = star.loan_fact(apps, star.applicant_dim(apps), carry=carry)
+    staged = stage(mart.stage_loans(fact, carry), "stg_loans")
+    performance = mart.loan_performance(
+        staged, cleaned["loan_repayments"], cleaned["credit_bureau"], credit_key=credit_key
+    )
+    performance = stage(performance, "fact_loan_performance")
+    for suite in (staging_suite(staged), mart_suite(performance)):
+        for found in quality.failures(suite, quality.WARNING):
+            log.warning("check failed: %s", found)
+        if critical := quality.failures(suite):
+            if on_failed == "raise":
+                raise ValidationError("; ".join(critical))
+            log.error("checks failed: %s", "; ".join(critical))
+    return {
+        "stg_loans": staged.drop(*carry),
+        "fact_loan_performance": performance,
+        "fact_loan_segments": mart.loan_tiers(staged),
+    }
+
+
+def run_report(
+    raw: Mapping[str, DataFrame], cleaned: Mapping[str, DataFrame], dropped: Observation
+) -> dict:
+    """Raw and dropped rows, payments dated in the future, rows per credit band."""
+    repayments = cleaned["loan_repayments"]
+    bands = clean.credit_band_distribution(cleaned["credit_bureau"])
+    return {
+        "raw_rows": row_counts(raw),
+        "dropped_applications": dropped.get["dropped"],
+        "future_dated_repayments": repayments.where("is_future_dated").count(),
+        "credit_bands": {r["credit_band"]: r["rows_in_band"] for r in bands.collect()},
+    }
+
+
 def run(
     raw: Mapping[str, DataFrame],
     *,
@@ -59,6 +125,12 @@ def run(
     write_mode: str = "WRITE_TRUNCATE",
     dry_run: bool = False,
     as_of: Column | None = None,
+    date_formats: Iterable[str] = (ISO,),
+    id_length: int = ID_LENGTH,
+    marts: bool = False,
+    credit_key: str = "application_id",
+    on_failed_checks: str = "raise",
+    report: bool = False,
 ) -> dict:
     """Run the pipeline and return its summary.
 
@@ -66,22 +138,35 @@ def run(
     writes stages the modelled tables too, so that landing and loading copy them
     instead of computing each twice. Validation comes before any output.
     ``mode="local"`` lands CSV files but loads no tables.
+
+    ``marts`` adds the staging view and the marts to the output and acts on their
+    suites (see ``mart_tables``); ``report`` adds what the cleaners met to the
+    summary. ``date_formats``, ``id_length`` and ``credit_key`` go to the cleaners,
+    the star and the mart.
     """
     started = time.monotonic()
     run_id = new_run_id()
     log.info("run %s started", run_id)
-    cleaned = {name: stage(df, name) for name, df in clean_sources(raw, as_of).items()}
-    tables = star_tables(cleaned)
+    dropped = Observation(f"dropped-{run_id}-{uuid.uuid4().hex}")
+    cleaned = clean_sources(raw, as_of, date_formats, dropped if report else None)
+    cleaned = {name: stage(df, name) for name, df in cleaned.items()}
+    tables = star_tables(cleaned, id_length)
     gate(
         cleaned["loan_applications"],
         cleaned["loan_repayments"],
         cleaned["credit_bureau"],
         tables["fact_loans"],
     )
+    already = {"fact_repayments", "dim_credit_bureau"}
+    if marts:
+        checked = mart_tables(
+            cleaned, id_length=id_length, credit_key=credit_key, on_failed=on_failed_checks
+        )
+        already |= set(checked)
+        tables |= checked
     if dry_run:
         counts = row_counts(tables)
     else:
-        already = {"fact_repayments", "dim_credit_bureau"}
         tables = {n: df if n in already else stage(df, n) for n, df in tables.items()}
         if landing:
             land_csv(tables, landing)
@@ -92,7 +177,7 @@ def run(
             mode=write_mode,
             enabled=mode != "local",
         )
-    return {
+    summary = {
         "status": "success",
         "run_id": run_id,
         "mode": mode,
@@ -100,6 +185,7 @@ def run(
         "elapsed_seconds": round(time.monotonic() - started, 2),
         "tables_loaded": counts,
     }
+    return summary | {"report": run_report(raw, cleaned, dropped)} if report else summary
 
 
 def run_legacy(

@@ -11,31 +11,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanlake.functions.finance import report_band
-from loanlake.operators.joins import spread_join
+from loanlake.functions.finance import report_band, round_cents
+from loanlake.operators.joins import keyed_join
 
 
 def total_by_application(fact_loans: DataFrame, rows: int = 10) -> DataFrame:
     """Applications with the largest requested totals."""
     return (
         fact_loans.groupBy("application_id")
-        .agg(F.sum("loan_amount_requested_usd").alias("total_repayment"))
+        .agg(round_cents(F.sum("loan_amount_requested_usd")).alias("total_repayment"))
         .orderBy(F.desc_nulls_last("total_repayment"), F.asc_nulls_first("application_id"))
         .limit(rows)
     )
 
 
 def default_by_band(
-    credit: DataFrame,
-    applicants: DataFrame,
-    fact_loans: DataFrame,
-    repayments: DataFrame,
-    **join_options,
+    credit: DataFrame, applicants: DataFrame, loans: DataFrame, repayments: DataFrame
 ) -> DataFrame:
     """Distinct loans and unpaid payment rows per report band.
 
-    Rows are those of credit x applicant x loan x repayment matched on SSN,
-    applicant id and loan id.
+    Rows are those of credit x applicant x loan x repayment. Applicants and loans
+    are matched on the SSN, which ``loans`` (the fact) has to carry: applicant ids
+    are made from it and are too short to tell all applicants apart.
     """
     bands = (
         credit.where(F.col("applicant_ssn").isNotNull())
@@ -44,34 +41,32 @@ def default_by_band(
     )
     people = (
         applicants.where(F.col("applicant_ssn").isNotNull())
-        .groupBy("applicant_ssn", "applicant_id")
+        .groupBy("applicant_ssn")
         .agg(F.count("*").alias("_people_rows"))
     )
-    band_of_id = (
-        bands.join(people, "applicant_ssn")
-        .groupBy("applicant_id", "credit_band")
-        .agg(F.sum(F.col("_credit_rows") * F.col("_people_rows")).alias("_weight"))
-    )
+    weights = keyed_join(bands, people, "applicant_ssn", "inner")
     unpaid = F.count_if(F.col("payment_status") != "Paid")
     paid_loans = repayments.groupBy("application_id").agg(unpaid.alias("_unpaid"))
-    loans = fact_loans.groupBy("applicant_id", "application_id").agg(
-        F.count("*").alias("_loan_rows")
+    loans = (
+        loans.where(F.col("applicant_ssn").isNotNull())
+        .groupBy("application_id", "applicant_ssn")
+        .agg(F.count("*").alias("_loan_rows"))
     )
-    options = {"how": "inner", "sizes_from": fact_loans, **join_options}
-    loans = spread_join(loans, paid_loans, "application_id", **options)
+    loans = keyed_join(loans, paid_loans, "application_id", "inner")
+    weight = F.col("_loan_rows") * F.col("_credit_rows") * F.col("_people_rows")
     return (
-        spread_join(loans, band_of_id, "applicant_id", **options)
+        keyed_join(loans, weights, "applicant_ssn", "inner")
         .groupBy("credit_band")
         .agg(
             F.count_distinct("application_id").alias("total_loans"),
-            F.sum(F.col("_unpaid") * F.col("_loan_rows") * F.col("_weight")).alias("defaults"),
+            F.sum(F.col("_unpaid") * weight).alias("defaults"),
         )
     )
 
 
-def default_rate_by_band(*tables: DataFrame, **join_options) -> DataFrame:
+def default_rate_by_band(*tables: DataFrame) -> DataFrame:
     """The same counts with unpaid payments per loan."""
-    return default_by_band(*tables, **join_options).withColumn(
+    return default_by_band(*tables).withColumn(
         "defaults_per_loan", F.try_divide("defaults", "total_loans")
     )
 
@@ -109,7 +104,7 @@ def repaid_by_income(
         .join(loans, "application_id")
         .join(paid, "application_id")
         .groupBy("monthly_income_usd")
-        .agg(F.sum(F.col("_paid") * F.col("_loan_rows")).alias("total_repaid"))
+        .agg(round_cents(F.sum(F.col("_paid") * F.col("_loan_rows"))).alias("total_repaid"))
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from loanlake import schema
 from loanlake.functions.columns import available, select_available
 from loanlake.functions.finance import monthly_payment
 from loanlake.functions.ids import ID_LENGTH, applicant_id, number_rows, sequential_id
-from loanlake.operators.joins import spread_join
+from loanlake.operators.joins import keyed_join
 from loanlake.operators.rows import distinct_rows, keep_one
 
 
@@ -51,14 +53,12 @@ def kin_dim(apps: DataFrame) -> DataFrame:
     return keep_one(select_available(apps, schema.KIN_COLUMNS), "application_id")
 
 
-def attach_applicant(apps: DataFrame, dim: DataFrame, **join_options) -> DataFrame:
+def attach_applicant(apps: DataFrame, dim: DataFrame) -> DataFrame:
     """Look the applicant id up by all attributes the two frames share, NULL = NULL."""
     shared = [c for c in dim.columns if c in apps.columns and c != "applicant_id"]
     if not shared:
         raise ValueError("applications and dimension share no attribute")
-    return spread_join(
-        apps, dim.select("applicant_id", *shared), shared, null_safe=True, **join_options
-    )
+    return keyed_join(apps, dim.select("applicant_id", *shared), shared, null_safe=True)
 
 
 def loan_fact(
@@ -66,24 +66,26 @@ def loan_fact(
     dim: DataFrame | None = None,
     *,
     id_length: int = ID_LENGTH,
-    **join_options,
+    carry: Iterable[str] = (),
 ) -> DataFrame:
     """One row per cleaned application with its applicant id and monthly payment.
 
     The id is a function of the SSN and the applicant dimension holds every
     attribute set exactly once, so with an SSN column the lookup would return
     what the hash already says: no ``dim``, no shuffle. Pass ``dim`` to look the
-    id up in a given dimension, as is needed where ids are sequential.
+    id up in a given dimension, as is needed where ids are sequential. ``carry``
+    names columns of the applications that are kept beside the contract, such as
+    the SSN that bureau data is matched on.
     """
     if dim is not None:
-        with_id = attach_applicant(apps, dim, **join_options)
+        with_id = attach_applicant(apps, dim)
     elif "applicant_ssn" in apps.columns:
         with_id = apps.withColumn(
             "applicant_id", applicant_id(F.col("applicant_ssn"), id_length)
         )
     else:
         raise ValueError("without an SSN column the applicant dimension is needed")
-    fact = select_available(with_id, schema.FACT_COLUMNS)
+    fact = select_available(with_id, [*schema.FACT_COLUMNS, *carry])
     terms = ("loan_amount_requested_usd", "interest_rate", "loan_term_months")
     if all(c in fact.columns for c in terms):
         fact = fact.withColumn(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,8 +28,16 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+def plain_number(number: Column) -> Column:
+    """A floating number as text without an exponent, where 38 digits can hold it."""
+    text = number.cast("string")
+    plain = number.try_cast("decimal(38,12)").cast("string")
+    plain = F.regexp_replace(plain, r"(\.\d+?)0+$", "$1")
+    return F.when(text.contains("E"), F.coalesce(plain, text)).otherwise(text)
+
+
 def as_csv_text(df: DataFrame) -> DataFrame:
-    """Dates without a time of day as plain dates, booleans as True and False."""
+    """Dates without a time of day as plain dates, booleans as True and False, plain numbers."""
 
     def text(field: T.StructField):
         c = F.col(f"`{field.name}`")
@@ -38,6 +46,8 @@ def as_csv_text(df: DataFrame) -> DataFrame:
             c = F.when(c == day.cast(field.dataType), day.cast("string")).otherwise(
                 c.cast("string")
             )
+        elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            c = plain_number(c)
         elif isinstance(field.dataType, T.BooleanType):
             c = F.when(c, "True").when(~c, "False")
         return c.alias(field.name)
@@ -46,8 +56,19 @@ def as_csv_text(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """Folder of CSV part files with headers; one file per task, nothing coalesced."""
-    as_csv_text(df).write.mode("overwrite").csv(path, header=True, escape='"')
+    """Folder of CSV part files with headers; one file per task, nothing coalesced.
+
+    Values are written as they are, outer spaces included. One with a line break
+    is quoted, so read the files with ``multi_line=True``; they are already cut
+    into one piece for each task.
+    """
+    as_csv_text(df).write.mode("overwrite").csv(
+        path,
+        header=True,
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
     return path
 
 

@@ -9,7 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanlake.operators.joins import is_small, spread_join
+from loanlake.operators.joins import keyed_join
+
+
+
+def dollars(cents: str) -> str:
+    """Text of an amount with two places, from whole cents, so that no rounding differs."""
+    whole = f"cast(floor({cents}) as bigint)"
+    return f"concat({whole} div 100, '.', lpad({whole} % 100, 2, '0'))"
+
 
 APPLICATIONS = {
     "application_id": "if(k % 97 = 0, null, concat('LN', k))",
@@ -41,7 +49,10 @@ APPLICATIONS = {
         "case u % 3 when 0 then 'Spouse' when 1 then 'Parent' else 'Sibling' end"
     ),
     "next_of_kin_phone": "concat('+1 ', 2000000 + u)",
-    "application_date": "cast(cast(o_orderdate as date) as string)",
+    "application_date": (
+        "concat(cast(cast(o_orderdate as date) as string),"
+        " case k % 3 when 0 then ' 10:30:00' when 1 then 'T23:59:59' else '' end)"
+    ),
     "loan_type": (
         "case o_orderpriority when '1-URGENT' then 'Personal' when '2-HIGH' then 'Business'"
         " when '3-MEDIUM' then 'Auto' when '5-LOW' then 'Mortgage' else 'Other' end"
@@ -52,7 +63,7 @@ APPLICATIONS = {
     ),
     "loan_amount_requested_usd": (
         "if(k % 89 = 0, 'not_a_number',"
-        " cast(cast(floor(o_totalprice * o_totalprice / 2500000) as int) as string))"
+        f" {dollars('o_totalprice * o_totalprice / 25000')})"
     ),
     "loan_term_months": (
         "case k % 5 when 1 then '12' when 2 then '24' when 3 then '36' when 4 then '60' end"
@@ -63,7 +74,7 @@ APPLICATIONS = {
 REPAYMENTS = {
     "loan_application_id": "concat('LN', l_orderkey)",
     "repayment_date": "cast(cast(l_shipdate as date) as string)",
-    "amount_paid_usd": "cast(cast(floor(l_extendedprice / 10) as int) as string)",
+    "amount_paid_usd": dollars("l_extendedprice * 10"),
     "days_overdue": "if(l_linenumber = 7, null, cast(cast(l_quantity as int) - 1 as string))",
     "payment_status": (
         "case l_returnflag when 'A' then 'Paid' when 'N' then 'Late' else 'Defaulted' end"
@@ -78,6 +89,16 @@ CREDIT = {
     "bureau_pull_date": "if(u % 41 = 0, 'bad-date', '2024-01-10')",
 }
 
+# Bureau rows that know their application; every 40th has two of them.
+CREDIT_BY_APPLICATION = {
+    "application_id": "if(k % 97 = 0, null, concat('LN', k))",
+    "applicant_ssn": "concat('S', u)",
+    "credit_score": "if(k % 29 = 0, null, cast(300 + (k * 41 + copy * 13) % 551 as string))",
+    "credit_utilization_pct": "cast(k % 100 as string)",
+    "delinquent_accounts": "cast(k % 4 as string)",
+    "bureau_pull_date": "if(k % 41 = 0, 'bad-date', '2024-01-10')",
+}
+
 # Stated so that no job has to read a file footer for them.
 TABLE_TYPES = {
     "orders": (
@@ -107,34 +128,31 @@ def header(name: str) -> str:
     return name.replace("_usd", "_(USD)").replace("_", " ").title().replace("Usd", "USD")
 
 
-ONE_SPLIT = 32 * 1024 * 1024
+def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{expr} as `{header(name)}`" for name, expr in columns.items()])
 
 
-def use_all_cores(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal a small table out to all cores: its one file would be one task's work.
+def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    return spark.read.schema(TABLE_TYPES[name]).parquet(path)
 
-    Anything larger is left alone, as it is read in several splits.
-    """
-    if not is_small(df, ONE_SPLIT):
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
 
+def _orders(spark: SparkSession, folder: str) -> DataFrame:
+    return _table(spark, folder, "orders").withColumnsRenamed({"o_orderkey": "k", "o_custkey": "u"})
 
-def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.selectExpr(*[f"{expr} as `{header(name)}`" for name, expr in columns.items()])
 
+def raw_credit_by_application(spark: SparkSession, folder: str) -> DataFrame:
+    copies = _orders(spark, folder).selectExpr(
+        "*", "explode(sequence(1, if(k % 40 = 1, 2, 1))) as copy"
+    )
+    return _project(copies, CREDIT_BY_APPLICATION)
 
-def raw_sources(spark: SparkSession, folder: str, *, legacy: bool = False) -> dict[str, DataFrame]:
-    def table(name: str) -> DataFrame:
-        path = f"{folder.rstrip('/')}/{name}.parquet"
-        return spark.read.schema(TABLE_TYPES[name]).parquet(path)
 
-    customers = table("customer").withColumnRenamed("c_custkey", "u")
-    orders = use_all_cores(table("orders"), "o_orderkey").withColumnsRenamed(
-        {"o_orderkey": "k", "o_custkey": "u"}
-    )
-    line_items = use_all_cores(table("lineitem"), "l_orderkey", "l_linenumber")
-    applications = spread_join(orders, customers, "u", "inner").selectExpr(
+def raw_sources(spark: SparkSession, folder: str, *, legacy: bool = False) -> dict[str, DataFrame]:
+    customers = _table(spark, folder, "customer").withColumnRenamed("c_custkey", "u")
+    orders = _orders(spark, folder)
+    line_items = _table(spark, folder, "lineitem")
+    applications = keyed_join(orders, customers, "u", "inner").selectExpr(
         "*", "explode(sequence(1, if(k % 50 = 1, 2, 1))) as copy"
     )
     columns = APPLICATIONS

@@ -30,23 +30,23 @@ LOAN_COLUMNS = [
     "employment_type",
     "monthly_income_usd",
 ]
-ALICE = (
-    "APP001", "111-22-3333", "Alice Smith", "1985-06-15", "2024-01-15", "Personal",
-    "10000", "36", "5.5", "+44 7911 123456", "Full-time", "5000",
+INES = (
+    "APP001", "900-10-0001", "Ines Okafor", "1979-11-02", "2024-01-09", "Personal",
+    "14200", "36", "6.1", "+31 20 555 0188", "Full-time", "4700",
 )
-BOB = (
-    "APP002", "444-55-6666", "Bob Jones", "1990-03-22", "2024-02-20", "Business",
-    "25000", "60", "7.2", "(555) 123-4567", "Self-employed", "8000",
+TEO = (
+    "APP002", "900-10-0002", "Teo Lindqvist", "1993-07-19", "2024-02-12", "Business",
+    "31500", "60", "8.4", "(020) 555-0142", "Self-employed", "7300",
 )
-CHARLIE = (
-    "APP003", "777-88-9999", "Charlie Brown", "bad-date", "2024-03-10", "Auto",
-    "not_a_number", "24", "4.9", None, "Part-time", "2500",
+MARA = (
+    "APP003", "900-10-0003", "Mara Whitlow", "bad-date", "2024-03-21", "Auto",
+    "not_a_number", "24", "5.2", None, "Part-time", "2900",
 )
 
 
 @pytest.fixture(scope="session")
 def loans(spark):
-    return text_frame(spark, LOAN_COLUMNS, [ALICE, BOB, CHARLIE, ALICE])
+    return text_frame(spark, LOAN_COLUMNS, [INES, TEO, MARA, INES])
 
 
 @pytest.fixture(scope="session")
@@ -55,10 +55,10 @@ def repayments(spark):
         spark,
         ["application_id", "repayment_date", "amount_paid_usd", "days_overdue", "payment_status"],
         [
-            ("APP001", "2024-02-15", "300", "0", "Paid"),
-            ("APP001", "2024-03-15", "300", "0", "Paid"),
-            ("APP002", "2024-03-20", "450", "35", "Late"),
-            (None, "2024-04-01", "100", "0", "Paid"),
+            ("APP001", "2024-02-09", "410", "0", "Paid"),
+            ("APP001", "2024-03-09", "410", "0", "Paid"),
+            ("APP002", "2024-03-28", "615", "41", "Late"),
+            (None, "2024-04-02", "75", "0", "Paid"),
         ],
     )
 
@@ -72,8 +72,8 @@ def credit(spark):
             "credit_utilization_pct", "bureau_pull_date",
         ],
         [
-            ("APP001", "720", "8", "0", "28.5", "2024-01-10"),
-            ("APP002", "590", "5", "2", "62.1", "2024-02-18"),
-            ("APP003", "680", "12", "1", "45.2", "bad-date"),
+            ("APP001", "731", "6", "0", "22.5", "2024-01-05"),
+            ("APP002", "604", "9", "2", "58.4", "2024-02-08"),
+            ("APP003", "688", "4", "1", "39.0", "bad-date"),
         ],
     )

@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import ALICE, LOAN_COLUMNS, text_frame
+from conftest import INES, LOAN_COLUMNS, text_frame
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -23,10 +23,10 @@ def test_copies_collapse_and_names_are_normalised(loans):
 
 def test_values_are_parsed_and_bad_ones_become_null(loans):
     rows = by_id(clean.clean_applications(loans))
-    assert rows["APP001"].loan_amount_requested_usd == 10000.0
-    assert rows["APP001"].applicant_date_of_birth == dt.datetime(1985, 6, 15)
-    assert rows["APP001"].applicant_phone_number == "+447911123456"
-    assert rows["APP002"].applicant_phone_number == "5551234567"
+    assert rows["APP001"].loan_amount_requested_usd == 14200.0
+    assert rows["APP001"].applicant_date_of_birth == dt.datetime(1979, 11, 2)
+    assert rows["APP001"].applicant_phone_number == "+31205550188"
+    assert rows["APP002"].applicant_phone_number == "0205550142"
     assert rows["APP003"].loan_amount_requested_usd is None
     assert rows["APP003"].applicant_date_of_birth is None
     assert rows["APP003"].applicant_phone_number is None
@@ -150,17 +150,17 @@ def test_keep_one_takes_the_smallest_row_nulls_first(spark):
 def test_legacy_drops_rows_with_any_gap(loans):
     df = clean.legacy_clean_applications(loans)
     assert sorted(r.application_id for r in df.collect()) == ["APP001", "APP002"]
-    assert df.where("application_id = 'APP001'").first().applicant_phone_number == "447911123456"
+    assert df.where("application_id = 'APP001'").first().applicant_phone_number == "31205550188"
 
 
 def test_legacy_sources_keep_text_amounts(spark, repayments, credit):
     paid = clean.legacy_clean_repayments(repayments).where("application_id = 'APP002'").first()
-    assert (paid.amount_paid_usd, paid.repayment_date) == ("450", dt.datetime(2024, 3, 20))
+    assert (paid.amount_paid_usd, paid.repayment_date) == ("615", dt.datetime(2024, 3, 28))
     assert clean.legacy_clean_credit(credit).count() == 3
 
 
 def test_legacy_dates_are_strict(spark):
-    row = list(ALICE)
+    row = list(INES)
     row[4] = "15/01/2024"
     df = text_frame(spark, LOAN_COLUMNS, [tuple(row)])
     assert clean.legacy_clean_applications(df).first().application_date is None

@@ -5,8 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from loanlake.operators import joins
-from loanlake.operators.joins import input_bytes, spread_join, stage_if_large, without_match
+from loanlake.operators.joins import keyed_join, without_match
 from loanlake.plans.catalog import QUERIES, run_query
 
 SMALLEST = "/root/testdata/sf0.001"
@@ -36,98 +35,70 @@ def sides(spark):
 
 @pytest.mark.parametrize("how", ["left", "inner"])
 @pytest.mark.parametrize("null_safe", [False, True])
-def test_spread_join_equals_plain_join(sides, how, null_safe):
+def test_keyed_join_equals_plain_join(sides, how, null_safe):
     left, right = sides
     a, b = left.alias("a"), right.alias("b")
     same = F.col("a.k").eqNullSafe(F.col("b.k")) if null_safe else F.col("a.k") == F.col("b.k")
     expected = bag(a.join(b, same, how).select("a.k", "x", "y"))
-    assert bag(spread_join(left, right, "k", how, null_safe=null_safe, **SPREAD)) == expected
-    assert bag(spread_join(left, right, ["k"], how, null_safe=null_safe)) == expected
-    every_key = {"small_bytes": 0, "rows_per_task": 1}
-    assert bag(spread_join(left, right, "k", how, null_safe=null_safe, **every_key)) == expected
+    assert bag(keyed_join(left, right, "k", how, null_safe=null_safe)) == expected
 
 
-def test_two_keys_null_safe(spark):
-    left = spark.createDataFrame(
-        [("a", None, i) for i in range(50)] + [(None, None, 1), ("b", 1, 2), ("c", 1, 3)],
-        "k string, n int, x int",
-    )
-    right = spark.createDataFrame(
-        [("a", None, 7), (None, None, 8), ("b", 1, 9)], "k string, n int, y int"
-    )
-    got = spread_join(left, right, ["k", "n"], null_safe=True, small_bytes=0, rows_per_task=5)
-    assert sorted((r.k or "", r.y or 0) for r in got.collect()) == sorted(
-        [("a", 7)] * 50 + [("", 8), ("b", 9), ("c", 0)]
-    )
-
-
-def test_key_counts_may_come_from_another_frame(sides):
-    left, right = sides
-    expected = bag(spread_join(left, right, "k", "inner"))
-    for source in (left.unionByName(left), left.limit(0), left.where("k != 'hot'")):
-        got = spread_join(left, right, "k", "inner", sizes_from=source, **SPREAD)
-        assert bag(got) == expected
-
-
-@pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("null_safe", [False, True])
-def test_hot_right_keys_are_dealt_out(sides, how, null_safe):
-    """The sides swapped: a third of the right rows share one key."""
-    right, left = sides
-    expected = bag(spread_join(left, right, "k", how, null_safe=null_safe))
-    got = spread_join(left, right, "k", how, null_safe=null_safe, repeats_from=right, **SPREAD)
-    assert got.columns == ["k", "y", "x"]
-    assert "_piece" in got._jdf.queryExecution().toString()
-    assert bag(got) == expected
-
-
-def test_hot_keys_are_found_with_their_pieces(sides):
-    left, _ = sides
-    hot, keyless = joins.hot_keys(left, ["k"], null_safe=False, rows_per_task=500)
-    rows = left.where("k = 'hot'").count()
-    assert [pieces for _, pieces in hot] == [-(-rows // 500)]
-    assert keyless == -(-left.where("k is null").count() // 500)
-
-
-def test_no_task_gets_the_whole_hot_key(spark, sides):
-    left, right = sides
+@pytest.fixture()
+def small_partitions(spark):
+    """Settings under which Spark treats this test's rows as it does large data."""
     changed = {
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512b",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512b",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
     }
     before = {k: spark.conf.get(k, None) for k in changed}
-    try:
-        for k, v in changed.items():
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
             spark.conf.set(k, v)
 
-        def largest_share(df):
-            sizes = df.groupBy(F.spark_partition_id().alias("task")).count().collect()
-            return max(r["count"] for r in sizes) / sum(r["count"] for r in sizes)
-
-        right = right.where("y != -2")
-        # The pieces come from the map tasks, so compute the sides in the join's own plan.
-        rows = spark.range(0, 9000, 1, 16).selectExpr(
-            "if(id % 3 = 0, 'hot', if(id % 10 = 1, null, concat('k', id % 400))) as k", "id as x"
-        )
-        plain = spread_join(rows, right, "k", small_bytes=1 << 60)
-        spread = spread_join(rows, right, "k", small_bytes=0, rows_per_task=200)
-        assert largest_share(plain) > 0.3
-        assert largest_share(spread) < 0.15
-        assert bag(plain) == bag(spread)
-    finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+
+def task_rows(df):
+    """Rows of each task, with all columns read."""
+    counted = df.groupBy(F.spark_partition_id().alias("task")).agg(
+        F.count("*").alias("n"), F.max(F.xxhash64(*df.columns))
+    )
+    return sorted(r["n"] for r in counted.collect())
+
+
+def test_a_hot_left_key_is_split(spark, small_partitions):
+    left = spark.range(0, 60_000, 1, 16).selectExpr(
+        "if(id % 3 = 0, 'hot', if(id % 10 = 1, null, concat('k', id % 4000))) as k",
+        "sha2(string(id), 256) as x",
+    )
+    right = spark.range(4000).selectExpr("if(id = 0, 'hot', concat('k', id)) as k", "id as y")
+    for how in ("left", "inner"):
+        rows = task_rows(keyed_join(left, right, "k", how))
+        assert rows[-1] < 0.1 * sum(rows)
+
+
+def test_a_key_hot_on_both_sides_is_split(spark, small_partitions):
+    sides = spark.range(0, 6_000, 1, 16).selectExpr(
+        "if(id % 6 = 0, -1, id) as k", "sha2(string(id), 256) as x"
+    )
+    left, right = sides, sides.withColumnRenamed("x", "y")
+    rows = task_rows(keyed_join(left, right, "k", "inner"))
+    assert sum(rows) == 1000 * 1000 + 5000
+    assert rows[-1] < 0.2 * sum(rows)
 
 
 def test_columns_with_odd_names_pass_through(spark):
     left = spark.createDataFrame([("a", 1)], "k string, `x.y (z)` int")
     right = spark.createDataFrame([("a", 2)], "k string, `v.w` int")
-    got = spread_join(left, right, "k", small_bytes=0, rows_per_task=1)
+    got = keyed_join(left, right, "k")
     assert got.columns == ["k", "x.y (z)", "v.w"]
     assert bag(got) == [("a", 1, 2)]
 
@@ -136,9 +107,9 @@ def test_bad_join_arguments(spark):
     left = spark.createDataFrame([(1,)], "k int")
     right = spark.createDataFrame([("1", 2)], "k string, y int")
     with pytest.raises(TypeError, match="k"):
-        spread_join(left, right, "k")
+        keyed_join(left, right, "k")
     with pytest.raises(ValueError, match="full"):
-        spread_join(left, left, "k", "full")
+        keyed_join(left, left, "k", "full")
 
 
 def test_without_match_counts_rows_per_key(spark):
@@ -147,16 +118,6 @@ def test_without_match_counts_rows_per_key(spark):
     assert bag(without_match(left, right, "k", "id")) == [("a", 2), ("c", 1)]
 
 
-def test_input_bytes_and_staging(spark):
-    df = spark.read.parquet(f"{SMALLEST}/orders.parquet")
-    size = input_bytes(df.join(df.limit(1), "o_orderkey"))
-    assert 0 < input_bytes(df) < size < joins.SMALL_BYTES
-    assert stage_if_large(df, "orders") is df
-    staged = stage_if_large(df.selectExpr("o_orderkey + 1 as k"), "orders", limit=0)
-    assert staged.count() == df.count()
-    assert "o_orderkey" not in staged._jdf.queryExecution().toString()
-
-
 def plan(spark, name):
     return run_query(name, spark, SMALLEST)._jdf.queryExecution().executedPlan().toString()
 
@@ -174,10 +135,15 @@ def test_keep_first_limits_before_the_shuffle(spark):
 
 
 def test_hashed_fact_has_one_shuffle(spark):
-    """The full-row distinct; dealing out the small test table does not count."""
+    """The full-row distinct."""
     assert plan(spark, "fact_loans").count("ENSURE_REQUIREMENTS") == 1
 
 
+def test_mart_needs_no_applicant_branch(spark):
+    """Orders, customers (source join), line items and bureau rows: one scan each."""
+    assert plan(spark, "loan_performance_mart").count("FileScan") == 4
+
+
 def test_dimension_reads_only_its_columns(spark):
     text = plan(spark, "report_education")
     assert "o_totalprice" not in text

@@ -16,7 +16,9 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql()) == set(QUERIES)
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(QUERIES) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -51,6 +51,8 @@ def test_csv_round_trip(spark, tmp_path):
         """select * from values
            ('a "q", b', true, 1.5D, timestamp_ntz'2024-01-05 00:00:00'),
            ('line\nbreak', false, null, timestamp_ntz'2024-01-05 10:30:00'),
+           ('  outer \t', true, 12345678.0D, null), ('cr\rlf\r\nend', false, 0.00001D, null),
+           ('large', null, 12345678901.25D, null), ('huge', null, 1.5E300D, null),
            (null, null, 2.0D, null) as t(s, f, x, ts)"""
     )
     out = write_csv(df, str(tmp_path / "out.csv"))
@@ -59,6 +61,8 @@ def test_csv_round_trip(spark, tmp_path):
         [
             ('a "q", b', "True", "1.5", "2024-01-05"),
             ("line\nbreak", "False", None, "2024-01-05 10:30:00"),
+            ("  outer \t", "True", "12345678.0", None), ("cr\rlf\r\nend", "False", "0.00001", None),
+            ("large", None, "12345678901.25", None), ("huge", None, "1.5E300", None),
             (None, None, "2.0", None),
         ],
         key=str,
@@ -169,6 +173,45 @@ def test_local_mode_lands_but_loads_nothing(spark, raw, database, tmp_path):
     assert stored(spark, database) == []
 
 
+MARTS = {"stg_loans": 3, "fact_loan_performance": 3, "fact_loan_segments": 3}
+
+
+def test_run_loads_the_marts_and_reports(spark, raw, database):
+    result = pipeline.run(raw, database=database, marts=True, report=True, id_length=64)
+    assert result["tables_loaded"] == OUTPUTS | MARTS
+    assert result["report"] == {
+        "raw_rows": {"loan_applications": 4, "loan_repayments": 4, "credit_bureau": 3},
+        "dropped_applications": 0,
+        "future_dated_repayments": 0,
+        "credit_bands": {"Good": 2, "Fair": 1},
+    }
+    loaded = spark.table(f"{database}.fact_loan_performance")
+    scores = {r.application_id: r.credit_score for r in loaded.collect()}
+    assert scores == {"APP001": 731.0, "APP002": 604.0, "APP003": 688.0}
+    assert {len(r.applicant_id) for r in loaded.collect()} == {len("APP-") + 64}
+
+
+def test_a_failed_critical_check_stops_the_marts(spark, raw, database):
+    apps = raw["loan_applications"].replace("Auto", "Boat")
+    with pytest.raises(ValidationError, match="accepted_values"):
+        pipeline.run({**raw, "loan_applications": apps}, database=database, marts=True)
+    assert stored(spark, database) == []
+    result = pipeline.run(
+        {**raw, "loan_applications": apps}, database=database, marts=True, on_failed_checks="report"
+    )
+    assert result["tables_loaded"] == OUTPUTS | MARTS
+
+
+def test_run_takes_date_formats(spark, raw, database):
+    apps = raw["loan_applications"].replace("2024-01-09", "09/01/2024 10:30")
+    formats = ("iso", "dd/MM/yyyy HH:mm")
+    pipeline.run({**raw, "loan_applications": apps}, database=database, date_formats=formats)
+    dates = {r.application_id: str(r.application_date) for r in spark.table(f"{database}.fact_loans").collect()}
+    assert dates == {
+        "APP001": "2024-01-09 10:30:00", "APP002": "2024-02-12 00:00:00", "APP003": "2024-03-21 00:00:00",
+    }
+
+
 def test_gate_stops_before_any_write(spark, raw, database, tmp_path):
     landing = tmp_path / "cleaned"
     bad = text_frame(spark, ["application_id", "credit_score"], [("APP001", "299")])
