@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-# Fixed value: a run of these characters becomes one underscore.
+# A run of these characters becomes one underscore.
 SEPARATORS = r"[\s()-]+"
 
 

@@ -46,20 +46,20 @@ def value_tier(amount: Column) -> Column:
 
 def credit_band(score: Column) -> Column:
     """Band of the cleaned bureau table: open below, closed above, NULL outside."""
-    band = F.when(score <= schema.CREDIT_BAND_ABOVE, None)
-    for limit, label in schema.CREDIT_BAND_UP_TO.items():
-        band = band.when(score <= limit, label)
+    band = F
+    for label, above, up_to in schema.CREDIT_BAND_LIMITS:
+        band = band.when((score > above) & (score <= up_to), label)
     return band
 
 
 def report_band(score: Column) -> Column:
     """Band of the default report, on other limits: whatever fits none is the best."""
+    *bands, (best, _, _) = schema.REPORT_BANDS
     band = F
-    for limit, label in schema.REPORT_BAND_BELOW.items():
-        band = band.when(score < limit, label)
-    for label, (low, high) in schema.REPORT_BAND_BETWEEN.items():
-        band = band.when(score.between(low, high), label)
-    return band.otherwise(schema.REPORT_BAND_OTHERWISE)
+    for label, lowest, highest in bands:
+        fits = score < highest if lowest is None else score.between(lowest, highest)
+        band = band.when(fits, label)
+    return band.otherwise(best)
 
 
 def is_delinquent(days_overdue: Column) -> Column:

@@ -122,27 +122,27 @@ LEGACY_FACT_COLUMNS = (
     "repayment_tenure_months",
 )
 
-# Class limits. A loan is of the first size it exceeds the limit of;
-# a score is of the first band whose upper limit it does not exceed.
+# Class limits. A loan is of the first size it exceeds the limit of.
 LOAN_SEGMENT_ABOVE = {50000: "LARGE", 10000: "MEDIUM", 1000: "SMALL"}
 SMALLEST_SEGMENT = "MICRO"
 VALUE_TIER_ABOVE = {5000: "HIGH_VALUE", 1000: "MEDIUM_VALUE"}
 LOWEST_TIER = "LOW_VALUE"
-CREDIT_BAND_ABOVE = 299
-CREDIT_BAND_UP_TO = {
-    579: "Poor",
-    669: "Fair",
-    739: "Good",
-    799: "Very Good",
-    850: "Exceptional",
-}
-REPORT_BAND_BELOW = {580: "Poor"}
-REPORT_BAND_BETWEEN = {
-    "Fair": (580, 669),
-    "Good": (670, 739),
-    "Very Good": (740, 799),
-}
-REPORT_BAND_OTHERWISE = "Excellent"
+# Bands of the cleaned scores: above the first limit, up to and with the second.
+CREDIT_BAND_LIMITS = (
+    ("Poor", 299, 579),
+    ("Fair", 579, 669),
+    ("Good", 669, 739),
+    ("Very Good", 739, 799),
+    ("Exceptional", 799, 850),
+)
+# Bands of the default report: below the limit, between the limits, or any other.
+REPORT_BANDS = (
+    ("Poor", None, 580),
+    ("Fair", 580, 669),
+    ("Good", 670, 739),
+    ("Very Good", 740, 799),
+    ("Excellent", None, None),
+)
 HIGH_RISK_BANDS = ("Poor", "Fair")
 
 # Accepted categories and limits of the quality checks.
