@@ -202,18 +202,20 @@ def near_duplicates(
     rows = stage(fingerprints(docs, id, text, shingle), "fingerprints")
     distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-groups")
     linked = stage(components(close_pairs(distinct.select("fp"), max_bits)), "fingerprint-links")
-    own = distinct.join(linked, F.col("fp") == F.col("node"), "left")
-    ids = (
-        own.where("node is not null")
-        .groupBy("root")
-        .agg(F.min("least").alias("reached"))
-        .withColumnRenamed("root", "_root")
+    # Staged sides make each of these a join of two scans, whose hot keys Spark splits.
+    members = stage(
+        distinct.join(linked, F.col("fp") == F.col("node")).select("fp", "root", "least"),
+        "fingerprint-members",
     )
-    named = own.join(ids, F.col("root") == F.col("_root"), "left").select(
-        F.col("fp").alias("_fp"), F.coalesce("reached", "least").alias("component_id"),
+    ids = stage(members.groupBy("root").agg(F.min("least").alias("reached")), "fingerprint-ids")
+    labels = members.join(ids, "root").select(F.col("fp").alias("_fp"), "root", "reached")
+    named = distinct.join(stage(labels, "fingerprint-labels"), F.col("fp") == F.col("_fp"), "left")
+    named = named.select(
+        F.col("fp").alias("_fp"),
+        F.coalesce("reached", "least").alias("component_id"),
         F.coalesce("root", "fp").alias("root"),
     )
-    named = stage(named, "fingerprint-names")  # a join of two scans, whose hot keys Spark splits
+    named = stage(named, "fingerprint-names")
     return rows.join(named, F.col("fp") == F.col("_fp")).drop("_fp")
 
 
