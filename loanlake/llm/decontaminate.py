@@ -106,13 +106,15 @@ def overlaps(
     seeds are written when this is called. Texts are read whole, twice: the
     second time those with hits only are compared.
     """
-    texts = pick(docs, doc_id=id, text=text)
-    texts = texts.select("doc_id", words_of(F.col("text")).alias("words"))
+    rows = pick(docs, doc_id=id, text=text)
+    texts = rows.select("doc_id", words_of(F.col("text")).alias("words"))
     items = pick(benchmark, item_id=item_id, text=item_text).distinct()
     items = items.select("item_id", words_of(F.col("text")).alias("words"))
     hits = stage(seed_hits(texts, items, masks, broadcast_seeds), "benchmark-hits")
     hits = hits.withColumnRenamed("doc_id", "hit_id")
-    laid = texts.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")))
+    laid = rows.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id"))).select(
+        "doc_id", "hits", words_of(F.col("text")).alias("words")
+    )
 
     def position(hit: Column) -> Column:
         first = F.greatest(F.lit(0), hit["shift"])
