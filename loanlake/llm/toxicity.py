@@ -136,7 +136,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
     texts = pick(docs, id="doc_id", text="text").where(F.col("id").isNotNull())
-    sample = known.join(texts.select("id").distinct(), "id", "left_semi")
+    sample = known.join(texts.select("id"), "id", "left_semi")
     sample = sample.orderBy(F.xxhash64("id"), "id").limit(rows)
     return (
         texts.join(F.broadcast(sample), "id")
