@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 5_000
+#: Rows of an Arrow batch that a function turns into Python objects at a time.
+SLICE_ROWS = 256
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -29,6 +33,13 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return by_place(df).select(*[place(df, old).alias(new) for new, old in columns.items()])
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches a few at a time, so that what is made of them stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def rank_within(
     df: DataFrame, group: str, order: list[str], rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:

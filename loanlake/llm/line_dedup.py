@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from loanlake.llm.common import by_place, pick, place, table
+from loanlake.llm.common import by_place, pick, place, slices, table
 from loanlake.session import stage
 
 #: A line of at most so many documents leads to all of its earlier documents.
@@ -110,7 +110,7 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in batches:
+        for batch in slices(batches):
             row, lines, places = [], [], []
             for one, text in enumerate(batch.column("text").to_pylist()):
                 found: dict[str, list[int]] = {}
@@ -192,7 +192,7 @@ def aligned_lines(docs: DataFrame, rare: int) -> DataFrame:
     kind = docs.schema["id"].dataType.simpleString()
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = []
             for row in batch.column("shared"):
                 partners: dict[tuple, tuple[dict[int, int], dict[int, int]]] = {}
@@ -252,7 +252,7 @@ def delete_repeats(
     ).drop("_id", "_hash")
 
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts, counts = [], []
             for one, places in zip(
                 batch.column(own).to_pylist(), batch.column("_aligned").to_pylist(), strict=True

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm.common import pick, rank_within, table
+from loanlake.llm.common import pick, rank_within, slices, table
 from loanlake.llm.tokens import encoder, text_list, tokenizer_path
 from loanlake.session import stage
 
@@ -75,7 +75,7 @@ def tokenised_pieces(
                 names=names,
             )
 
-        for batch in batches:
+        for batch in slices(batches):
             done: list[tuple[int, bytes]] = []
             held, current, size = [], 0, 0
             for number, kept in pieces_of.encode(text_list(batch.column("text"))):

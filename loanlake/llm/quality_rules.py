@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm.common import pick, table
+from loanlake.llm.common import pick, slices, table
 from loanlake.session import stage
 
 MIN_WORDS = 50
@@ -59,7 +59,7 @@ def base_counts(docs: DataFrame, id: str, text: str, host: str) -> DataFrame:
     kinds = {field.name: field.dataType.simpleString() for field in rows.schema}
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [text_counts(one.as_py()) for one in batch.column("text")]
             columns = list(zip(*found, strict=True)) or [[]] * len(COUNTS)
             yield pa.RecordBatch.from_arrays(

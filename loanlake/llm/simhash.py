@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm.common import by_place, pick, place, table
+from loanlake.llm.common import by_place, pick, place, slices, table
 from loanlake.llm.components import components
 from loanlake.session import stage
 
@@ -56,7 +56,7 @@ def fingerprints(
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [fingerprint(one.as_py(), shingle) for one in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(found, pa.int64())],

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm.common import pick, table
+from loanlake.llm.common import pick, slices, table
 from loanlake.llm.tokens import encoder, text_list, tokenizer_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -31,7 +31,7 @@ def count_tokens(
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces_of = encoder(tokenizer_path(tokenizer), len)
-        for batch in batches:
+        for batch in slices(batches):
             totals = [0] * batch.num_rows
             for number, kept in pieces_of.encode(text_list(batch.column("text"))):
                 totals[number] += sum(kept)

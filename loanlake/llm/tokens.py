@@ -27,7 +27,7 @@ UNSAFE_SPACE = re.compile(r"\s ")
 BATCH_CHARS = 1 << 20
 PART_CHARS = 1 << 18
 #: Pieces that a worker remembers in each of two generations.
-MAX_PIECES = 300_000
+MAX_PIECES = 150_000
 
 
 #: Pieces of smaller code points are encoded by ranks; both libraries agree on these.

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm.common import by_place, pick, table
+from loanlake.llm.common import by_place, pick, slices, table
 from loanlake.session import stage
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -44,8 +44,6 @@ FALSE_PICKS = 1.0
 STEMS = (4, 5, 6)
 FAIRNESS = 20.0
 RIDGE = 1e-4
-#: Words whose features a task remembers.
-MAX_KNOWN_WORDS = 500_000
 THRESHOLD = 0.5
 
 
@@ -60,28 +58,19 @@ class Model:
     def __init__(self, weights: Mapping[str, float], bias: float):
         self.weights = dict(weights)
         self.bias = bias
-        self.known: dict[str, list[str]] = {}
-
-    def __getstate__(self):
-        return self.__dict__ | {"known": {}}
-
-    def features(self, word: str) -> list[str]:
-        if len(self.known) >= MAX_KNOWN_WORDS:
-            self.known.clear()
-        return self.known.setdefault(
-            word, [feature for feature in features_of(word) if feature in self.weights]
-        )
+        # Words that begin otherwise have no known feature.
+        self.heads = {feature.removesuffix("-")[: STEMS[0]] for feature in self.weights}
 
     def score(self, text: str) -> float:
-        known = self.known
-        found: set[str] = set()
-        for word in set(WORD.findall(text.lower())):
-            features = known.get(word)
-            if features is None:
-                features = self.features(word)
-            if features:
-                found.update(features)
-        logit = self.bias + sum(self.weights[feature] for feature in sorted(found))
+        heads, weights = self.heads, self.weights
+        found = {
+            feature
+            for word in set(WORD.findall(text.lower()))
+            if word[: STEMS[0]] in heads
+            for feature in features_of(word)
+            if feature in weights
+        }
+        logit = self.bias + sum(weights[feature] for feature in sorted(found))
         return float(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
 
 
@@ -95,7 +84,7 @@ def distinct_features(rows: DataFrame, identity: tuple[tuple[str, ...], ...]) ->
     terms = {term for kind in identity for term in kind}
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             features, mentions = [], []
             for text in batch.column("text").to_pylist():
                 lowered = (text or "").lower()
@@ -276,7 +265,7 @@ def collect_examples(
     known = dict(place)
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [
                 [known[one] for one in own if one in known]
                 for own in batch.column("features").to_pylist()
@@ -311,7 +300,7 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             scores = [model.score(one or "") for one in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(scores, pa.float64())],
@@ -328,7 +317,7 @@ def reject(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     schema = rows.schema
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(column)
             yield batch.filter(
                 pa.array([model.score(one.as_py() or "") < THRESHOLD for one in texts], pa.bool_())
