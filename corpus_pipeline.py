@@ -38,8 +38,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their places in the training sequences."""
-    return packing.packed_documents(docs, "pipeline-pieces")
+    """Pieces of all documents with their token ids and places in the training sequences."""
+    placed = packing.packed_documents(docs, "pipeline-pieces")
+    return placed.withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [

@@ -185,14 +185,14 @@ def pack(pieces: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataF
 
 
 def packed_documents(docs: DataFrame, name: str = "pieces") -> DataFrame:
-    """Placed pieces of all documents, with a checksum of their ids instead of the ids.
+    """Placed pieces of all documents with their ``ids``, from which ``sequences`` are built.
 
     Null and empty texts are documents of one token; an empty table gives no
     rows; repeated rows are packed each. The pieces are written when this is
-    called, so texts are encoded once.
+    called, so texts are encoded once. Ranks need only a checksum of the ids.
     """
-    pieces = tokenised_pieces(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return pack(stage(pieces, name), ["doc_id", "piece", "ids_crc32"])
+    pieces = tokenised_pieces(docs).withColumn("_tie", F.crc32("ids"))
+    return pack(stage(pieces, name), ["doc_id", "piece", "_tie"]).drop("_tie")
 
 
 def sequences(placed: DataFrame) -> DataFrame:
@@ -212,4 +212,5 @@ def sequences(placed: DataFrame) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packed_documents(table(spark, folder, "documents"))
+    placed = packed_documents(table(spark, folder, "documents"))
+    return placed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")

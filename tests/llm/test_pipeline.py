@@ -1,5 +1,6 @@
 """The pipeline against its operators one after the other, and its planted cases."""
 
+import zlib
 from collections import Counter
 
 import corpus_pipeline
@@ -66,3 +67,13 @@ def test_entry_lists_the_queries():
     names = entry.queries()
     assert [f"op{n}_" for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in names)] == []
     assert "pipeline" in names and set(entry.oracle_sql()) <= set(names)
+
+
+def test_the_last_stage_keeps_the_ids(spark, edge, tmp_path):
+    unleaked, packed = stages(spark, edge, tmp_path)[-2:]
+    rows = packed.collect()
+    assert all(len(r.ids) == 4 * r.length and zlib.crc32(bytes(r.ids)) == r.ids_crc32 for r in rows)
+    want = packing.tokenised_pieces(unleaked).collect()
+    assert Counter((r.doc_id, r.start, bytes(r.ids)) for r in rows) == Counter(
+        (r.doc_id, r.start, bytes(r.ids)) for r in want
+    )

@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from loanlake.llm.packing import cut, op8_packing, pack, plan_slots, sequences, tokenised_pieces
+from loanlake.llm.packing import cut, op8_packing, pack, packed_documents, plan_slots, sequences, tokenised_pieces
 from loanlake.llm.token_counts import count_tokens, op7_token_counts
 from loanlake.llm.tokens import encoder, parts, pieces, tokenizer_path
 
@@ -161,3 +161,11 @@ def test_sequences_hold_the_ids(spark, whole):
     ids = np.frombuffer(bytes(only[0].ids), dtype="<u4").tolist()
     texts = {1: "one two", 2: "three", 3: ""}
     assert ids == [i for d in only[0].doc_ids for i in [*whole(texts[d]), 2]]
+
+
+def test_packed_documents_keep_the_ids(spark, edge, docs, whole):
+    placed = packed_documents(spark.read.parquet(f"{edge}/documents.parquet"))
+    want = Counter(i for _, text in docs for i in [*whole(text), 2])
+    built = sequences(placed).collect()
+    found = Counter(i for row in built for i in np.frombuffer(bytes(row.ids), dtype="<u4").tolist())
+    assert found == want
