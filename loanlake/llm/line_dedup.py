@@ -18,7 +18,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from loanlake.llm.common import by_place, pick, place, slices, table
 from loanlake.session import stage
 
-#: A line of at most so many documents leads to all of its earlier documents.
+#: A line of at most so many documents leads to all of its earlier documents at once.
 RARE = 4
 #: Words that a run of aligned lines needs to be deleted.
 MIN_WORDS = 20
@@ -102,116 +102,265 @@ def runs_to_delete(words: list[int], aligned: set[int], min_words: int) -> list[
     return [(first, last) for first, last, size in runs if size >= min_words]
 
 
-def distinct_lines(docs: DataFrame) -> DataFrame:
-    """``id``, ``text_hash``, ``line`` (128-bit hash) and its ``places`` for all lines with a word."""
+def document_lines(docs: DataFrame) -> DataFrame:
+    """``doc`` (id and text hash) and its lines with a word: ``places``, ``words``, ``lines`` (128-bit hashes)."""
     kind = docs.schema["id"].dataType.simpleString()
-    names = ["id", "text_hash", "line", "places"]
+    names = ["doc", "places", "words", "lines"]
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in slices(batches):
-            row, lines, places = [], [], []
-            for one, text in enumerate(batch.column("text").to_pylist()):
-                found: dict[str, list[int]] = {}
-                for at, line in enumerate((text or "").split("\n")):
-                    if line and not line.isspace():
-                        found.setdefault(line, []).append(at)
-                row.extend([one] * len(found))
-                lines.extend(xxhash.xxh3_128_digest(line.encode()) for line in found)
-                places.extend(found.values())
-            taken = pa.array(row, pa.int64())
+            places, words, lines = [], [], []
+            for text in batch.column("text").to_pylist():
+                found = [
+                    (at, line)
+                    for at, line in enumerate((text or "").split("\n"))
+                    if line and not line.isspace()
+                ]
+                places.append([at for at, _ in found])
+                words.append([len(line.split()) for _, line in found])
+                lines.append([xxhash.xxh3_128_digest(line.encode()) for _, line in found])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("id").take(taken),
-                    batch.column("text_hash").take(taken),
-                    pa.array(lines, pa.binary()),
+                    batch.column("doc"),
                     pa.array(places, pa.list_(pa.int32())),
+                    pa.array(words, pa.list_(pa.int32())),
+                    pa.array(lines, pa.list_(pa.binary())),
                 ],
                 names=names,
             )
 
-    return docs.mapInArrow(
-        split, f"id {kind}, text_hash long, line binary, places array<int>"
+    rows = docs.select(F.struct("id", "text_hash").alias("doc"), "text")
+    found = rows.mapInArrow(
+        split,
+        f"doc struct<id:{kind},text_hash:bigint>, places array<int>, words array<int>, lines array<binary>",
     )
+    return found.dropDuplicates(["doc"])
 
 
-def shared_lines(docs: DataFrame, rare: int) -> DataFrame:
-    """For every later document (``id``, ``text_hash``) its ``shared`` lines and where they were.
+def windows_of(words: list[int], frequent: list[bool], min_words: int) -> list[tuple[int, int]]:
+    """Least runs (first, last) of frequent lines around each line that have ``min_words`` words.
 
-    Documents meet through the lines they share. A line of at most ``rare``
-    documents leads from each of them to all earlier ones. A more common line
-    leads to the earliest document only, which is one row for each document, so
-    no line is left out and no line makes pairs of all its documents. The
-    earliest document and its places come out of the count of the line, before
-    the shuffle; a line that a third of all documents share is a hot key only of
-    a join that Spark splits.
+    Any run with so many words that holds a line holds one of the line's windows.
+    """
+    found = set()
+    start = 0
+    for at, often in enumerate([*frequent, False]):
+        if often:
+            continue
+        for here in range(start, at):
+            last, size = here, words[here]
+            while size < min_words and last + 1 < at:
+                last += 1
+                size += words[last]
+            first, before = here, None
+            while True:
+                while last > here and size - words[last] >= min_words:
+                    size -= words[last]
+                    last -= 1
+                if size >= min_words and last != before:
+                    found.add((first, last))
+                    before = last
+                if first == start or (size >= min_words and last == here):
+                    break
+                first -= 1
+                size += words[first]
+        start = at + 1
+    return sorted(found)
+
+
+def shared_documents(lines: DataFrame, shared: DataFrame, rare: int, min_words: int) -> DataFrame:
+    """Documents that share lines, with the ``windows`` of their frequent lines.
+
+    ``lines`` are empty where no other document has the line. ``kind`` is a hash
+    of the shared lines in order: documents of one kind align alike with any other.
     """
-    lines = stage(distinct_lines(docs), "lines")
-    keys = (
-        lines.groupBy("line")
-        .agg(
-            F.count("*").alias("holders"),
-            F.min(F.struct("id", "text_hash", "places")).alias("first"),
-            F.max(F.struct("id", "text_hash")).alias("last"),
-        )
-        .where(
-            ~(
-                F.col("first.id").eqNullSafe(F.col("last.id"))
-                & (F.col("first.text_hash") == F.col("last.text_hash"))
+    schema = lines.schema["doc"].dataType.simpleString()
+    window = pa.struct(
+        [
+            ("window", pa.binary()),
+            ("rarest", pa.binary()),
+            ("inside", pa.list_(pa.binary())),
+            ("at", pa.list_(pa.int32())),
+        ]
+    )
+    known = shared.groupBy("doc").agg(F.collect_list(F.struct("line", "holders")).alias("known"))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in slices(batches):
+            kept, kinds, windows = [], [], []
+            for places, words, own, known in zip(
+                *[batch.column(name).to_pylist() for name in ("places", "words", "lines", "known")],
+                strict=True,
+            ):
+                holders = {one["line"]: one["holders"] for one in known}
+                kept.append([line if line in holders else b"" for line in own])
+                kinds.append(xxhash.xxh3_128_digest(b"".join(kept[-1])))
+                found = []
+                for a, b in windows_of(words, [holders.get(line, 0) > rare for line in own], min_words):
+                    inside = own[a : b + 1]
+                    found.append(
+                        {
+                            "window": xxhash.xxh3_128_digest(b"".join(inside)),
+                            "rarest": min(inside, key=lambda line: (holders[line], line)),
+                            "inside": inside,
+                            "at": places[a : b + 1],
+                        }
+                    )
+                windows.append(found)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(name) for name in ("doc", "places", "words")],
+                    pa.array(kept, pa.list_(pa.binary())),
+                    pa.array(kinds, pa.binary()),
+                    pa.array(windows, pa.list_(window)),
+                ],
+                names=["doc", "places", "words", "lines", "kind", "windows"],
             )
-        )
+
+    return lines.join(known, "doc").mapInArrow(
+        mark,
+        f"doc {schema}, places array<int>, words array<int>, lines array<binary>, kind binary, "
+        "windows array<struct<window:binary,rarest:binary,inside:array<binary>,at:array<int>>>",
     )
-    keys = stage(keys.select("line", "holders", "first"), "line-holders")
-    shared = lines.join(keys, "line")
-    shared = stage(shared, "shared-lines")
-    here = F.struct("id", "text_hash")
-    columns = ["id", "text_hash", "places"]
-    common = shared.where((F.col("holders") > rare) & (here > F.struct("first.id", "first.text_hash")))
-    common = common.select(
-        *columns,
-        F.struct("first.id", "first.text_hash").alias("other"),
-        F.col("first.places").alias("other_places"),
+
+
+def window_holders(found: DataFrame, documents: DataFrame, shared: DataFrame) -> DataFrame:
+    """``window`` and, of each kind of documents with its lines in order, the earliest as ``other``.
+
+    Windows of several lines look for holders through their rarest line, so that
+    documents that have other lines between are found as well.
+    """
+    windows = stage(
+        found.dropDuplicates(["window"]).select("window", "rarest", "inside"), "line-windows"
     )
-    few = shared.where(F.col("holders") <= rare).select("line", *columns)
-    others = few.select(
-        F.col("line").alias("_line"),
-        F.struct("id", "text_hash").alias("other"),
-        F.col("places").alias("other_places"),
+    holding = shared.select(F.col("line").alias("rarest"), "doc")
+    likely = windows.join(holding, "rarest").groupBy("doc").agg(
+        F.collect_list(F.struct("window", "inside")).alias("likely")
     )
-    met = few.join(others, (F.col("line") == F.col("_line")) & (here > F.col("other")))
-    pairs = common.unionByName(met.select(*columns, "other", "other_places"))
-    return pairs.groupBy("id", "text_hash").agg(
-        F.collect_list(F.struct("other", "places", "other_places")).alias("shared")
+    schema = documents.schema["doc"].dataType.simpleString()
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            row, windows = [], []
+            for one, (lines, likely) in enumerate(
+                zip(batch.column("lines").to_pylist(), batch.column("likely").to_pylist(), strict=True)
+            ):
+                places: dict[bytes, list[int]] = defaultdict(list)
+                for at, line in enumerate(lines):
+                    places[line].append(at)
+                for each in likely:
+                    last = -1
+                    for line in each["inside"]:
+                        at = places.get(line, [])
+                        after = bisect_left(at, last + 1)
+                        if after == len(at):
+                            break
+                        last = at[after]
+                    else:
+                        row.append(one)
+                        windows.append(each["window"])
+            taken = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(windows, pa.binary()),
+                    batch.column("kind").take(taken),
+                    batch.column("doc").take(taken),
+                ],
+                names=["window", "kind", "doc"],
+            )
+
+    held = likely.join(documents.select("doc", "lines", "kind"), "doc").mapInArrow(
+        hold, f"window binary, kind binary, doc {schema}"
     )
+    return held.groupBy("window", "kind").agg(F.min("doc").alias("other")).drop("kind")
 
 
-def aligned_lines(docs: DataFrame, rare: int) -> DataFrame:
-    """``id``, ``text_hash`` and the ``aligned`` places of every document with an earlier partner."""
-    shared = shared_lines(docs, rare)
-    kind = docs.schema["id"].dataType.simpleString()
+def deleted_by(pairs: DataFrame, documents: DataFrame, min_words: int) -> DataFrame:
+    """``doc`` and the places (``gone``) of the blocks that it has in common with its ``other`` ones.
+
+    Every pair is aligned on all lines that the two share, and only runs with
+    enough words within one pair count.
+    """
+    schema = documents.schema["doc"].dataType.simpleString()
+    other = documents.select(F.col("doc").alias("other"), F.col("lines").alias("other_lines"))
+    rows = pairs.join(documents.select("doc", "places", "words", "lines"), "doc").join(other, "other")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = []
-            for row in batch.column("shared"):
-                partners: dict[tuple, tuple[dict[int, int], dict[int, int]]] = {}
-                for one in row.as_py():
-                    here, there = partners.setdefault(tuple(one["other"].values()), ({}, {}))
-                    line = one["places"][0]
-                    here.update(dict.fromkeys(one["places"], line))
-                    there.update(dict.fromkeys(one["other_places"], line))
-                found.append(sorted(set().union(*[patience(*sides) for sides in partners.values()])))
+            gone = []
+            for places, words, own, others in zip(
+                *[batch.column(name).to_pylist() for name in ("places", "words", "lines", "other_lines")],
+                strict=True,
+            ):
+                both = (set(own) & set(others)) - {b""}
+                aligned = patience(
+                    {at: line for at, line in enumerate(own) if line in both},
+                    {at: line for at, line in enumerate(others) if line in both},
+                )
+                runs = runs_to_delete(words, aligned, min_words)
+                gone.append([at for a, b in runs for at in range(places[a], places[b] + 1)])
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    batch.column("text_hash"),
-                    pa.array(found, pa.list_(pa.int32())),
-                ],
-                names=["id", "text_hash", "aligned"],
+                [batch.column("doc"), pa.array(gone, pa.list_(pa.int32()))], names=["doc", "gone"]
             )
 
-    return shared.mapInArrow(align, f"id {kind}, text_hash long, aligned array<int>")
+    found = rows.select("doc", "places", "words", "lines", "other_lines").mapInArrow(
+        align, f"doc {schema}, gone array<int>"
+    )
+    return (
+        found.where(F.size("gone") > 0)
+        .groupBy("doc")
+        .agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+    )
+
+
+def repeated_lines(docs: DataFrame, rare: int, min_words: int) -> DataFrame:
+    """``doc`` and the places (``gone``) of the blocks that any earlier document has as well.
+
+    The result is that of aligning every document with all earlier ones; only
+    pairs that can add nothing are left out. Documents that share a line of at
+    most ``rare`` documents are all aligned. Other pairs share frequent lines
+    alone, and can delete a line only if the earlier one has a window around it
+    (``windows_of``): each document is aligned with the earliest holder of each of
+    its windows, then, for windows with a line still there, with the earliest of
+    every kind of holders. That second step is small unless many documents have
+    a long frequent passage that their earlier ones have in another order.
+    """
+    lines = stage(document_lines(docs), "lines")
+    held = lines.select("doc", F.explode(F.array_distinct("lines")).alias("line"))
+    keys = held.groupBy("line").agg(F.count("*").alias("holders")).where("holders > 1")
+    shared = stage(held.join(stage(keys, "line-holders"), "line"), "shared-lines")
+    documents = stage(shared_documents(lines, shared, rare, min_words), "shared-documents")
+    found = documents.select("doc", F.inline("windows"))
+
+    few = shared.where(F.col("holders") <= rare)
+    others = few.select(F.col("line").alias("_line"), F.col("doc").alias("other"))
+    met = few.join(others, (F.col("line") == F.col("_line")) & (F.col("doc") > F.col("other")))
+    holders = stage(
+        window_holders(found, documents, shared.where(F.col("holders") > rare)), "window-holders"
+    )
+    firsts = stage(holders.groupBy("window").agg(F.min("other").alias("other")), "window-firsts")
+    led = found.select("doc", "window").join(firsts, "window").where(F.col("doc") > F.col("other"))
+    pairs = stage(
+        met.select("doc", "other").unionByName(led.select("doc", "other")).distinct(), "line-pairs"
+    )
+    gone = stage(deleted_by(pairs, documents, min_words), "deleted-lines")
+
+    left = found.join(gone, "doc", "left").where(
+        F.size(F.array_except("at", F.coalesce("gone", F.array().cast("array<int>")))) > 0
+    )
+    left = stage(left.select("doc", "window").distinct(), "windows-left")
+    more = left.join(holders, "window").where(F.col("doc") > F.col("other"))
+    more = more.select("doc", "other").distinct().join(pairs, ["doc", "other"], "left_anti")
+    rest = deleted_by(stage(more, "line-pairs-left"), documents, min_words)
+    return (
+        gone.unionByName(rest)
+        .groupBy("doc")
+        .agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+    )
 
 
 def delete_repeats(
@@ -226,10 +375,11 @@ def delete_repeats(
 
     A document is later than another if its id is larger, or, with equal ids, the
     hash of its text. Two documents that share lines are aligned by ``patience``;
-    lines of the later one that are aligned with any earlier one and stand
+    lines of the later one that are aligned with one earlier document and stand
     together form a block, and a block of at least ``min_words`` words is deleted
-    with its line breaks. Shorter shared lines stay. ``deleted`` names an
-    additional column for the number of deleted lines.
+    with its line breaks. Shorter shared lines stay. ``rare`` changes the work,
+    not the result (``repeated_lines``). ``deleted`` names an additional column
+    for the number of deleted lines.
 
     Null texts stay null and texts without words stay as they are; null ids count
     as the earliest; rows that repeat an id and a text are one document and keep
@@ -239,14 +389,14 @@ def delete_repeats(
     """
     texts = pick(docs, id=id, text=text)
     texts = texts.select("id", F.xxhash64("text").alias("text_hash"), "text")
-    aligned = stage(aligned_lines(texts, rare), "aligned-lines").select(
-        F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("aligned").alias("_aligned")
+    gone = stage(repeated_lines(texts, rare, min_words), "repeated-lines").select(
+        F.col("doc.id").alias("_id"), F.col("doc.text_hash").alias("_hash"), F.col("gone").alias("_gone")
     )
     rows = by_place(docs)
     places_of = rows.columns
     own = places_of[docs.columns.index(text)]
     joined = rows.join(
-        aligned,
+        gone,
         place(docs, id).eqNullSafe(F.col("_id")) & (F.xxhash64(own) == F.col("_hash")),
         "left",
     ).drop("_id", "_hash")
@@ -255,16 +405,13 @@ def delete_repeats(
         for batch in slices(batches):
             texts, counts = [], []
             for one, places in zip(
-                batch.column(own).to_pylist(), batch.column("_aligned").to_pylist(), strict=True
+                batch.column(own).to_pylist(), batch.column("_gone").to_pylist(), strict=True
             ):
-                runs: list[tuple[int, int]] = []
-                if one and places:
-                    lines = one.split("\n")
-                    runs = runs_to_delete([len(line.split()) for line in lines], set(places), min_words)
-                    gone = {at for first, last in runs for at in range(first, last + 1)}
-                    one = "\n".join(line for at, line in enumerate(lines) if at not in gone)
+                gone = set(places or ())
+                if gone:
+                    one = "\n".join(line for at, line in enumerate(one.split("\n")) if at not in gone)
                 texts.append(one)
-                counts.append(sum(last - first + 1 for first, last in runs))
+                counts.append(len(gone))
             columns = {name: batch.column(name) for name in places_of}
             columns[own] = pa.array(texts, batch.schema.field(own).type)
             if deleted:

@@ -13,6 +13,7 @@ from loanlake.llm.line_dedup import (
     op1_line_dedup,
     patience,
     runs_to_delete,
+    windows_of,
 )
 
 SCHEMA = "doc_id long, text string"
@@ -159,3 +160,57 @@ def test_longest_rising():
 def test_runs():
     assert runs_to_delete([9, 0, 12, 4, 30], {0, 2, 4}, 20) == [(0, 2), (4, 4)]
     assert runs_to_delete([9, 5, 12], {0, 2}, 20) == []
+
+
+def uncapped(docs, min_words=MIN_WORDS):
+    """New texts by aligning every document with all earlier ones; ids differ."""
+    lines = {i: [(at, x) for at, x in enumerate(text.split("\n")) if x.strip()] for i, text in docs}
+    new = {}
+    for i, text in docs:
+        split, gone = text.split("\n"), set()
+        for other in (j for j in lines if j < i):
+            both = {x for _, x in lines[i]} & {x for _, x in lines[other]}
+            aligned = direct_patience(
+                [x for x in lines[i] if x[1] in both], [x for x in lines[other] if x[1] in both]
+            )
+            for first, last in runs_to_delete([len(x.split()) for x in split], aligned, min_words):
+                gone |= set(range(first, last + 1))
+        new[i] = "\n".join(x for at, x in enumerate(split) if at not in gone)
+    return new
+
+
+def test_frequent_passages_in_another_order(spark):
+    """The earliest holder has the passages swapped; a later holder has them in order."""
+    rng = random.Random(5)
+    p, q = words(rng, 30), words(rng, 30)
+    docs = [(1, f"{q}\n{p}"), *[(i, f"{p}\nown line {i}\n{q}") for i in range(2, 12)]]
+    found = result(spark, docs)
+    assert found == uncapped(docs)
+    assert all(found[i] == f"own line {i}" for i in range(3, 12))
+
+
+@pytest.mark.parametrize("rare", [1, RARE])
+def test_against_all_pairs(spark, rare):
+    rng = random.Random(9)
+    common = [words(rng, n) for n in (3, 6, 9, 12, 15, 25, 30, 8)]
+    docs = []
+    for i in range(150):
+        some = [rng.choice([*common, "", words(rng, rng.randint(2, 25))]) for _ in range(rng.randint(1, 9))]
+        docs.append((i, rng.choice(docs)[1] if docs and rng.random() < 0.1 else "\n".join(some)))
+    assert result(spark, docs, rare=rare) == uncapped(docs)
+
+
+def test_windows():
+    assert windows_of([25, 3, 19, 30], [True] * 4, 20) == [(0, 0), (0, 1), (1, 2), (2, 3), (3, 3)]
+    assert windows_of([12, 9, 12], [True, False, True], 20) == []
+    rng = random.Random(4)
+    for _ in range(300):
+        sizes = [rng.randint(1, 12) for _ in range(rng.randint(1, 9))]
+        often = [rng.random() < 0.8 for _ in sizes]
+        found = windows_of(sizes, often, 20)
+        assert all(sum(sizes[a : b + 1]) >= 20 and all(often[a : b + 1]) for a, b in found)
+        for a in range(len(sizes)):
+            for b in range(a, len(sizes)):
+                if all(often[a : b + 1]) and sum(sizes[a : b + 1]) >= 20:
+                    for at in range(a, b + 1):
+                        assert any(a <= c <= at <= d <= b for c, d in found)
