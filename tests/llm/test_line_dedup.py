@@ -189,6 +189,15 @@ def test_frequent_passages_in_another_order(spark):
     assert all(found[i] == f"own line {i}" for i in range(3, 12))
 
 
+def test_a_block_is_in_one_earlier_document(spark):
+    rng = random.Random(6)
+    a, b, c = words(rng, 12), words(rng, 9), words(rng, 15)
+    docs = [(1, f"{a}\n{c}"), (2, b), (3, f"x\n{a}\n{b}\ny"), (4, f"{a}\nz\n{b}"), (5, f"{a}\n{b}")]
+    found = result(spark, docs)
+    assert found == uncapped(docs)
+    assert found[3] == docs[2][1] and found[5] == ""
+
+
 @pytest.mark.parametrize("rare", [1, RARE])
 def test_against_all_pairs(spark, rare):
     rng = random.Random(9)
