@@ -124,7 +124,8 @@ def judge_urls(
 
     ``rules`` has ``rule_host``, ``rule_path`` and ``verdict``. Where a rule fits,
     it decides. Elsewhere the host does: hosts that rules mostly allow (block) are
-    trusted (blocked) seeds, trust spreads along the links between hosts and
+    trusted (blocked) seeds, as are link targets without a page whose whole host a
+    rule allows (blocks); trust spreads along the links between hosts and
     distrust against them (``spread``), and a host is blocked if its distrust is
     above ``max_distrust`` and above its trust. Pages are counted per host and
     links per pair of hosts before any shuffle, so a host with a third of all
@@ -143,7 +144,16 @@ def judge_urls(
         rows.select("page_id", host.alias("host"), path.alias("path"), targets.alias("targets")),
         "page-hosts",
     )
-    fitting = stage(host_rules(read.select("host").distinct(), rules), "host-rules")
+    edges = stage(
+        read.select(F.col("host").alias("source"), F.explode("targets").alias("target"))
+        .where("source <> target and source <> ''")
+        .groupBy("source", "target")
+        .agg(F.count("*").alias("weight")),
+        "page-links",
+    )
+    hosts = read.select("host").union(edges.select("target")).distinct()
+    fitting = stage(host_rules(hosts, rules), "host-rules")
+    whole = fitting.select("host", best_rule(F.col("rules"), F.lit("/"))["verdict"].alias("verdict"))
     fitting = fitting.select(F.col("host").alias("_host"), "rules")
     ruled = read.select("page_id", "host", "path").join(fitting, F.col("host") == F.col("_host"), "left")
     ruled = stage(
@@ -160,11 +170,13 @@ def judge_urls(
             for verdict, kind in (("allow", "trust"), ("block", "distrust"))
         ]
     )
-    edges = (
-        read.select(F.col("host").alias("source"), F.explode("targets").alias("target"))
-        .where("source <> target and source <> ''")
-        .groupBy("source", "target")
-        .agg(F.count("*").alias("weight"))
+    uncrawled = whole.where("verdict is not null").join(read.select("host").distinct(), "host", "left_anti")
+    seeds = seeds.unionByName(
+        uncrawled.select(
+            "host",
+            (F.col("verdict") == "allow").cast("double").alias("trust"),
+            (F.col("verdict") == "block").cast("double").alias("distrust"),
+        )
     )
     scores = stage(spread(edges, seeds, damping, rounds), "host-verdicts")
     scores = scores.withColumnRenamed("host", "_host")

@@ -126,3 +126,16 @@ def test_longest_rule_wins_whatever_the_order(spark):
         1: ("a.example.org/", "allow"), 2: ("example.org/", "block"),
         3: ("example.org/x/y/z/long/", "block"), 4: (None, "allow"),
     }
+
+
+def test_uncrawled_blocked_hosts_are_seeds(spark):
+    rules = spark.createDataFrame(RULES, "rule_host string, rule_path string, verdict string")
+    link = '<a href="https://{}/x">x</a>'
+    pages = spark.createDataFrame(
+        [(1, "https://linker.info/", link.format("a.net") + link.format("b.net")),
+         (2, "https://other.info/", link.format("a.org") + link.format("example.com"))],
+        "page_id long, url string, html string",
+    )
+    found = {r.page_id: (r.verdict, r.distrust) for r in judge_urls(pages, rules).collect()}
+    assert found[1] == ("block", pytest.approx(2 * 0.85 * 0.15))
+    assert found[2] == ("allow", 0.0), "no rule covers the whole of these targets"
