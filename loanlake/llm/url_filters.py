@@ -17,9 +17,12 @@ RULES: tuple[tuple[str, str, str], ...] = (
 )
 #: A host is a seed if rules give more than this share of its pages one verdict.
 SEED_SHARE = 0.5
-#: Share of a score that goes on along links, and rounds of passing it on.
+#: Share of a score that goes on along links.
 DAMPING = 0.85
-ROUNDS = 10
+#: Scores are passed on until less than this is added to all of them together; the
+#: limit on rounds is only for a damping near 1.
+TOLERANCE = 1e-12
+ROUNDS = 1000
 #: A host is blocked if its distrust is above this and above its trust.
 MAX_DISTRUST = 0.02
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -70,7 +73,10 @@ def spread(links: DataFrame, seeds: DataFrame, damping: float, rounds: int) -> D
     distrust goes against them, from a host to those that link to it. Both are
     carried in one frame, so a round is one join and one sum; sums are formed
     before the shuffle, scores are staged every round, and Spark splits the join
-    of a host with very many links. Without links the seeds are the result.
+    of a host with very many links. Scores start from the seeds' own share and a
+    round passes on what the last one added, until that is below ``TOLERANCE`` in
+    all, so no score is too high and each lacks less than about six times
+    as much. Without links the seeds are the result.
     """
     forward = links.select(
         F.lit("trust").alias("kind"), F.col("source").alias("giver"), F.col("target").alias("host"), "weight"
@@ -95,15 +101,24 @@ def spread(links: DataFrame, seeds: DataFrame, damping: float, rounds: int) -> D
         ).where("score > 0"),
         "host-seeds",
     )
-    base = start.withColumn("score", F.col("score") * (1 - damping))
-    scores = start
-    for _ in range(0 if shares.isEmpty() else rounds):
-        passed = scores.withColumnRenamed("host", "giver").join(shares, ["kind", "giver"])
-        passed = passed.select(
-            "host", "kind", (F.col("score") * F.col("share") * damping).alias("score")
-        )
-        total = base.unionByName(passed).groupBy("host", "kind").agg(F.sum("score").alias("score"))
-        scores = stage(total, "host-scores")
+    if shares.isEmpty():
+        scores = start
+    else:
+        own = F.col("score") * (1 - damping)
+        scores = start.select("host", "kind", own.alias("score"), own.alias("added"))
+        for _ in range(rounds):
+            passed = scores.where("added > 0").withColumnRenamed("host", "giver")
+            passed = passed.join(shares, ["kind", "giver"]).select(
+                "host", "kind", (F.col("added") * F.col("share") * damping).alias("score")
+            )
+            passed = passed.withColumn("added", F.col("score"))
+            total = scores.withColumn("added", F.lit(0.0)).unionByName(passed)
+            total = total.groupBy("host", "kind").agg(
+                F.sum("score").alias("score"), F.sum("added").alias("added")
+            )
+            scores = stage(total, "host-scores")
+            if (scores.agg(F.sum("added")).first()[0] or 0.0) < TOLERANCE:
+                break
     of = {kind: F.sum(F.when(F.col("kind") == kind, F.col("score"))) for kind in ("trust", "distrust")}
     return scores.groupBy("host").agg(
         *[F.round(F.coalesce(score, F.lit(0.0)), 12).alias(kind) for kind, score in of.items()]

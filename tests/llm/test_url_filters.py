@@ -139,3 +139,13 @@ def test_uncrawled_blocked_hosts_are_seeds(spark):
     found = {r.page_id: (r.verdict, r.distrust) for r in judge_urls(pages, rules).collect()}
     assert found[1] == ("block", pytest.approx(2 * 0.85 * 0.15))
     assert found[2] == ("allow", 0.0), "no rule covers the whole of these targets"
+
+
+def test_distrust_goes_down_a_long_chain(spark):
+    links = spark.createDataFrame(
+        [(f"h{i + 1}", f"h{i}", 1) for i in range(14)], "source string, target string, weight long"
+    )
+    seeds = spark.createDataFrame([("h0", 0.0, 1.0)], "host string, trust double, distrust double")
+    found = {r.host: r.distrust for r in spread(links, seeds, DAMPING, ROUNDS).collect()}
+    assert found == {f"h{i}": pytest.approx(0.15 * 0.85**i) for i in range(15)}
+    assert found["h12"] > MAX_DISTRUST > found["h13"]
