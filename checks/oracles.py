@@ -473,6 +473,53 @@ FROM apps a LEFT JOIN numbered d
  AND a.applicant_level_of_education IS NOT DISTINCT FROM d.applicant_level_of_education
 """
 
+INVALID_AMOUNT = (
+    "loan_amount_requested_usd IS NULL OR loan_amount_requested_usd <= 0 OR loan_amount_requested_usd > 500000"
+)
+REJECTED = f"""
+    SELECT 'loan_applications' AS source, 'valid_amount(loan_amount_requested_usd)' AS failed_checks, application_id
+    FROM apps WHERE {INVALID_AMOUNT}
+    UNION ALL
+    SELECT 'loan_repayments', 'expression_is_true(amount_paid_usd)', application_id
+    FROM repayments WHERE amount_paid_usd < 0
+    UNION ALL
+    SELECT 'credit_bureau', 'valid_score(credit_score)', application_id
+    FROM credit WHERE credit_score < 300 OR credit_score > 850
+"""
+LOADED = ("dim_employment", "dim_contact_info", "dim_next_of_kin", "fact_loans")
+WRITTEN = {
+    "fact_loans": "SELECT * FROM fact",
+    "dim_applicants": "SELECT * FROM applicants",
+    "dim_employment": (
+        "SELECT * FROM employment UNION ALL SELECT * FROM employment WHERE application_id LIKE '%77'"
+    ),
+    "dim_contact_info": (
+        "SELECT * FROM contacts UNION ALL SELECT * REPLACE ('GONE' || application_id AS application_id)"
+        " FROM contacts WHERE application_id LIKE '%88'"
+    ),
+    "dim_next_of_kin": "SELECT * FROM kin",
+    "fact_repayments": "SELECT * FROM repayments",
+}
+
+
+def loaded_unique(table: str, column: str) -> str:
+    return f"""
+        SELECT 'unique' AS check_name, '{column}' AS column_name, 'critical' AS severity,
+          count(*) FILTER (n > 1) AS failed_rows, count(*) AS total_rows,
+          count(*) FILTER (n > 1) = 0 AS passed, '{table}' AS table_name
+        FROM (SELECT count(*) AS n FROM ({WRITTEN[table]}) WHERE {column} IS NOT NULL GROUP BY {column})
+    """
+
+
+def loaded_reference(table: str, column: str, target: str, severity: str = "critical") -> str:
+    return f"""
+        SELECT 'references', '{column}', '{severity}', CAST(coalesce(sum(n), 0) AS BIGINT), count(*),
+          coalesce(sum(n), 0) = 0, '{table}'
+        FROM (SELECT {column} AS key, count(*) AS n FROM ({WRITTEN[table]}) WHERE {column} IS NOT NULL GROUP BY ALL)
+        WHERE key NOT IN (SELECT {column} FROM ({WRITTEN[target]}) WHERE {column} IS NOT NULL)
+    """
+
+
 ORACLES: dict[str, str] = {
     "clean_applications": whole("apps"),
     "clean_repayments": whole("repayments"),
@@ -722,4 +769,67 @@ ORACLES: dict[str, str] = {
     "csv_roundtrip": whole("contacts"),
     "csv_recleaned": whole("repayments"),
     "table_roundtrip": whole("employment"),
+    "csv_rejected_lines": """
+        SELECT CASE WHEN o_orderkey % 7 = 0
+                    THEN o_orderkey || ',"C, ' || o_custkey || '",' || o_orderstatus || ',EXTRA'
+                    ELSE o_orderkey || ',C' || o_custkey END AS line,
+          3 AS expected_fields,
+          CASE WHEN o_orderkey % 7 = 0 THEN 4 ELSE 2 END AS found_fields,
+          CASE WHEN o_orderkey % 7 = 0 THEN 'too many fields' ELSE 'too few fields' END AS problem
+        FROM orders WHERE o_orderkey % 7 = 0 OR o_orderkey % 11 = 0
+    """,
+    "csv_kept_rows": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS "order",
+          CASE WHEN o_orderkey % 13 = 0 THEN 'C "' || o_custkey || '"' ELSE 'C' || o_custkey END AS customer,
+          o_orderstatus AS status
+        FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0
+    """,
+    "csv_first_in_file": """
+        SELECT CAST(l_orderkey AS VARCHAR) AS application_id, CAST(l_linenumber AS VARCHAR) AS line_number,
+          CAST(CAST(trunc(l_extendedprice * 100) AS BIGINT) AS VARCHAR) AS cents
+        FROM lineitem
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY CAST(l_linenumber AS VARCHAR) DESC,
+          trunc(l_extendedprice * 100) DESC) = 1
+    """,
+    "load_written_rows": sql(
+        """
+        SELECT load, rows_written, rows_held FROM (
+          SELECT count(*) FILTER (is_odd) AS a, count(*) FILTER (NOT is_odd) AS b
+          FROM (SELECT CAST(substr(application_id, 3) AS BIGINT) % 4 = 1 AS is_odd FROM employment)
+        ), LATERAL (VALUES ('truncate', a, a), ('append', b, a + b), ('append again', b, a + 2 * b),
+          ('day', a, a), ('next day', b, a + b), ('next day again', b, a + b)) AS t(load, rows_written, rows_held)
+        """,
+        "employment",
+    ),
+    "load_day_repeated": sql(
+        """
+        SELECT *, CASE WHEN CAST(substr(application_id, 3) AS BIGINT) % 4 = 1 THEN 'run-3' ELSE 'run-2' END AS _run_id,
+          CASE WHEN CAST(substr(application_id, 3) AS BIGINT) % 4 = 1
+               THEN DATE '2024-01-01' ELSE DATE '2024-01-02' END AS _load_date
+        FROM employment
+        """,
+        "employment",
+    ),
+    "load_as_unit": sql(
+        "SELECT * FROM employment JOIN contacts USING (application_id)", "employment", "contacts"
+    ),
+    "rejected_rows": sql(f"SELECT * FROM ({REJECTED})", "apps", "repayments", "credit"),
+    "rejected_rows_per_check": sql(
+        f"SELECT source, failed_checks AS failed_check, count(*) AS rejected_rows FROM ({REJECTED}) GROUP BY ALL",
+        "apps", "repayments", "credit",
+    ),
+    "applications_kept": sql(f"SELECT * FROM apps WHERE NOT ({INVALID_AMOUNT})", "apps"),
+    "dq_loaded_suite": sql(
+        " UNION ALL ".join(
+            [
+                *[loaded_unique(t, "application_id") for t in LOADED[:4]],
+                loaded_unique("dim_applicants", "applicant_id"),
+                loaded_reference("fact_loans", "applicant_id", "dim_applicants"),
+                *[loaded_reference(t, "application_id", "fact_loans") for t in LOADED[:3]],
+                *[loaded_reference("fact_loans", "application_id", t) for t in LOADED[:3]],
+                loaded_reference("fact_repayments", "application_id", "fact_loans", "warning"),
+            ]
+        ),
+        "fact", "applicants", "employment", "contacts", "kin", "repayments",
+    ),
 }

@@ -13,6 +13,18 @@ def round_cents(value: Column) -> Column:
     return F.rint(value * 100) / 100
 
 
+def exact_sum(amount: Column) -> Column:
+    """Sum of amounts in cents, the same in whatever order they are added.
+
+    Amounts are added as decimals of six places. Only where one does not fit those
+    (or is infinite) the sum is that of doubles.
+    """
+    exact = amount.try_cast("decimal(28,6)")
+    unfit = F.count_if(exact.isNull() & amount.isNotNull())
+    total = F.when(unfit == 0, F.sum(exact)).cast("double")
+    return round_cents(F.when(unfit == 0, total).otherwise(F.sum(amount)))
+
+
 def monthly_payment(principal: Column, annual_rate_pct: Column, term_months: Column) -> Column:
     """Annuity payment; without a positive rate the principal in equal parts.
 

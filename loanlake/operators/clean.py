@@ -24,6 +24,7 @@ from loanlake.operators.rows import (
     fill_credit_keys,
     repayment_key,
 )
+from loanlake.sources.files import ORDER
 
 
 def clean_applications(
@@ -35,7 +36,8 @@ def clean_applications(
 ) -> DataFrame:
     """Names, exact copies, missing key, then dates, numbers and phones.
 
-    Copies are compared as raw text, before anything is parsed. Pass
+    Copies are compared as raw text, before anything is parsed; where the scan tells
+    the place of a row in its source, the first of its copies gives it. Pass
     ``distinct=False`` where the consumer removes duplicates itself on fewer
     columns, as the dimensions do: it saves the widest shuffle of all.
     """
@@ -60,7 +62,7 @@ def clean_repayments(
     A row whose date is present but unreadable stays, with a NULL date. The loan
     key is offered as ``application_id`` and under its original name.
     """
-    df = rename_columns(raw)
+    df = rename_columns(raw.drop(ORDER))
     if distinct:
         df = distinct_rows(df)
     key = repayment_key(df)
@@ -83,7 +85,7 @@ def clean_credit(
     raw: DataFrame, *, date_formats: Iterable[str] = (ISO,), distinct: bool = True
 ) -> DataFrame:
     """Names, both key columns, missing key, exact copies, values, credit band."""
-    df = fill_credit_keys(rename_columns(raw))
+    df = fill_credit_keys(rename_columns(raw.drop(ORDER)))
     df = drop_missing(df, ["application_id"])
     if distinct:
         df = distinct_rows(df)

@@ -7,7 +7,7 @@ of their own, and send counts per key instead of rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -104,6 +104,71 @@ def references(
     return found.select(*_result("references", column, severity, F.col("_f"), F.col("_t")))
 
 
+@dataclass(frozen=True)
+class Keys:
+    """Keys of a table: those of one ``domain`` are compared with each other."""
+
+    table: str
+    column: str
+    domain: str
+
+
+@dataclass(frozen=True)
+class Reference:
+    """Every key of ``source`` has to be one of ``target``."""
+
+    source: Keys
+    target: Keys
+    severity: str = CRITICAL
+
+
+def key_suite(
+    tables: Mapping[str, DataFrame], unique: Sequence[Keys], references: Sequence[Reference]
+) -> DataFrame:
+    """Uniqueness and references of many tables from one pass of key counts.
+
+    All keys go through a single shuffle, counted per key before it, so a hot key
+    is one row per task. Failed rows of a uniqueness check are the keys that occur
+    more than once, those of a reference the rows whose key the target lacks.
+    Missing keys are left out. Results carry the ``table_name``.
+    """
+    sides = list(dict.fromkeys([*unique, *[k for r in references for k in (r.source, r.target)]]))
+    keys = reduce(
+        DataFrame.unionByName,
+        [
+            tables[k.table].where(F.col(k.column).isNotNull()).select(
+                F.lit(k.domain).alias("_domain"),
+                F.col(k.column).cast("string").alias("_key"),
+                F.lit(i).alias("_side"),
+            )
+            for i, k in enumerate(sides)
+        ],
+    )
+    held = {k: F.col(f"_n{i}") for i, k in enumerate(sides)}
+    counts = keys.groupBy("_domain", "_key").agg(
+        *[F.count_if(F.col("_side") == i).alias(f"_n{i}") for i in range(len(sides))]
+    )
+    found = []
+    for k in unique:
+        found.append(("unique", k, CRITICAL, F.count_if(held[k] > 1), F.count_if(held[k] > 0)))
+    for r in references:
+        lacking = (held[r.source] > 0) & (held[r.target] == 0)
+        rows = F.coalesce(F.sum(F.when(lacking, held[r.source])), F.lit(0))
+        found.append(("references", r.source, r.severity, rows, F.count_if(lacking)))
+    totals = counts.agg(
+        *[f.alias(f"_f{i}") for i, (*_, f, _) in enumerate(found)],
+        *[t.alias(f"_t{i}") for i, (*_, t) in enumerate(found)],
+    )
+    rows = [
+        F.struct(
+            *_result(name, k.column, severity, F.col(f"_f{i}"), F.col(f"_t{i}")),
+            F.lit(k.table).alias("table_name"),
+        )
+        for i, (name, k, severity, _, _) in enumerate(found)
+    ]
+    return totals.select(F.inline(F.array(*rows)))
+
+
 def all_results(*results: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, results)
 

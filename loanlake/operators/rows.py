@@ -10,22 +10,34 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from loanlake.sources.files import ORDER
+
 
 def distinct_rows(df: DataFrame) -> DataFrame:
-    """Whole rows once, NULL equal to NULL; copies collapse before the shuffle."""
-    return df.distinct()
+    """Whole rows once, NULL equal to NULL; copies collapse before the shuffle.
+
+    Rows that tell their place in a source keep the first place of their copies.
+    """
+    if ORDER not in df.columns:
+        return df.distinct()
+    values = [c for c in df.columns if c != ORDER]
+    return df.groupBy(*[f"`{c}`" for c in values]).agg(F.min(ORDER).alias(ORDER)).select(df.columns)
 
 
 def keep_one(df: DataFrame, key: str) -> DataFrame:
-    """One row per key, the smallest in the order of all other columns.
+    """One row per key: the first in its source, else the smallest in the order of all other columns.
 
-    The choice does not depend on how the input is spread over tasks. Spark
-    limits each task to one row per key before the shuffle (WindowGroupLimit),
-    so a hot key sends one row per task.
+    Neither choice depends on how the input is spread over tasks: the place in the
+    source, which the scan can add, is dropped from the result. Spark limits each
+    task to one row per key before the shuffle (WindowGroupLimit), so a hot key
+    sends one row per task.
     """
-    order = [F.col(c).asc_nulls_first() for c in df.columns if c != key] or [F.col(key)]
+    others = [c for c in df.columns if c not in (key, ORDER)]
+    order = [F.col(c).asc_nulls_first() for c in others] or [F.col(key)]
+    if ORDER in df.columns:
+        order = [F.col(ORDER), *order]
     rank = F.row_number().over(W.partitionBy(key).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+    return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank", ORDER)
 
 
 def drop_missing(

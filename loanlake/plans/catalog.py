@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +12,28 @@ from pyspark.sql import functions as F
 
 from loanlake.functions.ids import ID_LENGTH
 from loanlake.operators import clean, quality
+from loanlake.operators.joins import keyed_join
+from loanlake.operators.rejects import rejects_per_check
+from loanlake.operators.rows import keep_one
 from loanlake.plans import gate, legacy, mart, reports, star
 from loanlake.plans.pipeline import star_tables
 from loanlake.session import shared_dir, stage
-from loanlake.sources.files import read_csv
-from loanlake.sources.tables import count_rows, read_table, write_csv, write_table
-from loanlake.sources.tpch_lending import raw_credit_by_application, raw_sources
+from loanlake.sources.files import CsvScan, read_csv, scan_csv
+from loanlake.sources.loads import load_day, publish
+from loanlake.sources.tables import (
+    LoadError,
+    count_rows,
+    read_table,
+    write_counted,
+    write_csv,
+    write_table,
+)
+from loanlake.sources.tpch_lending import (
+    line_items,
+    orders,
+    raw_credit_by_application,
+    raw_sources,
+)
 
 AS_OF = "2000-01-01"
 SSN = ["applicant_ssn"]
@@ -232,17 +249,159 @@ def _csv_roundtrip(x: Lending) -> DataFrame:
     return read_csv(x.spark, write_csv(x.contacts, path), multi_line=True)
 
 
+def _fresh(x: Lending, what: str) -> tuple[str, str]:
+    """A new table name and the folder of such tables."""
+    return f"loanlake_{what}_{uuid.uuid4().hex}", f"{shared_dir(x.spark)}/loanlake"
+
+
+def _read_and_drop(x: Lending, *names: str) -> list[DataFrame]:
+    """What tables hold, kept as staged files, so that the catalogue is left as it was."""
+    read = [stage(read_table(x.spark, name), name) for name in names]
+    for name in names:
+        x.spark.sql(f"DROP TABLE {name}")
+    return read
+
+
 def _table_roundtrip(x: Lending) -> DataFrame:
-    name = f"loanlake_employment_{uuid.uuid4().hex}"
-    write_table(x.employment, name, location=f"{shared_dir(x.spark)}/loanlake")
-    return read_table(x.spark, name)
+    name, location = _fresh(x, "employment")
+    write_table(x.employment, name, location=location)
+    return _read_and_drop(x, name)[0]
 
 
 def _loaded_mart(x: Lending) -> DataFrame:
     """The mart as a run loads it: staged, written as a table and read again."""
-    name = f"loanlake_mart_{uuid.uuid4().hex}"
-    write_table(x.performance, name, location=f"{shared_dir(x.spark)}/loanlake")
-    return read_table(x.spark, name)
+    name, location = _fresh(x, "mart")
+    write_table(x.performance, name, location=location)
+    return _read_and_drop(x, name)[0]
+
+
+RAGGED_LINE = '''
+    case when k % 7 = 0 then concat(k, ',"C, ', u, '",', o_orderstatus, ',EXTRA')
+         when k % 11 = 0 then concat(k, ',C', u)
+         when k % 13 = 0 then concat(k, ',"C ""', u, '""",', o_orderstatus)
+         else concat(k, ',C', u, ',', o_orderstatus) end as `order,customer,status`
+'''
+
+
+def _ragged(x: Lending) -> CsvScan:
+    """Orders as the lines of a CSV, some with a field too many or one missing."""
+    path = f"{shared_dir(x.spark)}/loanlake/csv-{uuid.uuid4().hex}"
+    lines = orders(x.spark, x.folder).selectExpr(RAGGED_LINE)
+    # One column without quoting: the lines are written as they are.
+    lines.write.csv(path, header=True, sep="\u0001", quote="", escapeQuotes=False)
+    return scan_csv(x.spark, path, on_bad_rows="reject")
+
+
+def _first_in_file(x: Lending) -> DataFrame:
+    """First row of every order in a CSV that has the last line item first."""
+    path = f"{shared_dir(x.spark)}/loanlake/csv-{uuid.uuid4().hex}"
+    lines = line_items(x.spark, x.folder).selectExpr(
+        "cast(l_orderkey as string) as application_id",
+        "cast(l_linenumber as string) as line_number",
+        "cast(cast(l_extendedprice * 100 as bigint) as string) as cents",
+    )
+    falling = [F.desc("line_number"), F.desc(F.col("cents").cast("long"))]
+    write_csv(lines.orderBy(*falling, "application_id"), path)
+    return keep_one(scan_csv(x.spark, path, order=True, watch=False).rows, "application_id")
+
+
+ODD = "cast(substr(application_id, 3) as bigint) % 4 = 1"
+
+
+def _halves(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return df.where(ODD), df.where(f"not {ODD}")
+
+
+def _daily(x: Lending) -> DataFrame:
+    """Two days are loaded, and the first of them again."""
+    name, location = _fresh(x, "days")
+    first, second = _halves(stage(x.employment, "employment"))
+    days = date(2024, 1, 1), date(2024, 1, 2)
+    load_day(first, name, days[0], "run-1", location=location)
+    load_day(second, name, days[1], "run-2", location=location)
+    load_day(first, name, days[0], "run-3", location=location)
+    return _read_and_drop(x, name)[0]
+
+
+def _written_rows(x: Lending) -> DataFrame:
+    """Rows written and rows held, as overwriting, appending and daily loads tell them."""
+    name, location = _fresh(x, "counted")
+    days = f"{name}_days"
+    first, second = _halves(stage(x.employment, "employment"))
+    told = {
+        "truncate": write_counted(first, name, location=location),
+        "append": write_counted(second, name, mode="WRITE_APPEND", location=location),
+        "append again": write_counted(second, name, mode="WRITE_APPEND", location=location),
+        "day": load_day(first, days, date(2024, 1, 1), "run-1", location=location),
+        "next day": load_day(second, days, date(2024, 1, 2), "run-2", location=location),
+        "next day again": load_day(second, days, date(2024, 1, 2), "run-3", location=location),
+    }
+    for table in (name, days):
+        x.spark.sql(f"DROP TABLE {table}")
+    rows = [(load, one.rows, one.total) for load, one in told.items()]
+    return x.spark.createDataFrame(rows, "load string, rows_written long, rows_held long")
+
+
+def _published(x: Lending) -> DataFrame:
+    """Dimensions shown as one unit; the failing load after it changes neither."""
+    name, location = _fresh(x, "unit")
+    first, second = f"{name}_employment", f"{name}_contacts"
+    tables = {first: x.employment, second: x.contacts}
+    checks = {second: lambda df: quality.unique(df, "application_id")}
+    publish(tables, run_id=f"{name}-1", location=location, checks=checks)
+    worse = {first: x.employment.limit(1), second: x.contacts.unionByName(x.contacts)}
+    try:
+        publish(worse, run_id=f"{name}-2", location=location, checks=checks)
+    except LoadError:
+        pass
+    else:
+        raise AssertionError("repeated keys were published")
+    shown = [stage(read_table(x.spark, view), view) for view in (first, second)]
+    for view in (first, second):
+        x.spark.sql(f"DROP VIEW {view}")
+    return keyed_join(shown[0], shown[1], "application_id", "inner")
+
+
+def _set_aside(x: Lending) -> tuple[dict[str, DataFrame], DataFrame]:
+    return gate.set_aside(
+        {
+            "loan_applications": x.applications,
+            "loan_repayments": x.repayments,
+            "credit_bureau": x.credit,
+        }
+    )
+
+
+def _rejected_rows(x: Lending) -> DataFrame:
+    _, rejects = _set_aside(x)
+    key = F.get_json_object("row_json", "$.application_id").alias("application_id")
+    return rejects.select("source", "failed_checks", key)
+
+
+def _loaded_suite(x: Lending) -> DataFrame:
+    """Key checks on written tables in which repeated and unknown keys were planted."""
+    name, location = _fresh(x, "star")
+    tables = {
+        "fact_loans": x.fact,
+        "dim_applicants": x.applicants,
+        "dim_employment": x.employment,
+        "dim_contact_info": x.contacts,
+        "dim_next_of_kin": x.kin,
+        "fact_repayments": x.repayments,
+    }
+    for table, df in tables.items():
+        write_table(df, f"{name}_{table}", location=location)
+    repeated = x.employment.where("application_id like '%77'")
+    write_table(repeated, f"{name}_dim_employment", mode="WRITE_APPEND", location=location)
+    unknown = x.contacts.where("application_id like '%88'").withColumn(
+        "application_id", F.concat(F.lit("GONE"), "application_id")
+    )
+    write_table(unknown, f"{name}_dim_contact_info", mode="WRITE_APPEND", location=location)
+    written = {table: read_table(x.spark, f"{name}_{table}") for table in tables}
+    found = stage(gate.loaded_suite(written), "loaded-suite")
+    for table in tables:
+        x.spark.sql(f"DROP TABLE {name}_{table}")
+    return found
 
 
 def _cleaned_csv(x: Lending) -> DataFrame:
@@ -315,6 +474,16 @@ QUERIES: dict[str, Callable[[Lending], DataFrame]] = {
     "csv_roundtrip": _csv_roundtrip,
     "csv_recleaned": _cleaned_csv,
     "table_roundtrip": _table_roundtrip,
+    "csv_rejected_lines": lambda x: _ragged(x).rejects.drop("file"),
+    "csv_kept_rows": lambda x: _ragged(x).rows,
+    "csv_first_in_file": _first_in_file,
+    "load_written_rows": _written_rows,
+    "load_day_repeated": _daily,
+    "load_as_unit": _published,
+    "rejected_rows": _rejected_rows,
+    "rejected_rows_per_check": lambda x: rejects_per_check(_set_aside(x)[1]),
+    "applications_kept": lambda x: _set_aside(x)[0]["loan_applications"],
+    "dq_loaded_suite": _loaded_suite,
 }
 
 

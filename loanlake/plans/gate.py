@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlake import schema
 from loanlake.operators import quality as q
+from loanlake.operators.rejects import as_reject_rows, split_tagged, tag_rows
+from loanlake.session import stage
 
 log = logging.getLogger(__name__)
 
@@ -113,6 +116,73 @@ def gate(
     return summary
 
 
+def row_rules(source: str, columns: list[str]) -> list[q.RowCheck]:
+    """The gate's rules that single rows fail, as far as a source has the columns."""
+    rules = {
+        "loan_applications": [
+            q.not_null("application_id"),
+            q.RowCheck(
+                "valid_amount",
+                "loan_amount_requested_usd",
+                invalid_amount(F.col("loan_amount_requested_usd")),
+            ),
+        ],
+        "loan_repayments": [
+            q.not_null("application_id"),
+            q.expression_is_true("amount_paid_usd", "amount_paid_usd >= 0"),
+            q.not_flagged("is_future_dated"),
+        ],
+        "credit_bureau": [
+            q.not_null("application_id"),
+            q.RowCheck("valid_score", "credit_score", invalid_score(F.col("credit_score"))),
+        ],
+    }
+    return [rule for rule in rules[source] if rule.column in columns]
+
+
+def set_aside(cleaned: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Cleaned sources without the rows that fail a critical rule, and those rows.
+
+    A source is staged once with the failed rules of every row, from which both come.
+    The rejects of all sources have one form (``as_reject_rows``). More than the
+    tolerated share of invalid amounts is still an error of the source, not of rows.
+    """
+    validate_applications(cleaned["loan_applications"])
+    kept, rejects = {}, []
+    for name, df in cleaned.items():
+        tagged = stage(tag_rows(df, row_rules(name, df.columns)), f"tagged_{name}")
+        parts = split_tagged(tagged)
+        kept[name] = parts.kept
+        rejects.append(as_reject_rows(parts.rejects, name))
+    return kept, q.all_results(*rejects)
+
+
+def loaded_suite(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Keys of the loaded star: unique in the dimensions and the fact, and known where referred to.
+
+    Give the tables as they were written. Equal ids of different applicants, which
+    short ids allow, are found here too, as ids that occur more than once.
+    """
+    application = {
+        name: q.Keys(name, "application_id", "application")
+        for name in ("dim_employment", "dim_contact_info", "dim_next_of_kin", "fact_loans")
+    }
+    repayments = q.Keys("fact_repayments", "application_id", "application")
+    applicants = q.Keys("dim_applicants", "applicant_id", "applicant")
+    of_loans = q.Keys("fact_loans", "applicant_id", "applicant")
+    fact = application["fact_loans"]
+    return q.key_suite(
+        tables,
+        unique=[*application.values(), applicants],
+        references=[
+            q.Reference(of_loans, applicants),
+            *[q.Reference(one, fact) for one in application.values() if one is not fact],
+            *[q.Reference(fact, one) for one in application.values() if one is not fact],
+            q.Reference(repayments, fact, q.WARNING),
+        ],
+    )
+
+
 def staging_suite(staged_loans: DataFrame) -> DataFrame:
     """Checks on the staging view."""
     rows = q.run_row_checks(

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from loanlake import schema
 from loanlake.functions.columns import select_typed
-from loanlake.functions.finance import is_high_risk, loan_segment, or_zero, round_cents, value_tier
+from loanlake.functions.finance import (
+    exact_sum,
+    is_high_risk,
+    loan_segment,
+    or_zero,
+    round_cents,
+    value_tier,
+)
 from loanlake.operators.joins import keyed_join
 
 
@@ -31,7 +38,7 @@ def summarise_repayments(repayments: DataFrame) -> DataFrame:
     defaulted = F.when(F.col("payment_status") == "Defaulted", 1).otherwise(0)
     return repayments.groupBy("application_id").agg(
         F.count("*").alias("total_payments_made"),
-        round_cents(F.sum("amount_paid_usd")).alias("total_amount_paid_usd"),
+        exact_sum(F.col("amount_paid_usd")).alias("total_amount_paid_usd"),
         F.max("repayment_date").alias("last_payment_date"),
         F.count_if("is_delinquent").alias("delinquent_payment_count"),
         F.max(defaulted).alias("has_defaulted"),

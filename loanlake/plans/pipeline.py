@@ -5,19 +5,25 @@ from __future__ import annotations
 import logging
 import time
 import uuid
-from collections.abc import Iterable, Mapping
-from datetime import datetime, timezone
+from collections.abc import Callable, Iterable, Mapping
+from datetime import date, datetime, timezone
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from loanlake.functions.ids import ID_LENGTH
 from loanlake.functions.parse import ISO
 from loanlake.operators import clean, quality
+from loanlake.plans import gate as gates
 from loanlake.plans import mart, star
-from loanlake.plans.gate import ValidationError, gate, mart_suite, staging_suite
+from loanlake.plans.gate import ValidationError
 from loanlake.plans.legacy import legacy_tables
+from loanlake.schema import SOURCE_FILES
 from loanlake.session import stage
-from loanlake.sources.tables import land_csv, load_all, row_counts
+from loanlake.sources.files import scan_sources
+from loanlake.sources.loads import load_days, publish
+from loanlake.sources.tables import Written, land_csv, load_all, load_counted, row_counts
 
 log = logging.getLogger(__name__)
 
@@ -87,7 +93,7 @@ def mart_tables(
         staged, cleaned["loan_repayments"], cleaned["credit_bureau"], credit_key=credit_key
     )
     performance = stage(performance, "fact_loan_performance")
-    for suite in (staging_suite(staged), mart_suite(performance)):
+    for suite in (gates.staging_suite(staged), gates.mart_suite(performance)):
         for found in quality.failures(suite, quality.WARNING):
             log.warning("check failed: %s", found)
         if critical := quality.failures(suite):
@@ -101,6 +107,55 @@ def mart_tables(
     }
 
 
+def written_checks(tables: Mapping[str, DataFrame]) -> dict[str, Callable[[DataFrame], DataFrame]]:
+    """Suites that read the tables of a unit after they are written."""
+    suites = {
+        "stg_loans": gates.staging_suite,
+        "fact_loan_performance": gates.mart_suite,
+        "fact_loans": partial(quality.unique, column="application_id"),
+        "dim_employment": partial(quality.unique, column="application_id"),
+        "dim_contact_info": partial(quality.unique, column="application_id"),
+        "dim_next_of_kin": partial(quality.unique, column="application_id"),
+    }
+    return {name: suite for name, suite in suites.items() if name in tables}
+
+
+def run_files(
+    spark: SparkSession,
+    folder: str,
+    files: Mapping[str, str] = SOURCE_FILES,
+    *,
+    on_bad_rows: str = "reject",
+    rejects: str | None = None,
+    multi_line: bool = False,
+    **options,
+) -> dict:
+    """``run`` over the CSV sources of a folder, with a report of their lines.
+
+    The summary tells lines, columns and bad lines of every source, all counted
+    while the sources are cleaned. Bad lines are written to the folder ``rejects``
+    as parquet, if there are any; only then are the sources read again for them.
+    """
+    scans = scan_sources(
+        spark, folder, files, on_bad_rows=on_bad_rows, multi_line=multi_line, order=True
+    )
+    summary = run({name: scan.rows for name, scan in scans.items()}, **options)
+    sources = {}
+    for name, scan in scans.items():
+        told = scan.found.get
+        columns = len(scan.rows.columns) - 1
+        log.info("read %s: %d lines, %d columns, %d bad", name, told["lines"], columns, told["bad"])
+        sources[name] = {"lines": told["lines"], "columns": columns, "bad": told["bad"]}
+    bad = [
+        scan.rejects.select(F.lit(name).alias("source"), "*")
+        for name, scan in scans.items()
+        if sources[name]["bad"]
+    ]
+    if bad and rejects:
+        quality.all_results(*bad).write.mode("overwrite").parquet(rejects)
+    return summary | {"sources": sources}
+
+
 def run_report(
     raw: Mapping[str, DataFrame], cleaned: Mapping[str, DataFrame], dropped: Observation
 ) -> dict:
@@ -131,6 +186,9 @@ def run(
     credit_key: str = "application_id",
     on_failed_checks: str = "raise",
     report: bool = False,
+    set_aside: bool = False,
+    load_date: date | None = None,
+    as_unit: bool = False,
 ) -> dict:
     """Run the pipeline and return its summary.
 
@@ -141,17 +199,30 @@ def run(
 
     ``marts`` adds the staging view and the marts to the output and acts on their
     suites (see ``mart_tables``); ``report`` adds what the cleaners met to the
-    summary. ``date_formats``, ``id_length`` and ``credit_key`` go to the cleaners,
+    summary, and the rows that each load wrote beside those that its table holds. ``date_formats``, ``id_length`` and ``credit_key`` go to the cleaners,
     the star and the mart.
+
+    ``set_aside`` takes rows that fail a rule out of the sources and adds them to the
+    output as ``rejected_rows`` (see ``gate.set_aside``). ``load_date`` loads the
+    tables as that day's partitions, which replaces what an earlier run of the day
+    has loaded (``load_day``). ``as_unit`` writes to a folder of the run below
+    ``location``, checks what was written, and shows all tables or none
+    (``publish``). Without either, tables are written as ``write_mode`` says.
     """
+    if as_unit and (load_date or not location):
+        raise ValueError("a load as one unit needs a location and no load date")
     started = time.monotonic()
     run_id = new_run_id()
     log.info("run %s started", run_id)
     dropped = Observation(f"dropped-{run_id}-{uuid.uuid4().hex}")
     cleaned = clean_sources(raw, as_of, date_formats, dropped if report else None)
     cleaned = {name: stage(df, name) for name, df in cleaned.items()}
-    tables = star_tables(cleaned, id_length)
-    gate(
+    rejects = {}
+    if set_aside:
+        cleaned, rejected = gates.set_aside(cleaned)
+        rejects = {"rejected_rows": rejected}
+    tables = star_tables(cleaned, id_length) | rejects
+    gates.gate(
         cleaned["loan_applications"],
         cleaned["loan_repayments"],
         cleaned["credit_bureau"],
@@ -165,27 +236,34 @@ def run(
         already |= set(checked)
         tables |= checked
     if dry_run:
-        counts = row_counts(tables)
+        loaded = {name: Written(0, rows) for name, rows in row_counts(tables).items()}
     else:
         tables = {n: df if n in already else stage(df, n) for n, df in tables.items()}
         if landing:
             land_csv(tables, landing)
-        counts = load_all(
-            tables,
-            database=database,
-            location=location,
-            mode=write_mode,
-            enabled=mode != "local",
-        )
+        place = {"database": database, "location": location}
+        if mode == "local":
+            loaded = {name: Written(0, 0) for name in tables}
+        elif load_date:
+            loaded = load_days(tables, load_date, run_id, **place)
+        elif as_unit:
+            loaded = publish(tables, run_id=run_id, checks=written_checks(tables), **place)
+        else:
+            loaded = load_counted(tables, mode=write_mode, run_id=run_id, **place)
     summary = {
         "status": "success",
         "run_id": run_id,
         "mode": mode,
         "dry_run": dry_run,
         "elapsed_seconds": round(time.monotonic() - started, 2),
-        "tables_loaded": counts,
+        "tables_loaded": {name: one.total for name, one in loaded.items()},
+    }
+    if not report:
+        return summary
+    return summary | {
+        "report": run_report(raw, cleaned, dropped),
+        "rows_written": {name: one.rows for name, one in loaded.items()},
     }
-    return summary | {"report": run_report(raw, cleaned, dropped)} if report else summary
 
 
 def run_legacy(

@@ -11,15 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanlake.functions.finance import report_band, round_cents
+from loanlake.functions.finance import exact_sum, report_band
 from loanlake.operators.joins import keyed_join
+from loanlake.session import stage
 
 
 def total_by_application(fact_loans: DataFrame, rows: int = 10) -> DataFrame:
     """Applications with the largest requested totals."""
     return (
         fact_loans.groupBy("application_id")
-        .agg(round_cents(F.sum("loan_amount_requested_usd")).alias("total_repayment"))
+        .agg(exact_sum(F.col("loan_amount_requested_usd")).alias("total_repayment"))
         .orderBy(F.desc_nulls_last("total_repayment"), F.asc_nulls_first("application_id"))
         .limit(rows)
     )
@@ -44,7 +45,8 @@ def default_by_band(
         .groupBy("applicant_ssn")
         .agg(F.count("*").alias("_people_rows"))
     )
-    weights = keyed_join(bands, people, "applicant_ssn", "inner")
+    # Staged, so that the last join has a shuffle right below both sides and can be split.
+    weights = stage(keyed_join(bands, people, "applicant_ssn", "inner"), "band-weights")
     unpaid = F.count_if(F.col("payment_status") != "Paid")
     paid_loans = repayments.groupBy("application_id").agg(unpaid.alias("_unpaid"))
     loans = (
@@ -97,14 +99,14 @@ def repaid_by_income(
     employment: DataFrame, fact_loans: DataFrame, repayments: DataFrame
 ) -> DataFrame:
     """Amount repaid per monthly income; all three sides are unique per loan."""
-    paid = repayments.groupBy("application_id").agg(F.sum("amount_paid_usd").alias("_paid"))
+    paid = repayments.groupBy("application_id").agg(exact_sum(F.col("amount_paid_usd")).alias("_paid"))
     loans = fact_loans.groupBy("application_id").agg(F.count("*").alias("_loan_rows"))
     return (
         employment.select("application_id", "monthly_income_usd")
         .join(loans, "application_id")
         .join(paid, "application_id")
         .groupBy("monthly_income_usd")
-        .agg(round_cents(F.sum(F.col("_paid") * F.col("_loan_rows"))).alias("total_repaid"))
+        .agg(exact_sum(F.col("_paid") * F.col("_loan_rows")).alias("total_repaid"))
     )
 
 

@@ -13,6 +13,7 @@ from loanlake.functions.finance import monthly_payment
 from loanlake.functions.ids import ID_LENGTH, applicant_id, number_rows, sequential_id
 from loanlake.operators.joins import keyed_join
 from loanlake.operators.rows import distinct_rows, keep_one
+from loanlake.sources.files import ORDER
 
 
 def applicant_dim(apps: DataFrame, *, id_length: int = ID_LENGTH) -> DataFrame:
@@ -42,15 +43,15 @@ def id_collisions(dim: DataFrame) -> DataFrame:
 
 
 def employment_dim(apps: DataFrame) -> DataFrame:
-    return keep_one(select_available(apps, schema.EMPLOYMENT_COLUMNS), "application_id")
+    return keep_one(select_available(apps, [*schema.EMPLOYMENT_COLUMNS, ORDER]), "application_id")
 
 
 def contact_dim(apps: DataFrame) -> DataFrame:
-    return keep_one(select_available(apps, schema.CONTACT_COLUMNS), "application_id")
+    return keep_one(select_available(apps, [*schema.CONTACT_COLUMNS, ORDER]), "application_id")
 
 
 def kin_dim(apps: DataFrame) -> DataFrame:
-    return keep_one(select_available(apps, schema.KIN_COLUMNS), "application_id")
+    return keep_one(select_available(apps, [*schema.KIN_COLUMNS, ORDER]), "application_id")
 
 
 def attach_applicant(apps: DataFrame, dim: DataFrame) -> DataFrame:

@@ -137,12 +137,16 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_TYPES[name]).parquet(path)
 
 
-def _orders(spark: SparkSession, folder: str) -> DataFrame:
+def line_items(spark: SparkSession, folder: str) -> DataFrame:
+    return _table(spark, folder, "lineitem")
+
+
+def orders(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "orders").withColumnsRenamed({"o_orderkey": "k", "o_custkey": "u"})
 
 
 def raw_credit_by_application(spark: SparkSession, folder: str) -> DataFrame:
-    copies = _orders(spark, folder).selectExpr(
+    copies = orders(spark, folder).selectExpr(
         "*", "explode(sequence(1, if(k % 40 = 1, 2, 1))) as copy"
     )
     return _project(copies, CREDIT_BY_APPLICATION)
@@ -150,9 +154,7 @@ def raw_credit_by_application(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_sources(spark: SparkSession, folder: str, *, legacy: bool = False) -> dict[str, DataFrame]:
     customers = _table(spark, folder, "customer").withColumnRenamed("c_custkey", "u")
-    orders = _orders(spark, folder)
-    line_items = _table(spark, folder, "lineitem")
-    applications = keyed_join(orders, customers, "u", "inner").selectExpr(
+    applications = keyed_join(orders(spark, folder), customers, "u", "inner").selectExpr(
         "*", "explode(sequence(1, if(k % 50 = 1, 2, 1))) as copy"
     )
     columns = APPLICATIONS
@@ -160,6 +162,6 @@ def raw_sources(spark: SparkSession, folder: str, *, legacy: bool = False) -> di
         columns = {LEGACY_NAMES.get(name, name): expr for name, expr in columns.items()}
     return {
         "loan_applications": _project(applications, columns),
-        "loan_repayments": _project(line_items, REPAYMENTS),
+        "loan_repayments": _project(line_items(spark, folder), REPAYMENTS),
         "credit_bureau": _project(customers, CREDIT),
     }

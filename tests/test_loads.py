@@ -1,0 +1,284 @@
+"""Bad lines, rows set aside, counted, repeated and unit loads, and the order of a file."""
+
+import uuid
+from datetime import date
+
+import pytest
+from conftest import LOAN_COLUMNS, text_frame
+from pyspark.errors import PySparkException
+
+from loanlake.operators import quality
+from loanlake.operators.quality import Keys, Reference, key_suite
+from loanlake.operators.rejects import FAILED, rejects_per_check, split_tagged, tag_rows
+from loanlake.plans import pipeline
+from loanlake.plans.gate import ValidationError
+from loanlake.sources import tables
+from loanlake.sources.files import ORDER, read_csv, scan_csv
+from loanlake.sources.loads import load_day, publish, switch_views
+from loanlake.sources.tables import LoadError, Written, land_csv, properties, write_counted
+
+RAGGED = 'id,name,n\n1,a,5\n2,b,6,EXTRA\n3,c\n\n4,"x, y",7\n5,a,b,\n6,"open,8\n'
+
+
+def fresh(prefix="t"):
+    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+
+
+@pytest.fixture
+def ragged(tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text(RAGGED)
+    return str(path)
+
+
+def test_a_line_that_does_not_fit_stops_the_read(spark, ragged):
+    read = read_csv(spark, ragged)
+    with pytest.raises(PySparkException, match="does not fit its header"):
+        read.collect()
+    for some in (read.select("id"), read.where("id = '1'").select("name"), read.groupBy().count()):
+        with pytest.raises(PySparkException, match="does not fit its header"):
+            some.collect()
+
+
+def test_bad_lines_are_set_aside_and_counted(spark, ragged):
+    scan = scan_csv(spark, ragged, on_bad_rows="reject")
+    assert [tuple(r) for r in scan.rows.collect()] == [("1", "a", "5"), ("4", "x, y", "7")]
+    assert scan.found.get == {"lines": 6, "bad": 4}
+    found = [(r.line, r.found_fields, r.problem) for r in scan.rejects.collect()]
+    assert found == [
+        ("2,b,6,EXTRA", 4, "too many fields"), ("3,c", 2, "too few fields"),
+        ("5,a,b,", 4, "too many fields"), ('6,"open,8', 3, "unreadable"),
+    ] or found[-1][2] == "too few fields"
+    assert scan.rows.count() == 2
+    assert [r[0] for r in scan.rows.select("n").collect()] == ["5", "7"]
+
+
+def test_padding_keeps_every_line_but_still_tells(spark, ragged):
+    scan = scan_csv(spark, ragged, on_bad_rows="pad")
+    assert [tuple(r)[:2] for r in scan.rows.collect()][:3] == [("1", "a"), ("2", "b"), ("3", "c")]
+    assert scan.found.get["bad"] == 4
+    with pytest.raises(ValueError):
+        scan_csv(spark, ragged, on_bad_rows="ignore")
+
+
+def test_files_of_a_source_must_agree(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n1,a\n")
+    (tmp_path / "b.csv").write_text("name,id\nb,2\n")
+    with pytest.raises(Exception, match="header does not conform"):
+        read_csv(spark, str(tmp_path)).collect()
+
+
+def test_order_of_a_file_over_several_splits(spark, tmp_path):
+    rows = [(i % 50, 1000 - i) for i in range(1000)]
+    path = tmp_path / "in.csv"
+    path.write_text("application_id,employer_name\n" + "".join(f"{k},{v:09d}\n" for k, v in rows))
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    try:
+        scan = scan_csv(spark, str(path), order=True)
+        assert scan.rows.rdd.getNumPartitions() > 3
+        shuffled = scan.rows.repartition(7)
+        in_order = [(int(r[0]), int(r[1])) for r in shuffled.orderBy(ORDER).collect()]
+        assert in_order == rows
+        raw = shuffled.unionByName(shuffled)
+        from loanlake.operators import clean
+        from loanlake.plans import star
+
+        dim = star.employment_dim(clean.clean_applications(raw))
+        assert dim.columns == ["application_id", "employer_name"]
+        first = {int(r.application_id): int(r.employer_name) for r in dim.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert first == {k: 1000 - k for k in range(50)}
+
+
+def checks():
+    return [
+        quality.not_null("a"),
+        quality.expression_is_true("a", "a > 0"),
+        quality.not_flagged("b"),
+    ]
+
+
+def test_rows_are_told_apart_by_their_failed_checks(spark):
+    rows = [(1, False), (None, False), (-1, True), (2, True)]
+    tagged = tag_rows(spark.createDataFrame(rows, "a int, b boolean"), checks())
+    parts = split_tagged(tagged)
+    assert sorted(tuple(r) for r in parts.kept.collect()) == [(1, False), (2, True)]
+    assert {r.a: r[FAILED] for r in parts.rejects.collect()} == {
+        None: ["not_null(a)"], -1: ["expression_is_true(a)"],
+    }
+    all_of_them = tag_rows(spark.createDataFrame(rows, "a int, b boolean"), checks(), severity=None)
+    assert split_tagged(all_of_them).kept.count() == 1
+    assert split_tagged(tag_rows(spark.createDataFrame(rows, "a int, b boolean"), [])).kept.count() == 4
+
+
+def test_counts_come_without_a_scan(spark, tmp_path, monkeypatch):
+    name = fresh()
+    options = {"location": str(tmp_path), "run_id": "r1"}
+    assert write_counted(spark.range(5).toDF("n"), name, **options) == Written(5, 5)
+    monkeypatch.setattr(tables.SparkSession, "table", None)
+    assert write_counted(spark.range(3).toDF("n"), name, mode="WRITE_APPEND", **options) == Written(3, 8)
+    assert write_counted(spark.range(0).toDF("n"), name, mode="WRITE_APPEND", **options) == Written(0, 8)
+    monkeypatch.undo()
+    assert spark.table(name).count() == 8
+    assert properties(spark, name)[tables.RUN_PROPERTY] == "r1"
+    spark.sql(f"alter table {name} unset tblproperties ('{tables.ROWS_PROPERTY}')")
+    assert write_counted(spark.range(1).toDF("n"), name, mode="append", **options) == Written(1, 9)
+
+
+def days(spark, name):
+    return sorted((r.n, r._run_id, str(r._load_date)) for r in spark.table(name).collect())
+
+
+def test_a_day_loaded_again_replaces_itself_only(spark, tmp_path):
+    name = fresh()
+    frame = spark.range(3).selectExpr("id as n", "'x' as s")
+    monday, tuesday = date(2024, 1, 1), date(2024, 1, 2)
+    assert load_day(frame, name, monday, "a", location=str(tmp_path)) == Written(3, 3)
+    assert load_day(frame.where("n < 2"), name, tuesday, "b") == Written(2, 5)
+    assert load_day(frame.where("n > 0"), name, monday, "c") == Written(2, 4)
+    assert load_day(frame.where("n > 0").select("s", "n"), name, monday, "d") == Written(2, 4)
+    assert days(spark, name) == [
+        (0, "b", "2024-01-02"), (1, "b", "2024-01-02"), (1, "d", "2024-01-01"), (2, "d", "2024-01-01"),
+    ]
+    assert load_day(frame.where("n > 9"), name, monday, "e") == Written(0, 2)
+    assert days(spark, name) == [(0, "b", "2024-01-02"), (1, "b", "2024-01-02")]
+    with pytest.raises(LoadError, match="columns"):
+        load_day(frame.withColumnRenamed("s", "other"), name, monday, "f")
+    bad = frame.selectExpr("n", "raise_error('no') as s")
+    with pytest.raises(PySparkException):
+        load_day(bad, name, tuesday, "g")
+    assert {r[1] for r in days(spark, name)} == {"b"}
+
+
+def test_a_unit_is_shown_whole_or_not_at_all(spark, tmp_path):
+    names = [fresh() for _ in range(4)]
+    location = str(tmp_path)
+    first = {name: spark.range(i + 1).toDF("n") for i, name in enumerate(names)}
+    assert publish(first, run_id="one", location=location) == {
+        name: Written(i + 1, i + 1) for i, name in enumerate(names)
+    }
+    bad = spark.range(3).selectExpr("raise_error('no') as n")
+    second = {name: spark.range(9).toDF("n") for name in names[:3]} | {names[3]: bad}
+
+    def counts():
+        return [spark.table(name).count() for name in names]
+
+    with pytest.raises(LoadError, match=names[3]):
+        publish(second, run_id="two", location=location)
+    assert counts() == [1, 2, 3, 4]
+    repeated = second | {names[3]: spark.range(2).selectExpr("1L as n")}
+    suites = {names[3]: lambda df: quality.unique(df, "n")}
+    with pytest.raises(LoadError, match="check failed: unique"):
+        publish(repeated, run_id="three", location=location, checks=suites)
+    assert counts() == [1, 2, 3, 4]
+    publish(second | {names[3]: spark.range(9).toDF("n")}, run_id="four", location=location, checks=suites)
+    assert counts() == [9] * 4
+    switch_views(spark, names, location, "one")
+    assert counts() == [1, 2, 3, 4]
+    table = fresh()
+    spark.range(1).write.option("path", f"{location}/{table}").saveAsTable(table)
+    with pytest.raises(LoadError, match="is a table"):
+        publish({table: spark.range(1)}, run_id="five", location=location)
+
+
+def test_key_suite_finds_planted_faults(spark):
+    frames = {
+        "fact": spark.createDataFrame([("a",), ("b",), ("b",), (None,), (None,)], "id string"),
+        "dim": spark.createDataFrame([("a",), ("c",)], "id string"),
+    }
+    fact, dim = Keys("fact", "id", "x"), Keys("dim", "id", "x")
+    found = key_suite(frames, [fact, dim], [Reference(fact, dim), Reference(dim, fact, quality.WARNING)])
+    assert [(r.check_name, r.table_name, r.failed_rows, r.total_rows, r.passed) for r in found.collect()] == [
+        ("unique", "fact", 1, 2, False), ("unique", "dim", 0, 2, True),
+        ("references", "fact", 2, 1, False), ("references", "dim", 1, 1, False),
+    ]
+
+
+@pytest.fixture
+def raw(loans, repayments, credit):
+    return {
+        "loan_applications": loans.replace("not_a_number", "7000"),
+        "loan_repayments": repayments.withColumnRenamed("application_id", "loan_application_id"),
+        "credit_bureau": credit,
+    }
+
+
+@pytest.fixture
+def database(spark, tmp_path):
+    name = fresh("db")
+    spark.sql(f"create database {name} location '{tmp_path}/{name}'")
+    return name
+
+
+def test_a_day_of_the_pipeline_can_be_repeated(spark, raw, database):
+    for _ in range(2):
+        result = pipeline.run(raw, database=database, load_date=date(2024, 5, 1))
+        assert result["tables_loaded"]["fact_loans"] == 3
+    loaded = spark.table(f"{database}.fact_loans")
+    assert loaded.count() == 3
+    assert {r._run_id for r in loaded.collect()} == {result["run_id"]}
+    pipeline.run(raw, database=database, load_date=date(2024, 5, 2))
+    assert loaded.groupBy("_load_date").count().count() == 2
+
+
+def test_the_pipeline_as_one_unit(spark, raw, database, tmp_path):
+    place = {"database": database, "location": f"{tmp_path}/runs", "as_unit": True, "marts": True}
+    result = pipeline.run(raw, **place)
+    assert result["tables_loaded"]["fact_loan_performance"] == 3
+    before = spark.table(f"{database}.fact_loans").count()
+    twice = raw["credit_bureau"].unionByName(raw["credit_bureau"].replace("731", "732"))
+    with pytest.raises(ValidationError):
+        pipeline.run({**raw, "credit_bureau": twice}, **place)
+    with pytest.raises(LoadError, match="check failed"):
+        pipeline.run({**raw, "credit_bureau": twice}, **place, on_failed_checks="report")
+    assert spark.table(f"{database}.fact_loans").count() == before
+    assert spark.table(f"{database}.fact_loan_performance").count() == 3
+    with pytest.raises(ValueError):
+        pipeline.run(raw, as_unit=True)
+
+
+def test_rows_that_fail_are_set_aside_by_the_pipeline(spark, raw, database, tmp_path):
+    others = [(f"APP1{i}", "1", None, None, "2024-01-01", "Auto", "10", "1", "1", None, None, None) for i in range(9)]
+    apps = raw["loan_applications"].replace("7000", "-7000").unionByName(
+        text_frame(spark, LOAN_COLUMNS, others)
+    )
+    bad = raw["credit_bureau"].replace("731", "851")
+    with pytest.raises(ValidationError):
+        pipeline.run({**raw, "credit_bureau": bad}, database=database)
+    result = pipeline.run(
+        {**raw, "loan_applications": apps, "credit_bureau": bad}, database=database, set_aside=True,
+        report=True, landing=f"{tmp_path}/landed",
+    )
+    assert result["tables_loaded"]["rejected_rows"] == result["rows_written"]["rejected_rows"] == 2
+    assert result["tables_loaded"]["fact_loans"] == 11
+    rejected = spark.table(f"{database}.rejected_rows")
+    assert {tuple(r) for r in rejects_per_check(rejected).collect()} == {
+        ("loan_applications", "valid_amount(loan_amount_requested_usd)", 1),
+        ("credit_bureau", "valid_score(credit_score)", 1),
+    }
+    assert "APP003" in rejected.where("source = 'loan_applications'").first().row_json
+    most = raw["loan_applications"].replace("14200", "-1")
+    with pytest.raises(ValidationError):
+        pipeline.run({**raw, "loan_applications": most}, database=database, set_aside=True)
+
+
+def test_files_with_bad_lines_are_reported(spark, raw, tmp_path):
+    source = tmp_path / "raw"
+    land_csv(raw, str(source))
+    files = {name: f"{name}.csv" for name in raw}
+    part = next(iter((source / "credit_bureau.csv").glob("part-*.csv")))
+    part.write_text(part.read_text() + "APP009,700\n")
+    for check in (source / "credit_bureau.csv").glob(".*.crc"):
+        check.write_bytes(b"")
+        check.unlink()
+    result = pipeline.run_files(
+        spark, str(source), files, rejects=f"{tmp_path}/rejects", dry_run=True
+    )
+    assert result["sources"]["credit_bureau"]["bad"] == 1
+    assert result["sources"]["loan_applications"] == {"lines": 4, "columns": len(LOAN_COLUMNS), "bad": 0}
+    assert result["tables_loaded"]["dim_credit_bureau"] == 3
+    assert [r.line for r in spark.read.parquet(f"{tmp_path}/rejects").collect()] == ["APP009,700"]
+    with pytest.raises(PySparkException):
+        pipeline.run_files(spark, str(source), files, on_bad_rows="raise", dry_run=True)
