@@ -5,13 +5,19 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loanlake.session import stage
+
 ROWS_PER_BUCKET = 5_000
 #: Rows of an Arrow batch that a function turns into Python objects at a time.
 SLICE_ROWS = 256
+#: Bytes that a row counts for beside its text where batches are balanced by bytes.
+ROW_BYTES = 64
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -40,6 +46,32 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(start, rows)
 
 
+def by_bytes(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int
+) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches regrouped to batches of about ``limit`` bytes of ``column``.
+
+    Only a row that is longer than that makes a batch larger, and only the last one
+    is smaller. Every row counts for some bytes, however short it is.
+    """
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(lengths.astype(np.int64) + ROW_BYTES)
+        start, before = 0, 0
+        while start < batch.num_rows:
+            stop = int(np.searchsorted(ends, before + limit - size)) + 1
+            held.append(batch.slice(start, stop - start))
+            if stop > batch.num_rows:
+                size += int(ends[-1]) - before
+                break
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size, start, before = [], 0, stop, int(ends[stop - 1])
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def rank_within(
     df: DataFrame, group: str, order: list[str], rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
@@ -70,3 +102,28 @@ def rank_within(
         .withColumn("rank", F.col("_start") + F.col("_row"))
         .drop("_bucket", "_start", "_row")
     )
+
+
+def positions(rows: DataFrame, group: str, order: str, name: str) -> DataFrame:
+    """Add ``pos`` and ``of``: place of a row in its group, from 0 in ``order``, and the group's size.
+
+    Rows are sorted by ranges of group and order together, so a group with a third of
+    all rows lies in many tasks; a row's place is its offset in the sorted part and the
+    rows of the group in the parts before. ``group`` is not null. The sorted rows are
+    written when this is called, and read twice.
+    """
+    sorted_rows = rows.orderBy(group, order).withColumn("_place", F.monotonically_increasing_id())
+    placed = stage(sorted_rows, name).withColumn("_part", F.shiftright("_place", 33))
+    sizes = placed.groupBy("_part", group).agg(
+        F.min("_place").alias("_first"), F.count("*").alias("_size")
+    )
+    earlier = Window.partitionBy(group).orderBy("_part")
+    runs = sizes.select(
+        "_part",
+        group,
+        "_first",
+        (F.sum("_size").over(earlier) - F.col("_size")).alias("_before"),
+        F.sum("_size").over(Window.partitionBy(group)).alias("of"),
+    )
+    pos = F.col("_before") + F.col("_place") - F.col("_first")
+    return placed.join(runs, ["_part", group]).select(*rows.columns, pos.alias("pos"), "of")

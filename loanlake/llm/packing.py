@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,18 +10,43 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm.common import pick, rank_within, slices, table
+from loanlake.llm.common import by_bytes, pick, rank_within, table
 from loanlake.llm.tokens import encoder, text_list, tokenizer_path
 from loanlake.session import stage
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 CAPACITY = 1024
+#: Bytes of text that are encoded at a time.
+BATCH_BYTES = 1 << 20
 
 
 def id_bytes(ids: list[int]) -> bytes:
     """Token ids as little-endian unsigned 32-bit numbers."""
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return np.array(ids, "<u4").tobytes()
+
+
+def short_id_bytes(ids: list[int]) -> bytes:
+    """Token ids below 65,536 as little-endian unsigned 16-bit numbers."""
+    return np.array(ids, "<u2").tobytes()
+
+
+def widened(pieces: DataFrame) -> DataFrame:
+    """Pieces whose ``ids`` have 16 bits with the same ids in 32 bits."""
+
+    def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("ids")
+            ids = batch.column(at)
+            _, offsets, data = ids.buffers()
+            ends = np.frombuffer(offsets, np.int32)[ids.offset : ids.offset + len(ids) + 1]
+            wide = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view("<u2").astype("<u4")
+            moved = pa.py_buffer(((ends - ends[0]) * 2).astype(np.int32))
+            columns = list(batch.columns)
+            columns[at] = pa.Array.from_buffers(pa.binary(), len(ids), [None, moved, pa.py_buffer(wide)])
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return pieces.mapInArrow(widen, pieces.schema)
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -39,31 +63,36 @@ def tokenised_pieces(
     tokenizer: str = TOKENIZER,
     end_id: int = END_ID,
     capacity: int = CAPACITY,
+    short: bool = False,
 ) -> DataFrame:
     """``doc_id``, ``piece``, ``start``, ``length`` and ``ids`` of every piece of every row.
 
     A document is its token ids and ``end_id``; only a longer one than
-    ``capacity`` is cut. ``ids`` are little-endian 32-bit numbers in binary. No
-    shuffle. A null or empty text is a document of ``end_id`` alone, a null id
+    ``capacity`` is cut. ``ids`` are little-endian 32-bit numbers in binary, or, if
+    ``short``, 16-bit ones, for vocabularies and ends below 65,536. Texts are encoded
+    in batches of equal bytes; one without a safe cut is encoded whole and takes
+    memory in proportion to its length. No shuffle. A null or empty text is a document of ``end_id`` alone, a null id
     stays null, repeated rows give repeated pieces, other columns are not read.
     """
     rows = pick(docs, doc_id=id, text=text)
     kind = rows.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "piece", "start", "length", "ids"]
 
+    keep, width = (short_id_bytes, 2) if short else (id_bytes, 4)
+
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces_of = encoder(tokenizer_path(tokenizer), id_bytes)
-        end = id_bytes([end_id])
+        pieces_of = encoder(tokenizer_path(tokenizer), keep)
+        end = keep([end_id])
 
         def output(batch: pa.RecordBatch, found: list[tuple[int, bytes]]) -> pa.RecordBatch:
             row, number, start, length, ids = [], [], [], [], []
             for one, tokens in found:
-                for piece, (begin, size) in enumerate(cut(len(tokens) // 4, capacity)):
+                for piece, (begin, size) in enumerate(cut(len(tokens) // width, capacity)):
                     row.append(one)
                     number.append(piece)
                     start.append(begin)
                     length.append(size)
-                    ids.append(tokens[4 * begin : 4 * (begin + size)])
+                    ids.append(tokens[width * begin : width * (begin + size)])
             return pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(row, pa.int64())),
@@ -75,17 +104,13 @@ def tokenised_pieces(
                 names=names,
             )
 
-        for batch in slices(batches):
+        for batch in by_bytes(batches, "text", BATCH_BYTES):
             done: list[tuple[int, bytes]] = []
-            held, current, size = [], 0, 0
+            held, current = [], 0
             for number, kept in pieces_of.encode(text_list(batch.column("text"))):
                 if number != current:
                     done.append((current, b"".join([*held, end])))
-                    size += len(done[-1][1])
                     held, current = [], number
-                    if size > 1 << 24:
-                        yield output(batch, done)
-                        done, size = [], 0
                 held.extend(kept)
             if batch.num_rows:
                 done.append((current, b"".join([*held, end])))
@@ -189,10 +214,12 @@ def packed_documents(docs: DataFrame, name: str = "pieces") -> DataFrame:
 
     Null and empty texts are documents of one token; an empty table gives no
     rows; repeated rows are packed each. The pieces are written when this is
-    called, so texts are encoded once. Ranks need only a checksum of the ids.
+    called, so texts are encoded once. They are written and shuffled with ids of 16
+    bits, as the vocabulary has fewer than 65,536, and get their 32 bits at the end.
+    Ranks need only a checksum of the ids.
     """
-    pieces = tokenised_pieces(docs).withColumn("_tie", F.crc32("ids"))
-    return pack(stage(pieces, name), ["doc_id", "piece", "_tie"]).drop("_tie")
+    pieces = tokenised_pieces(docs, short=True).withColumn("_tie", F.crc32("ids"))
+    return widened(pack(stage(pieces, name), ["doc_id", "piece", "_tie"]).drop("_tie"))
 
 
 def sequences(placed: DataFrame) -> DataFrame:

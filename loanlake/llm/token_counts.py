@@ -8,11 +8,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm.common import pick, slices, table
+from loanlake.llm.common import by_bytes, pick, table
 from loanlake.llm.tokens import encoder, text_list, tokenizer_path
 
 TOKENIZER = "byte_bpe_50k.json"
 MAX_TOKENS = 512
+#: Bytes of text that are encoded at a time.
+BATCH_BYTES = 1 << 20
 
 
 def count_tokens(
@@ -21,8 +23,9 @@ def count_tokens(
     """``doc_id``, ``n_bytes`` and ``n_tokens`` of every row of ``docs``.
 
     The Arrow function returns lengths only, so no ids travel back to the JVM. It
-    encodes batches of equal bytes and cuts long texts at safe boundaries; there
-    is no shuffle. A null or empty text has 0 bytes and 0 tokens, a null id stays
+    encodes batches of equal bytes, across the batches that Arrow brings, and cuts
+    long texts at safe boundaries; a text without any is encoded whole, and takes
+    memory in proportion to its length. There is no shuffle. A null or empty text has 0 bytes and 0 tokens, a null id stays
     null, a repeated row is counted again, an empty table gives no rows, and other
     columns are not read.
     """
@@ -31,7 +34,7 @@ def count_tokens(
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces_of = encoder(tokenizer_path(tokenizer), len)
-        for batch in slices(batches):
+        for batch in by_bytes(batches, "text", BATCH_BYTES):
             totals = [0] * batch.num_rows
             for number, kept in pieces_of.encode(text_list(batch.column("text"))):
                 totals[number] += sum(kept)

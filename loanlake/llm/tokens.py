@@ -1,13 +1,14 @@
-"""Token ids of whole texts by a byte-level BPE tokenizer, a piece at a time.
+"""Token ids of whole texts by a byte-level BPE tokenizer, a batch at a time.
 
 Such a tokenizer never joins text across a space that follows a non-space
 character, so a text may be cut before any such space: the ids of the parts
-together are the ids of the text. That gives both the cuts of long texts and the
-pieces whose ids are remembered from one text to the next.
+together are the ids of the text. Long texts are cut there, and so are texts that
+are Latin in part.
 
-Unknown pieces of Latin letters are encoded from the same vocabulary in its other
-form, as ranks, which gives the same ids in a third of the time; all other pieces
-go to the tokenizer itself.
+Runs of Latin pieces are encoded from the same vocabulary in its other form, as
+ranks, which gives the same ids in a third of the time; all other pieces go to the
+tokenizer itself. Nothing is remembered from one batch to the next, so a worker
+holds one batch, whatever it meets.
 """
 
 from __future__ import annotations
@@ -26,13 +27,8 @@ UNSAFE_SPACE = re.compile(r"\s ")
 #: Characters of text encoded at a time, and of the longest part of a text.
 BATCH_CHARS = 1 << 20
 PART_CHARS = 1 << 18
-#: Pieces that a worker remembers in each of two generations.
-MAX_PIECES = 150_000
-
-
-#: Pieces of smaller code points are encoded by ranks; both libraries agree on these.
-LATIN_END = "\u0250"
-SPECIAL_MARK = "<|"
+#: Pieces without these are encoded by ranks; both libraries agree on smaller code points.
+OTHER = re.compile("[\u0250-\U0010ffff]|<\\|")
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -98,84 +94,63 @@ def pieces(text: str) -> tuple[str, list[str]]:
     return first, [piece[1:] for piece in rest]
 
 
-class Memory:
-    """What is kept of the pieces met lately, in two generations of bounded size.
-
-    Pieces that come again move to the younger generation, so frequent ones stay
-    when the older one is given up.
-    """
-
-    def __init__(
-        self, tokenizer, ranks, lead: str, keep: Callable[[list[int]], Any], size: int
-    ):
-        self.tokenizer = tokenizer
-        self.ranks = ranks
-        self.lead = lead
-        self.keep = keep
-        self.size = size
-        self.recent: dict[str, Any] = {}
-        self.older: dict[str, Any] = {}
-
-    def learn(self, wanted: set[str]) -> dict[str, Any]:
-        """A dictionary that holds at least the ``wanted`` pieces."""
-        missing = wanted.difference(self.recent)
-        if len(self.recent) + len(missing) > self.size:
-            self.older, self.recent, missing = self.recent, {}, wanted
-        recent, lead, keep = self.recent, self.lead, self.keep
-        by_rank = self.ranks and self.ranks.encode_ordinary
-        unknown = []
-        for piece in missing:
-            kept = self.older.get(piece)
-            if kept is None:
-                if not by_rank or max(piece, default="") >= LATIN_END or SPECIAL_MARK in piece:
-                    unknown.append(piece)
-                    continue
-                kept = keep(by_rank(lead + piece))
-            recent[piece] = kept
-        encoded = self.tokenizer.encode_batch_fast(
-            [lead + piece for piece in unknown], add_special_tokens=False
-        )
-        for piece, encoding in zip(unknown, encoded, strict=True):
-            recent[piece] = keep(encoding.ids)
-        return recent
+def latin_runs(text: str) -> list[tuple[bool, str]]:
+    """The text in runs of pieces that ranks may encode and pieces that they may not."""
+    first, rest = pieces(text)
+    runs: list[tuple[bool, list[str]]] = []
+    for at, piece in enumerate([first, *rest]):
+        latin = OTHER.search(piece) is None
+        if not runs or runs[-1][0] != latin:
+            runs.append((latin, []))
+        runs[-1][1].append(piece if at == 0 else " " + piece)
+    return [(latin, "".join(run)) for latin, run in runs]
 
 
 class Encoder:
-    """Encodes texts in batches of equal size and remembers the pieces it has met."""
+    """Encodes texts in batches of equal size; keeps nothing of one batch for the next."""
 
     def __init__(self, path: str, keep: Callable[[list[int]], Any]):
-        tokenizer, ranks = load(path), load_ranks(path)
-        self.first = Memory(tokenizer, ranks, "", keep, MAX_PIECES // 8)
-        self.spaced = Memory(tokenizer, ranks, " ", keep, MAX_PIECES)
+        self.tokenizer, self.ranks, self.keep = load(path), load_ranks(path), keep
 
     def encode(self, texts: Iterable[str]) -> Iterator[tuple[int, list[Any]]]:
-        """``(number of the text, what is kept of its pieces)``, in order.
+        """``(number of the text, what is kept of its ids)``, in order.
 
         A long text gives several pairs, one for each of its parts.
         """
-        batch: list[tuple[int, str, list[str]]] = []
+        batch: list[tuple[int, str]] = []
         size = 0
         for number, text in enumerate(texts):
             for part in parts(text):
-                batch.append((number, *pieces(part)))
+                batch.append((number, part))
                 size += len(part)
                 if size >= BATCH_CHARS:
                     yield from self.flush(batch)
                     batch, size = [], 0
         yield from self.flush(batch)
 
-    def flush(
-        self, batch: list[tuple[int, str, list[str]]]
-    ) -> Iterator[tuple[int, list[Any]]]:
-        first = self.first.learn({one for _, one, _ in batch})
-        spaced = self.spaced.learn(set().union(*[rest for _, _, rest in batch]))
-        for number, one, rest in batch:
-            yield number, [first[one], *map(spaced.__getitem__, rest)]
+    def flush(self, batch: list[tuple[int, str]]) -> Iterator[tuple[int, list[Any]]]:
+        runs: list[tuple[int, bool, str]] = []
+        for at, (_, part) in enumerate(batch):
+            # A part without a safe cut is one piece, and goes to the tokenizer if it is long.
+            if self.ranks is None or len(part) > 2 * PART_CHARS:
+                runs.append((at, False, part))
+            elif OTHER.search(part) is None:
+                runs.append((at, True, part))
+            else:
+                runs.extend((at, *run) for run in latin_runs(part))
+        ranked, others = ([run for _, latin, run in runs if latin is kind] for kind in (True, False))
+        by_rank = iter(self.ranks.encode_ordinary_batch(ranked, num_threads=1) if ranked else ())
+        encoded = iter(self.tokenizer.encode_batch_fast(others, add_special_tokens=False))
+        kept: list[list[Any]] = [[] for _ in batch]
+        for at, latin, _ in runs:
+            kept[at].append(self.keep(next(by_rank) if latin else next(encoded).ids))
+        for (number, _), found in zip(batch, kept, strict=True):
+            yield number, found
 
 
 @lru_cache(maxsize=4)
 def encoder(path: str, keep: Callable[[list[int]], Any]) -> Encoder:
-    """The encoder of this worker process: later tasks find the pieces that earlier ones met."""
+    """The encoder of this worker process, which loads its vocabulary once."""
     return Encoder(path, keep)
 
 

@@ -1,17 +1,29 @@
 """Token counts (7) and packing (8) against the tokenizer itself."""
 
 import random
+import resource
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from loanlake.llm.packing import cut, op8_packing, pack, packed_documents, plan_slots, sequences, tokenised_pieces
+from loanlake.llm.common import ROW_BYTES, by_bytes
+from loanlake.llm.packing import (
+    cut,
+    op8_packing,
+    pack,
+    packed_documents,
+    plan_slots,
+    sequences,
+    tokenised_pieces,
+    widened,
+)
 from loanlake.llm.token_counts import count_tokens, op7_token_counts
-from loanlake.llm.tokens import encoder, parts, pieces, tokenizer_path
+from loanlake.llm.tokens import encoder, latin_runs, parts, pieces, tokenizer_path
 
 
 @pytest.fixture(scope="module")
@@ -169,3 +181,70 @@ def test_packed_documents_keep_the_ids(spark, edge, docs, whole):
     built = sequences(placed).collect()
     found = Counter(i for row in built for i in np.frombuffer(bytes(row.ids), dtype="<u4").tolist())
     assert found == want
+
+
+def test_words_contractions_digits_and_punctuation(whole, docs, edge):
+    rng = random.Random(8)
+    words = ["I'll", "we've", "don't", "isn't", "1234567", "3.14", "....", "?!?!", "--", "__init__", "naïve", "œuvre",
+             "ÉCOLE", "straße", "http://a.b/c?d=e&f", "(x)", "\t\tx", "\n\n\n", "a\r\nb", "'s", "'RE", "x'd", "«»", "½", "€", "日本", "🙂"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", "", "  ", "\n"]) for _ in range(30)) for _ in range(400)]
+    texts += [text or "" for _, text in docs]
+    encode = encoder(tokenizer_path(), tuple).encode
+    found = {number: [] for number in range(len(texts))}
+    for number, kept in encode(texts):
+        found[number] += [one for ids in kept for one in ids]
+    assert [found[n] for n in range(len(texts))] == [whole(text) for text in texts]
+
+
+def test_whole_words_of_the_given_texts(whole):
+    import duckdb
+
+    rows = duckdb.sql("select text from '/root/testdata/sf0.01/documents.parquet' union all select text from '/root/testdata/sf0.01/benchmark.parquet'")
+    texts = [row[0] or "" for row in rows.fetchall()]
+    encode = encoder(tokenizer_path(), len).encode
+    found = Counter()
+    for number, kept in encode(texts):
+        found[number] += sum(kept)
+    assert [found[n] for n in range(len(texts))] == [len(whole(text)) for text in texts]
+
+
+def test_runs_of_a_mixed_text_join_to_it():
+    for text in ("", "a b", "日本 a", "a 日本 b c 🙂", "  日 \n a", "<| a"):
+        runs = latin_runs(text)
+        assert "".join(run for _, run in runs) == text
+        assert all(a[0] != b[0] for a, b in zip(runs, runs[1:], strict=False))
+
+
+def test_batches_are_balanced_by_bytes():
+    rng = random.Random(2)
+    texts = [None if i % 97 == 0 else "é" * rng.randrange(200) for i in range(5000)] + ["x" * 50_000] + [""] * 3000
+    whole = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["n", "text"])
+    arrow = [whole.slice(a, 700) for a in range(0, len(texts), 700)]
+    found = list(by_bytes(iter(arrow), "text", 20_000))
+    assert [n for batch in found for n in batch.column("n").to_pylist()] == list(range(len(texts)))
+    sizes = [
+        sum(len((text or "").encode()) + ROW_BYTES for text in batch.column("text").to_pylist()) for batch in found
+    ]
+    longest = 400 + ROW_BYTES
+    assert all(20_000 <= size < 20_000 + longest or size > 50_000 for size in sizes[:-1])
+    assert sum(size > 50_000 for size in sizes) == 1 and 0 < sizes[-1]
+    assert list(by_bytes(iter([]), "text", 10)) == []
+
+
+def test_texts_without_spaces_are_not_remembered():
+    rng = random.Random(9)
+    one = encoder(tokenizer_path(), len)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(3000)) for _ in range(40)]
+    list(one.encode(texts))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    for _ in range(20):
+        texts = ["".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(3000)) for _ in range(40)]
+        list(one.encode(texts))
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 100_000
+
+
+def test_short_ids_are_widened(spark, edge):
+    docs = spark.read.parquet(f"{edge}/documents.parquet")
+    wide = Counter((r.doc_id, r.start, bytes(r.ids)) for r in tokenised_pieces(docs).collect())
+    short = widened(tokenised_pieces(docs, short=True).repartition(3))
+    assert Counter((r.doc_id, r.start, bytes(r.ids)) for r in short.collect()) == wide
