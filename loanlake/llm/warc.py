@@ -22,6 +22,8 @@ MIN_SHARED_BYTES = 1000
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 1 << 25
 LEVEL = 3
+#: Tasks that read bundles, at most.
+MAX_READERS = 100_000
 #: Fixed values of the seekable format: skippable frame, footer and its size.
 SEEK_FRAME = 0x184D2A5E
 SEEK_FOOTER = 0x8F92EAB1
@@ -258,7 +260,9 @@ def read_bundles(index: DataFrame, folder: str) -> DataFrame:
     """``page_id``, ``payload_bytes``, ``payload_digest``, ``record_type``, ``refers_to`` of all records.
 
     Every bundle that ``index`` names is read whole through its seek table, a
-    frame at a time. The digest and size of a response are taken from its payload
+    frame at a time, in a task of its own, up to ``MAX_READERS`` tasks. Their number
+    is counted and stated: bundle names are few bytes, and Spark would merge tasks
+    by those, not by what they read. The digest and size of a response are taken from its payload
     and must agree with its header, or reading fails.
     """
     kind = index.schema["page_id"].dataType.simpleString()
@@ -301,7 +305,11 @@ def read_bundles(index: DataFrame, folder: str) -> DataFrame:
         f"page_id {wide}, payload_bytes long, payload_digest string, record_type string, "
         f"refers_to {wide}"
     )
-    found = index.select("bundle").distinct().mapInArrow(read, schema)
+    bundles = stage(index.select("bundle").distinct(), "warc-bundles")
+    readers = min(max(1, bundles.count()), MAX_READERS)
+    # By ranges of the names: a hash of so few would leave tasks without any.
+    dealt = bundles.repartitionByRange(readers, "bundle")
+    found = dealt.mapInArrow(read, schema)
     return found.select(
         F.col("page_id").cast(kind).alias("page_id"),
         *names[1:4],

@@ -81,3 +81,14 @@ def test_damage_is_noticed(spark, tmp_path):
 def test_file_uris():
     assert warc.place_of("file:/tmp/x")[1] == warc.place_of("file:///tmp/x")[1] == "/tmp/x"
     assert warc.place_of("/tmp/x")[1] == "/tmp/x"
+
+
+def test_bundles_are_read_in_a_task_each(spark, tmp_path):
+    pages = spark.range(40).selectExpr("id as page_id", "'u' as url", "repeat(cast(id as string), 9) as html")
+    index = write_bundles(pages.repartition(12), str(tmp_path))
+    bundles = index.select("bundle").distinct().count()
+    assert bundles == 12
+    read = read_bundles(index, str(tmp_path))
+    assert read.rdd.getNumPartitions() == bundles
+    assert read.selectExpr("spark_partition_id()").distinct().count() == bundles
+    assert sorted(r.page_id for r in read.collect()) == list(range(40))
