@@ -9,19 +9,26 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from loanlake.llm.common import by_place, pick, place, slices, table
+from loanlake.llm.common import by_place, pick, place, positions, slices, table
 from loanlake.session import stage
 
 #: A line of at most so many documents leads to all of its earlier documents at once.
 RARE = 4
 #: Words that a run of aligned lines needs to be deleted.
 MIN_WORDS = 20
+#: Holders of a window's rarest line that are looked at in the first round, and by what
+#: factor their number grows.
+FIRST_HOLDERS = 16
+MORE_HOLDERS = 4
+#: Windows that one row of a document is asked for.
+GROUP_WINDOWS = 512
 
 
 def longest_rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -145,29 +152,61 @@ def windows_of(words: list[int], frequent: list[bool], min_words: int) -> list[t
     Any run with so many words that holds a line holds one of the line's windows.
     """
     found = set()
+    for start, end in frequent_runs(frequent):
+        for here in range(start, end):
+            found.update(windows_around(words, start, end, here, here, min_words))
+    return sorted(found)
+
+
+def frequent_runs(frequent: list[bool]) -> Iterator[tuple[int, int]]:
+    """Begin and end of every run of frequent lines."""
     start = 0
     for at, often in enumerate([*frequent, False]):
-        if often:
-            continue
-        for here in range(start, at):
-            last, size = here, words[here]
-            while size < min_words and last + 1 < at:
-                last += 1
-                size += words[last]
-            first, before = here, None
-            while True:
-                while last > here and size - words[last] >= min_words:
-                    size -= words[last]
-                    last -= 1
-                if size >= min_words and last != before:
-                    found.add((first, last))
-                    before = last
-                if first == start or (size >= min_words and last == here):
-                    break
-                first -= 1
-                size += words[first]
-        start = at + 1
-    return sorted(found)
+        if not often:
+            if start < at:
+                yield start, at
+            start = at + 1
+
+
+def windows_around(
+    words: list[int], start: int, end: int, low: int, high: int, min_words: int
+) -> Iterator[tuple[int, int]]:
+    """Least runs from ``start`` to ``end`` that hold the lines ``low`` to ``high`` and have enough words."""
+    last, size = high, sum(words[low : high + 1])
+    while size < min_words and last + 1 < end:
+        last += 1
+        size += words[last]
+    first, before = low, None
+    while True:
+        while last > high and size - words[last] >= min_words:
+            size -= words[last]
+            last -= 1
+        if size >= min_words and last != before:
+            yield first, last
+            before = last
+        if first == start or (size >= min_words and last == high):
+            break
+        first -= 1
+        size += words[first]
+
+
+def searched_windows(
+    places: list[int], words: list[int], frequent: list[bool], min_words: int
+) -> Iterator[tuple[int, int, list[int]]]:
+    """Windows (first, last) with the places that they may delete.
+
+    Those around a line may delete their lines; those around a gap, that is lines
+    without a word between two frequent ones, delete the gap, as only a run that
+    holds both neighbours does.
+    """
+    for a, b in windows_of(words, frequent, min_words):
+        yield a, b, places[a : b + 1]
+    for start, end in frequent_runs(frequent):
+        for here in range(start, end - 1):
+            gap = list(range(places[here] + 1, places[here + 1]))
+            if gap:
+                for a, b in windows_around(words, start, end, here, here + 1, min_words):
+                    yield a, b, gap
 
 
 def shared_documents(lines: DataFrame, shared: DataFrame, rare: int, min_words: int) -> DataFrame:
@@ -200,14 +239,15 @@ def shared_documents(lines: DataFrame, shared: DataFrame, rare: int, min_words:
                 kept.append([line if line in holders else b"" for line in own])
                 kinds.append(xxhash.xxh3_128_digest(b"".join(kept[-1])))
                 found = []
-                for a, b in windows_of(words, [holders.get(line, 0) > rare for line in own], min_words):
+                frequent = [holders.get(line, 0) > rare for line in own]
+                for a, b, at in searched_windows(places, words, frequent, min_words):
                     inside = own[a : b + 1]
                     found.append(
                         {
                             "window": xxhash.xxh3_128_digest(b"".join(inside)),
                             "rarest": min(inside, key=lambda line: (holders[line], line)),
                             "inside": inside,
-                            "at": places[a : b + 1],
+                            "at": at,
                         }
                     )
                 windows.append(found)
@@ -228,23 +268,30 @@ def shared_documents(lines: DataFrame, shared: DataFrame, rare: int, min_words:
     )
 
 
-def window_holders(found: DataFrame, documents: DataFrame, shared: DataFrame) -> DataFrame:
+def window_holders(windows: DataFrame, holding: DataFrame, documents: DataFrame) -> DataFrame:
     """``window`` and, of each kind of documents with its lines in order, the earliest as ``other``.
 
-    Windows of several lines look for holders through their rarest line, so that
-    documents that have other lines between are found as well.
+    ``windows`` have ``window``, ``rarest`` and ``inside``; ``holding`` tells which
+    documents are looked at for a rarest line, at ``pos`` among its holders, so that
+    documents that have other lines between are found as well. A document meets its
+    likely windows in groups of bounded size.
     """
-    windows = stage(
-        found.dropDuplicates(["window"]).select("window", "rarest", "inside"), "line-windows"
+    likely = stage(
+        windows.join(holding, F.col("rarest") == F.col("line")).where("pos < furthest")
+        .select("window", "inside", "doc"),
+        "likely-windows",
     )
-    holding = shared.select(F.col("line").alias("rarest"), "doc")
-    likely = windows.join(holding, "rarest").groupBy("doc").agg(
+    groups = likely.groupBy("doc").agg(F.ceil(F.count("*") / GROUP_WINDOWS).alias("_groups"))
+    salted = likely.join(groups, "doc").withColumn(
+        "_group", F.pmod(F.xxhash64("window"), F.col("_groups"))
+    )
+    salted = salted.groupBy("doc", "_group").agg(
         F.collect_list(F.struct("window", "inside")).alias("likely")
     )
     schema = documents.schema["doc"].dataType.simpleString()
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, 16):
             row, windows = [], []
             for one, (lines, likely) in enumerate(
                 zip(batch.column("lines").to_pylist(), batch.column("likely").to_pylist(), strict=True)
@@ -273,7 +320,7 @@ def window_holders(found: DataFrame, documents: DataFrame, shared: DataFrame) ->
                 names=["window", "kind", "doc"],
             )
 
-    held = likely.join(documents.select("doc", "lines", "kind"), "doc").mapInArrow(
+    held = salted.join(documents.select("doc", "lines", "kind"), "doc").drop("_group").mapInArrow(
         hold, f"window binary, kind binary, doc {schema}"
     )
     return held.groupBy("window", "kind").agg(F.min("doc").alias("other")).drop("kind")
@@ -317,6 +364,15 @@ def deleted_by(pairs: DataFrame, documents: DataFrame, min_words: int) -> DataFr
     )
 
 
+def united(parts: list[DataFrame]) -> DataFrame:
+    """``doc`` and all its deleted places of several rounds."""
+    return (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("doc")
+        .agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+    )
+
+
 def repeated_lines(docs: DataFrame, rare: int, min_words: int) -> DataFrame:
     """``doc`` and the places (``gone``) of the blocks that any earlier document has as well.
 
@@ -324,43 +380,63 @@ def repeated_lines(docs: DataFrame, rare: int, min_words: int) -> DataFrame:
     pairs that can add nothing are left out. Documents that share a line of at
     most ``rare`` documents are all aligned. Other pairs share frequent lines
     alone, and can delete a line only if the earlier one has a window around it
-    (``windows_of``): each document is aligned with the earliest holder of each of
-    its windows, then, for windows with a line still there, with the earliest of
-    every kind of holders. That second step is small unless many documents have
-    a long frequent passage that their earlier ones have in another order.
+    (``windows_of``).
+
+    Holders of a window are looked for in rounds, among ever more of the holders of
+    its rarest line, earliest first. In a round a document is aligned with the
+    earliest holder that was found of each of its windows, then, for windows with a
+    line still there, with the earliest of every kind of holders. Windows of which
+    nothing is left, and those whose own document the round has reached, leave the
+    search, so that it ends early unless many documents have a long frequent passage
+    that all their earlier ones have in another order.
     """
     lines = stage(document_lines(docs), "lines")
     held = lines.select("doc", F.explode(F.array_distinct("lines")).alias("line"))
     keys = held.groupBy("line").agg(F.count("*").alias("holders")).where("holders > 1")
     shared = stage(held.join(stage(keys, "line-holders"), "line"), "shared-lines")
     documents = stage(shared_documents(lines, shared, rare, min_words), "shared-documents")
-    found = documents.select("doc", F.inline("windows"))
 
     few = shared.where(F.col("holders") <= rare)
     others = few.select(F.col("line").alias("_line"), F.col("doc").alias("other"))
     met = few.join(others, (F.col("line") == F.col("_line")) & (F.col("doc") > F.col("other")))
-    holders = stage(
-        window_holders(found, documents, shared.where(F.col("holders") > rare)), "window-holders"
-    )
-    firsts = stage(holders.groupBy("window").agg(F.min("other").alias("other")), "window-firsts")
-    led = found.select("doc", "window").join(firsts, "window").where(F.col("doc") > F.col("other"))
-    pairs = stage(
-        met.select("doc", "other").unionByName(led.select("doc", "other")).distinct(), "line-pairs"
-    )
-    gone = stage(deleted_by(pairs, documents, min_words), "deleted-lines")
-
-    left = found.join(gone, "doc", "left").where(
-        F.size(F.array_except("at", F.coalesce("gone", F.array().cast("array<int>")))) > 0
-    )
-    left = stage(left.select("doc", "window").distinct(), "windows-left")
-    more = left.join(holders, "window").where(F.col("doc") > F.col("other"))
-    more = more.select("doc", "other").distinct().join(pairs, ["doc", "other"], "left_anti")
-    rest = deleted_by(stage(more, "line-pairs-left"), documents, min_words)
-    return (
-        gone.unionByName(rest)
-        .groupBy("doc")
-        .agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
-    )
+    done = [stage(met.select("doc", "other").distinct(), "line-pairs")]
+    gone = [stage(deleted_by(done[0], documents, min_words), "deleted-lines")]
+
+    frequent = shared.where(F.col("holders") > rare).select("line", "doc")
+    holding = stage(positions(frequent, "line", "doc", "frequent-lines"), "line-positions")
+    own = holding.select(F.col("line").alias("rarest"), "doc", "pos")
+    found = documents.select("doc", F.inline("windows")).join(own, ["rarest", "doc"])
+    active = stage(found.where("pos > 0"), "line-windows")
+
+    def still_there(some: DataFrame) -> DataFrame:
+        none = F.array().cast("array<int>")
+        left = some.join(united(gone), "doc", "left")
+        left = left.where(F.size(F.array_except("at", F.coalesce("gone", none))) > 0)
+        return left.drop("gone")
+
+    def align(pairs: DataFrame) -> None:
+        pairs = pairs.where(F.col("doc") > F.col("other")).select("doc", "other").distinct()
+        known = reduce(DataFrame.unionByName, done)
+        done.append(stage(pairs.join(known, ["doc", "other"], "left_anti"), "line-pairs"))
+        gone.append(stage(deleted_by(done[-1], documents, min_words), "deleted-lines"))
+
+    first, last = 0, FIRST_HOLDERS
+    active = stage(still_there(active), "windows-left")
+    while not active.isEmpty():
+        asked = active.groupBy("window").agg(
+            F.min("rarest").alias("rarest"),
+            F.min("inside").alias("inside"),
+            F.max("pos").alias("furthest"),
+        )
+        looked = holding.where((F.col("pos") >= first) & (F.col("pos") < last))
+        holders = stage(window_holders(asked, looked, documents), "window-holders")
+        firsts = holders.groupBy("window").agg(F.min("other").alias("other"))
+        align(active.select("doc", "window").join(firsts, "window"))
+        left = stage(still_there(active), "windows-left")
+        align(left.select("doc", "window").join(holders, "window"))
+        active = stage(still_there(left.where(F.col("pos") > last)), "windows-left")
+        first, last = last, last * MORE_HOLDERS
+    return united(gone)
 
 
 def delete_repeats(
@@ -395,8 +471,9 @@ def delete_repeats(
     rows = by_place(docs)
     places_of = rows.columns
     own = places_of[docs.columns.index(text)]
+    # The same join at every size: what is deleted grows with the documents.
     joined = rows.join(
-        gone,
+        gone.hint("merge"),
         place(docs, id).eqNullSafe(F.col("_id")) & (F.xxhash64(own) == F.col("_hash")),
         "left",
     ).drop("_id", "_hash")

@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import pytest
 
+from loanlake.llm import line_dedup
 from loanlake.llm.line_dedup import (
     MIN_WORDS,
     RARE,
@@ -15,6 +16,7 @@ from loanlake.llm.line_dedup import (
     runs_to_delete,
     windows_of,
 )
+from loanlake.session import stage
 
 SCHEMA = "doc_id long, text string"
 
@@ -223,3 +225,42 @@ def test_windows():
                 if all(often[a : b + 1]) and sum(sizes[a : b + 1]) >= 20:
                     for at in range(a, b + 1):
                         assert any(a <= c <= at <= d <= b for c, d in found)
+
+
+def joined_rows(spark, rows, monkeypatch):
+    """New texts, and how many window rows met holders on the way to them."""
+    likely = []
+
+    def counted(df, name):
+        staged = stage(df, name)
+        if name == "likely-windows":
+            likely.append(staged.count())
+        return staged
+
+    monkeypatch.setattr(line_dedup, "stage", counted)
+    found = result(spark, rows)
+    monkeypatch.undo()
+    return found, sum(likely)
+
+
+def test_menus_do_not_meet_all_their_holders(spark, monkeypatch):
+    rng = random.Random(11)
+    menu = [words(rng, rng.randint(3, 9)) for _ in range(40)]
+    docs = [(i, "\n".join(sorted(rng.sample(menu, 24), key=menu.index))) for i in range(160)]
+    few, met_few = joined_rows(spark, docs[:80], monkeypatch)
+    many, met_many = joined_rows(spark, docs, monkeypatch)
+    assert few == uncapped(docs[:80])
+    assert {i: many[i] for i in few} == few
+    assert met_many < 3 * met_few
+
+
+@pytest.mark.parametrize("first", [1, 3])
+def test_rounds_change_nothing(spark, monkeypatch, first):
+    monkeypatch.setattr(line_dedup, "FIRST_HOLDERS", first)
+    monkeypatch.setattr(line_dedup, "MORE_HOLDERS", 3)
+    rng = random.Random(12)
+    common = [words(rng, n) for n in (4, 7, 11, 14, 22, 26)]
+    docs = [
+        (i, "\n".join(rng.choice([*common, "", words(rng, 5)]) for _ in range(rng.randint(2, 8)))) for i in range(60)
+    ]
+    assert result(spark, docs, rare=1) == uncapped(docs)
