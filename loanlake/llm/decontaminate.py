@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,12 @@ from loanlake.session import stage
 
 #: Fixed masks: words at a 1 are hashed, words at a 0 may differ.
 MASKS = ("111111", "1110111", "11011011", "101101101")
+#: Masks for items of fewer words than this. Some stretch of three words, or of two on
+#: either side of one, is left whole by every fifth of an item's words that may differ.
+SHORT_ITEM_WORDS = 15
+SHORT_MASKS = ("111", "11011")
+#: Words that an item needs to be looked for at all.
+LEAST_WORDS = 3
 #: Words an overlap is judged on (the whole item if it is shorter), and the percentage that must agree.
 OVERLAP_WORDS = 20
 OVERLAP_PERCENT = 80
@@ -23,15 +31,15 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(A_WORD), F.lit(0))
 
 
-def exploded_seeds(rows: DataFrame, masks: tuple[str, ...], *keys: str) -> DataFrame:
+def exploded_seeds(rows: DataFrame, masks: dict[int, str], *keys: str) -> DataFrame:
     """``keys``, ``seed`` and ``at``, the word it begins at, of every row's ``words``.
 
     The hashed words are zipped with themselves, moved by one word, by two and so
     on; so each exploded row holds the words under the longest mask, and the
     seeds are plain column expressions that run compiled. A mask that reaches past
-    the last word gives none.
+    the last word gives none. ``masks`` are known by numbers, which are hashed along.
     """
-    reach = range(max(map(len, masks)))
+    reach = range(max(map(len, masks.values())))
     hashed = rows.select(*keys, F.transform("words", lambda word: F.xxhash64(word)).alias("h"))
     moved = [
         F.slice("h", k + 1, F.greatest(F.size("h") - k, F.lit(0))).alias(f"w{k}") for k in reach
@@ -46,7 +54,7 @@ def exploded_seeds(rows: DataFrame, masks: tuple[str, ...], *keys: str) -> DataF
             F.col(f"w.w{len(mask) - 1}").isNotNull(), F.xxhash64(F.lit(number), *chosen)
         )
 
-    seeds = F.array(*[seed(number, mask) for number, mask in enumerate(masks)])
+    seeds = F.array(*[seed(number, mask) for number, mask in masks.items()])
     return zipped.select(*keys, "at", F.explode(seeds).alias("seed")).where("seed is not null")
 
 
@@ -59,14 +67,19 @@ def seed_hits(
     seeds, whose number is counted, go to the executors. A larger benchmark is
     joined by a shuffle on the seed. Hits are made distinct before their shuffle.
     """
-    asked = stage(
-        exploded_seeds(
-            items.withColumn("n_words", F.size("words")), masks, "item_id", "n_words"
-        ).distinct(),
-        "benchmark-seeds",
-    )
+    items = items.withColumn("n_words", F.size("words")).where(F.col("n_words") >= LEAST_WORDS)
+    numbered = dict(enumerate(masks + SHORT_MASKS))
+    short = F.col("n_words") < SHORT_ITEM_WORDS
+    used = items.agg(F.coalesce(F.bool_or(short), F.lit(False)), F.coalesce(F.bool_or(~short), F.lit(False))).first()
+    parts = [(items.where(short), {n: m for n, m in numbered.items() if n >= len(masks)}, used[0]),
+             (items.where(~short), {n: m for n, m in numbered.items() if n < len(masks)}, used[1])]
+    # Texts are only asked for the masks that some item has.
+    parts = [(part, own) for part, own, met in parts if met] or [(items, numbered)]
+    seeds = [exploded_seeds(part, own, "item_id", "n_words") for part, own in parts]
+    asked = stage(reduce(DataFrame.unionByName, seeds).distinct(), "benchmark-seeds")
     if asked.count() <= broadcast_seeds:
         asked = F.broadcast(asked)
+    masks = {n: m for _, own in parts for n, m in own.items()}
     told = exploded_seeds(docs, masks, "doc_id").withColumnRenamed("at", "doc_at")
     shift = (F.col("doc_at") - F.col("at")).alias("shift")
     return (
@@ -95,12 +108,15 @@ def overlaps(
     One row for each document and item. A hit of a seed lays the item over the
     text; the words in that position are compared one by one, and the pair is
     kept if in some stretch of ``overlap_words`` words (the whole item, if it is
-    shorter) at least ``overlap_percent`` of the words agree. ``matched`` of
+    shorter) at least ``overlap_percent`` of the words agree. Words of the item that
+    lie before or behind the document count as different. ``matched`` of
     ``compared`` words agree in the best stretch; the first such stretch begins at
-    the document's word ``doc_start``.
+    the document's word ``doc_start``, or before it at word 0.
 
-    Null and empty texts and items have no words and match nothing, nor do items
-    shorter than the shortest mask. Rows that share a ``doc_id`` (null included)
+    Items of fewer than ``SHORT_ITEM_WORDS`` words have lighter seeds of their own,
+    which miss none of their accepted overlaps. Null and empty texts and items have
+    no words and match nothing, nor do items of fewer than ``LEAST_WORDS`` words,
+    which any text may hold by chance. Rows that share a ``doc_id`` (null included)
     share their overlaps, as do items that share an id; repeated rows change
     nothing; empty tables give no rows; other columns are not read. Hits and
     seeds are written when this is called. Texts are read whole, twice: the
@@ -132,10 +148,16 @@ def overlaps(
         "told",
         lambda word, i: (word == F.get("asked", i + F.col("item_first"))).cast("int"),
     )
+    outside = F.lit(0)
+    behind = F.size("asked") - F.col("item_first") - F.size("told")
+    agree = F.concat(
+        F.array_repeat(outside, F.col("item_first")), agree, F.array_repeat(outside, behind)
+    )
     needed = F.least(F.lit(overlap_words), F.size("asked"))
+    shift = F.col("doc_first") - F.col("item_first")
     laid = laid.select(
-        "doc_id", "item_id", "doc_first", needed.alias("compared"), agree.alias("agree")
-    ).where("size(agree) >= compared and compared > 0")
+        "doc_id", "item_id", shift.alias("shift"), needed.alias("compared"), agree.alias("agree")
+    ).where("compared > 0")
     sums = F.transform(
         F.sequence(F.lit(0), F.size("agree") - F.col("compared")),
         lambda i: F.aggregate(
@@ -146,7 +168,8 @@ def overlaps(
     )
     best = laid.withColumn("sums", sums).withColumn("matched", F.array_max("sums"))
     best = best.where(F.col("matched") * 100 >= F.col("compared") * overlap_percent)
-    start = F.col("doc_first") + F.array_position("sums", F.col("matched")).cast("int") - 1
+    begun = F.col("shift") + F.array_position("sums", F.col("matched")).cast("int") - 1
+    start = F.greatest(F.lit(0), begun)
     return (
         best.select("doc_id", "item_id", "matched", "compared", start.alias("doc_start"))
         .groupBy("doc_id", "item_id")
@@ -173,14 +196,18 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-def _sql_seeds(rows: str, keys: str) -> str:
+def _sql_seeds(rows: str, keys: str, of_items: bool = False) -> str:
     """Seeds of a SQL relation of ``keys`` and ``words``, as strings instead of hashes."""
     each = []
-    for number, mask in enumerate(MASKS):
+    for number, mask in enumerate(MASKS + SHORT_MASKS):
         taken = " || ' ' || ".join(f"words[i + {k}]" for k, bit in enumerate(mask) if bit == "1")
+        size = f"len(words) >= {SHORT_ITEM_WORDS}"
+        if mask in SHORT_MASKS:
+            size = f"len(words) < {SHORT_ITEM_WORDS} and len(words) >= {LEAST_WORDS}"
+        where = f" where {size}" if of_items else ""
         each.append(
             f"select {keys}, i - 1 as place, '{number} ' || {taken} as seed from "
-            f"(select {keys}, words, unnest(range(1, len(words) - {len(mask)} + 2)) as i from {rows})"
+            f"(select {keys}, words, unnest(range(1, len(words) - {len(mask)} + 2)) as i from {rows}{where})"
         )
     return " union all ".join(each)
 
@@ -190,25 +217,25 @@ ORACLE = f"""
 with doc_words as (select doc_id, {_SQL_WORDS} as words from documents),
 item_words as (select item_id, {_SQL_WORDS} as words from (select distinct item_id, text from benchmark)),
 told as ({_sql_seeds("doc_words", "doc_id")}),
-asked as ({_sql_seeds("item_words", "item_id")}),
+asked as ({_sql_seeds("item_words", "item_id", of_items=True)}),
 hits as (
   select distinct doc_id, item_id, told.place - asked.place as shift
   from told join asked using (seed)
 ),
 compared as (
   select doc_id, item_id, shift, least({OVERLAP_WORDS}, len(i.words)) as compared,
-    [case when d.words[k + 1] = i.words[k - shift + 1] then 1 else 0 end
-     for k in range(greatest(0, shift), least(len(d.words), shift + len(i.words)))] as agree
+    [case when k >= 0 and k < len(d.words) and d.words[k + 1] = i.words[k - shift + 1] then 1 else 0 end
+     for k in range(shift, shift + len(i.words))] as agree
   from hits join doc_words d using (doc_id) join item_words i using (item_id)
 ),
 sums as (
   select doc_id, item_id, shift, compared,
     [list_sum(agree[s : s + compared - 1]) for s in range(1, len(agree) - compared + 2)] as sums
-  from compared where len(agree) >= compared
+  from compared
 ),
 best as (
   select doc_id, item_id, compared, list_max(sums) as matched,
-    greatest(0, shift) + list_position(sums, list_max(sums)) - 1 as doc_start
+    greatest(0, shift + list_position(sums, list_max(sums)) - 1) as doc_start
   from sums
 ),
 ranked as (

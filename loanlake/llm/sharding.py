@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -91,7 +93,7 @@ def choose_splitters(records: DataFrame, shards: int, total: int) -> tuple[np.nd
     keys = sample_keys(records, rate, 0)
     chosen = keys[np.unique((np.arange(1, ranges) * len(keys)) // ranges)] if len(keys) else keys
     splitters = align_to_runs(np.unique(chosen, axis=0))
-    for seed in range(1, 9):
+    for seed in count(1):
         sizes = range_sizes(records, splitters)
         overfull = np.flatnonzero(sizes > OVERFULL * total / ranges)
         if not len(overfull):

@@ -76,7 +76,7 @@ def spread(links: DataFrame, seeds: DataFrame, damping: float, rounds: int) -> D
     of a host with very many links. Scores start from the seeds' own share and a
     round passes on what the last one added, until that is below ``TOLERANCE`` in
     all, so no score is too high and each lacks less than about six times
-    as much. Without links the seeds are the result.
+    as much. Scores have one scale: without links a seed keeps its own share alone.
     """
     forward = links.select(
         F.lit("trust").alias("kind"), F.col("source").alias("giver"), F.col("target").alias("host"), "weight"
@@ -101,24 +101,23 @@ def spread(links: DataFrame, seeds: DataFrame, damping: float, rounds: int) -> D
         ).where("score > 0"),
         "host-seeds",
     )
-    if shares.isEmpty():
-        scores = start
+    own = F.col("score") * (1 - damping)
+    scores = start.select("host", "kind", own.alias("score"), own.alias("added"))
+    for _ in range(rounds):
+        passed = scores.where("added > 0").withColumnRenamed("host", "giver")
+        passed = passed.join(shares, ["kind", "giver"]).select(
+            "host", "kind", (F.col("added") * F.col("share") * damping).alias("score")
+        )
+        passed = passed.withColumn("added", F.col("score"))
+        total = scores.withColumn("added", F.lit(0.0)).unionByName(passed)
+        total = total.groupBy("host", "kind").agg(
+            F.sum("score").alias("score"), F.sum("added").alias("added")
+        )
+        scores = stage(total, "host-scores")
+        if (scores.agg(F.sum("added")).first()[0] or 0.0) < TOLERANCE:
+            break
     else:
-        own = F.col("score") * (1 - damping)
-        scores = start.select("host", "kind", own.alias("score"), own.alias("added"))
-        for _ in range(rounds):
-            passed = scores.where("added > 0").withColumnRenamed("host", "giver")
-            passed = passed.join(shares, ["kind", "giver"]).select(
-                "host", "kind", (F.col("added") * F.col("share") * damping).alias("score")
-            )
-            passed = passed.withColumn("added", F.col("score"))
-            total = scores.withColumn("added", F.lit(0.0)).unionByName(passed)
-            total = total.groupBy("host", "kind").agg(
-                F.sum("score").alias("score"), F.sum("added").alias("added")
-            )
-            scores = stage(total, "host-scores")
-            if (scores.agg(F.sum("added")).first()[0] or 0.0) < TOLERANCE:
-                break
+        raise RuntimeError(f"scores have not settled after {rounds} rounds")
     of = {kind: F.sum(F.when(F.col("kind") == kind, F.col("score"))) for kind in ("trust", "distrust")}
     return scores.groupBy("host").agg(
         *[F.round(F.coalesce(score, F.lit(0.0)), 12).alias(kind) for kind, score in of.items()]

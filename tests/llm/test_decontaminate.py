@@ -81,3 +81,34 @@ def test_no_python_in_the_plan(spark, edge, capsys):
     op6_decontaminate(spark, edge).explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_an_item_that_sticks_out_of_the_document(spark, item):
+    short = item[:18]
+    benchmark = frame(spark, "item_id", [(1, " ".join(short)), (2, " ".join(item[18:]))])
+    docs = [(1, " ".join(short[1:])), (2, "so " + " ".join(short[1:])), (3, "before " + " ".join(short[:-3])),
+            (4, " ".join(short[4:])), (5, " ".join(item[20:36])), (6, " ".join(item[21:36]))]
+    found = {(r.doc_id, r.item_id, r.matched) for r in overlaps(frame(spark, "doc_id", docs), benchmark).collect()}
+    assert found == {(1, 1, 17), (2, 1, 17), (3, 1, 15), (5, 2, 16)}
+
+
+@pytest.mark.parametrize("words", [3, 4, 5, 6, 7, 9, 10, 12, 14, 15, 18, 20, 30])
+def test_recall_by_item_length(spark, item, words):
+    """Every accepted number of substitutions, in many places, within longer texts."""
+    rng = random.Random(words)
+    told = (item * 2)[:words]
+    allowed = words - -(-min(words, 20) * 80 // 100) if words <= 20 else 4
+    docs = []
+    for i in range(120):
+        changed = list(told)
+        for at in rng.sample(range(min(words, 20)), i % (allowed + 1)):
+            changed[at] = f"other{at}"
+        docs.append((i, "before " * 5 + " ".join(changed) + " after" * 5))
+    found = {r.doc_id for r in overlaps(frame(spark, "doc_id", docs), frame(spark, "item_id", [(1, " ".join(told))])).collect()}
+    assert len(found) >= (1.0 if words < 15 else 0.97) * len(docs)
+
+
+def test_items_of_two_words_are_not_looked_for(spark):
+    docs = frame(spark, "doc_id", [(1, "two words here and three words there")])
+    items = frame(spark, "item_id", [(1, "two words"), (2, "three words there")])
+    assert [(r.doc_id, r.item_id) for r in overlaps(docs, items).collect()] == [(1, 2)]

@@ -59,7 +59,7 @@ def direct(pages):
             given[a] += weight
         seeds = {h: 1.0 for h, v in verdicts.items() if v.count(verdict) / len(v) > SEED_SHARE}
         now = dict(seeds)
-        for _ in range(ROUNDS if links else 0):
+        for _ in range(ROUNDS if links else 1):
             after = defaultdict(float, {h: (1 - DAMPING) * s for h, s in seeds.items()})
             for (a, b), weight in steps.items():
                 after[b] += DAMPING * now.get(a, 0) * weight / given[a]
@@ -149,3 +149,16 @@ def test_distrust_goes_down_a_long_chain(spark):
     found = {r.host: r.distrust for r in spread(links, seeds, DAMPING, ROUNDS).collect()}
     assert found == {f"h{i}": pytest.approx(0.15 * 0.85**i) for i in range(15)}
     assert found["h12"] > MAX_DISTRUST > found["h13"]
+
+
+def test_scores_have_one_scale(spark):
+    from loanlake.llm.url_filters import spread
+
+    seeds = spark.createDataFrame([("bad.net", 0.0, 1.0)], "host string, trust double, distrust double")
+    schema = "source string, target string, weight double"
+    alone = spread(spark.createDataFrame([], schema), seeds, 0.85, 1000).collect()
+    beside = spread(spark.createDataFrame([("a.org", "b.org", 1.0)], schema), seeds, 0.85, 1000).collect()
+    assert [tuple(r) for r in alone] == [tuple(r) for r in beside] == [("bad.net", 0.0, 0.15)]
+    loop = spark.createDataFrame([("bad.net", "bad.net", 1.0)], schema)
+    with pytest.raises(RuntimeError, match="settled"):
+        spread(loop, seeds, 0.85, 3)
