@@ -1,9 +1,9 @@
 """Joins that keep their sides' columns apart.
 
 Hot keys are left to Spark: adaptive execution measures the shuffled partitions
-of a join and splits those that one key has filled, at any size of the data. So
-every join here puts both sides straight behind a shuffle on the key, and sides
-that can be counted or summed per key are, before they meet.
+of a join and splits those that one key has filled, at any size of the data. It can
+do so where the side with the hot key stands straight behind a shuffle. Sides that
+can be counted or summed per key are, before they meet, and hold one row per key.
 """
 
 from __future__ import annotations
