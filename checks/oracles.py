@@ -225,6 +225,18 @@ SELECT *, printf('APP-%06d', row_number() OVER (ORDER BY {UNNAMED_ORDER}) - 1) A
 FROM (SELECT DISTINCT {UNNAMED} FROM apps) AS d
 """
 
+STEPS["registered"] = f"""
+SELECT * EXCLUDE (early), row_number() OVER (ORDER BY early DESC, applicant_key) - 1 AS applicant_number,
+  printf('APP-%06d', row_number() OVER (ORDER BY early DESC, applicant_key) - 1) AS applicant_id
+FROM (
+  SELECT *, {row_key("", *[c.strip() for c in UNNAMED.split(",")])} AS applicant_key
+  FROM (
+    SELECT {UNNAMED}, bool_or(CAST(substr(application_id, 3) AS BIGINT) % 4 = 1) AS early
+    FROM apps GROUP BY {UNNAMED}
+  ) AS d
+) AS keyed
+"""
+
 STEPS["staged_with_ssn"] = """
 SELECT applicant_ssn, application_id, applicant_id, loan_type, loan_amount_requested_usd, loan_term_months,
   interest_rate, loan_purpose, estimated_monthly_payment_usd,
@@ -378,6 +390,7 @@ NEEDS = {
     "fact_with_ssn": ("apps", "applicants"),
     "fact": ("fact_with_ssn",),
     "numbered": ("apps",),
+    "registered": ("apps",),
     "staged_with_ssn": ("fact_with_ssn",),
     "staged": ("staged_with_ssn",),
     "summary": ("repayments",),
@@ -819,6 +832,14 @@ ORACLES: dict[str, str] = {
         "apps", "repayments", "credit",
     ),
     "applications_kept": sql(f"SELECT * FROM apps WHERE NOT ({INVALID_AMOUNT})", "apps"),
+    "dim_applicants_registered": whole("registered"),
+    "fact_loans_registered": sql(
+        _FACT_SEQUENTIAL.replace("numbered", "registered"), "apps", "registered"
+    ),
+    "repayments_summary_by_days": sql(
+        "SELECT * FROM summary WHERE application_id IS NOT NULL", "summary"
+    ),
+    "loan_performance_mart_by_days": whole("mart"),
     "dq_loaded_suite": sql(
         " UNION ALL ".join(
             [

@@ -15,7 +15,7 @@ from loanlake.operators import clean, quality
 from loanlake.operators.joins import keyed_join
 from loanlake.operators.rejects import rejects_per_check
 from loanlake.operators.rows import keep_one
-from loanlake.plans import gate, legacy, mart, reports, star
+from loanlake.plans import deltas, gate, legacy, mart, registry, reports, star
 from loanlake.plans.pipeline import star_tables
 from loanlake.session import shared_dir, stage
 from loanlake.sources.files import CsvScan, read_csv, scan_csv
@@ -404,6 +404,55 @@ def _loaded_suite(x: Lending) -> DataFrame:
     return found
 
 
+def _registered(x: Lending) -> str:
+    """Registry table without SSNs: half of the applications, then all, then all again."""
+    name, location = _fresh(x, "registry")
+    apps = x.applications.drop("applicant_ssn")
+    for rows in (_halves(apps)[0], apps, apps):
+        registry.register_applicants(rows, name, location=location)
+    return name
+
+
+def _fact_registered(x: Lending) -> DataFrame:
+    known = _read_and_drop(x, _registered(x))[0]
+    return star.loan_fact(x.applications.drop("applicant_ssn"), registry.dimension(known))
+
+
+LATER = "day(repayment_date) > 15"
+
+
+def _states_by_days(x: Lending) -> str:
+    """State table after two days; the second is applied twice, the first time cut short."""
+    name, location = _fresh(x, "states")
+    rows = stage(x.repayments, "repayments")
+    later = F.coalesce(F.expr(LATER), F.lit(False))
+    days = date(2024, 1, 1), date(2024, 1, 2)
+    deltas.apply_day(rows.where(~later), days[0], name, location=location)
+    deltas.apply_day(rows.where(later).where(ODD), days[1], name, location=location)
+    deltas.apply_day(rows.where(later), days[1], name, location=location)
+    return name
+
+
+def _summary_by_days(x: Lending) -> DataFrame:
+    return deltas.summary_of(_read_and_drop(x, _states_by_days(x))[0])
+
+
+def _mart_by_days(x: Lending) -> DataFrame:
+    """The mart, made from the first day and refreshed for what the second has touched."""
+    states, location = _fresh(x, "states")
+    name = f"{states}_mart"
+    loans = stage(mart.stage_loans(x.fact_with_ssn, carry=SSN), "loans")
+    rows = stage(x.repayments, "repayments")
+    later = F.coalesce(F.expr(LATER), F.lit(False))
+    for day, part in ((1, rows.where(~later)), (2, rows.where(later))):
+        touched = deltas.apply_day(part, date(2024, 1, day), states, location=location)
+        deltas.refresh_mart(
+            loans, x.credit, states, name, touched, credit_key="applicant_ssn", location=location
+        )
+    _, performance = _read_and_drop(x, states, name)
+    return performance.drop(deltas.BUCKET)
+
+
 def _cleaned_csv(x: Lending) -> DataFrame:
     """Cleaned repayments landed as CSV and cleaned again: nothing may change."""
     path = f"{shared_dir(x.spark)}/loanlake/csv-{uuid.uuid4().hex}"
@@ -484,6 +533,10 @@ QUERIES: dict[str, Callable[[Lending], DataFrame]] = {
     "rejected_rows_per_check": lambda x: rejects_per_check(_set_aside(x)[1]),
     "applications_kept": lambda x: _set_aside(x)[0]["loan_applications"],
     "dq_loaded_suite": _loaded_suite,
+    "dim_applicants_registered": lambda x: _read_and_drop(x, _registered(x))[0],
+    "fact_loans_registered": _fact_registered,
+    "repayments_summary_by_days": _summary_by_days,
+    "loan_performance_mart_by_days": _mart_by_days,
 }
 
 

@@ -59,12 +59,24 @@ def loan_performance(
     applicant ids are too short to tell all applicants apart. Several bureau rows
     for one key repeat the loan; the uniqueness check on the mart reports that.
     """
+    summary = summarise_repayments(repayments)
+    return performance_of(staged_loans, summary, credit, credit_key=credit_key)
+
+
+def performance_of(
+    staged_loans: DataFrame,
+    summary: DataFrame,
+    credit: DataFrame,
+    *,
+    credit_key: str = "application_id",
+) -> DataFrame:
+    """``loan_performance`` from repayments that are summarised already."""
     if credit_key not in ("applicant_ssn", "application_id"):
         raise ValueError(f"unknown credit key: {credit_key}")
     if credit_key not in staged_loans.columns:
         raise ValueError(f"matching by {credit_key} needs that column in the staged loans")
     profile = credit.select(credit_key, *select_typed(credit, schema.MART_CREDIT_TYPES))
-    summary = summarise_repayments(repayments).withColumnRenamed("has_defaulted", "_defaulted")
+    summary = summary.withColumnRenamed("has_defaulted", "_defaulted")
     joined = keyed_join(staged_loans, summary, "application_id")
     joined = keyed_join(joined, profile.where(F.col(credit_key).isNotNull()), credit_key)
     amount = F.col("loan_amount_requested_usd")
