@@ -21,8 +21,8 @@ LEAST_WORDS = 3
 #: Words an overlap is judged on (the whole item if it is shorter), and the percentage that must agree.
 OVERLAP_WORDS = 20
 OVERLAP_PERCENT = 80
-#: Benchmark seeds up to which they are sent to every executor, at about 32 bytes each.
-BROADCAST_SEEDS = 1_000_000
+#: Longs of 64 bits that tell seeds of texts which no item has; 1 MB for every executor.
+FILTER_LONGS = 131_072
 A_WORD = r"[\p{L}\p{N}]+"
 
 
@@ -58,14 +58,28 @@ def exploded_seeds(rows: DataFrame, masks: dict[int, str], *keys: str) -> DataFr
     return zipped.select(*keys, "at", F.explode(seeds).alias("seed")).where("seed is not null")
 
 
-def seed_hits(
-    docs: DataFrame, items: DataFrame, masks: tuple[str, ...], broadcast_seeds: int
-) -> DataFrame:
+def seed_bits(asked: DataFrame, longs: int = FILTER_LONGS) -> DataFrame:
+    """One row with ``bits``: ``longs`` numbers in which every ``seed`` has set one bit."""
+    at = F.pmod(F.shiftrightunsigned("seed", 6), F.lit(longs)).alias("at")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("seed", F.lit(64)).cast("int"))
+    met = asked.groupBy(at).agg(F.bit_or(bit).alias("bits"))
+    every = asked.sparkSession.range(longs).withColumnRenamed("id", "at").join(met, "at", "left")
+    every = every.select(F.struct("at", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")).alias("one"))
+    return every.agg(F.sort_array(F.collect_list("one")).getField("bits").alias("bits"))
+
+
+def may_be_asked(seed: Column, bits: Column, longs: int = FILTER_LONGS) -> Column:
+    """Whether the bit of a seed is set: true for every seed of an item, and for few others."""
+    own = F.get(bits, F.pmod(F.shiftrightunsigned(seed, 6), F.lit(longs)).cast("int"))
+    return F.getbit(own, F.pmod(seed, F.lit(64)).cast("int")) == 1
+
+
+def seed_hits(docs: DataFrame, items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
     """Per ``doc_id`` the distinct ``hits``: item, its words, and how far the text is shifted.
 
-    The seeds of all texts are never shuffled while the benchmark is small: its
-    seeds, whose number is counted, go to the executors. A larger benchmark is
-    joined by a shuffle on the seed. Hits are made distinct before their shuffle.
+    Seeds of texts pass a bitmap of the items' seeds where they are made, so only
+    those that some item has, and a share of others that grows with the benchmark, get to
+    the join; Spark chooses its form. Hits are made distinct before their shuffle.
     """
     items = items.withColumn("n_words", F.size("words")).where(F.col("n_words") >= LEAST_WORDS)
     numbered = dict(enumerate(masks + SHORT_MASKS))
@@ -77,10 +91,10 @@ def seed_hits(
     parts = [(part, own) for part, own, met in parts if met] or [(items, numbered)]
     seeds = [exploded_seeds(part, own, "item_id", "n_words") for part, own in parts]
     asked = stage(reduce(DataFrame.unionByName, seeds).distinct(), "benchmark-seeds")
-    if asked.count() <= broadcast_seeds:
-        asked = F.broadcast(asked)
+    bits = seed_bits(asked).scalar()
     masks = {n: m for _, own in parts for n, m in own.items()}
     told = exploded_seeds(docs, masks, "doc_id").withColumnRenamed("at", "doc_at")
+    told = told.where(may_be_asked(F.col("seed"), bits))
     shift = (F.col("doc_at") - F.col("at")).alias("shift")
     return (
         told.join(asked, "seed")
@@ -101,7 +115,6 @@ def overlaps(
     masks: tuple[str, ...] = MASKS,
     overlap_words: int = OVERLAP_WORDS,
     overlap_percent: int = OVERLAP_PERCENT,
-    broadcast_seeds: int = BROADCAST_SEEDS,
 ) -> DataFrame:
     """Verified overlaps: ``doc_id``, ``item_id``, ``matched``, ``compared``, ``doc_start``.
 
@@ -126,7 +139,7 @@ def overlaps(
     texts = rows.select("doc_id", words_of(F.col("text")).alias("words"))
     items = pick(benchmark, item_id=item_id, text=item_text).distinct()
     items = items.select("item_id", words_of(F.col("text")).alias("words"))
-    hits = stage(seed_hits(texts, items, masks, broadcast_seeds), "benchmark-hits")
+    hits = stage(seed_hits(texts, items, masks), "benchmark-hits")
     hits = hits.withColumnRenamed("doc_id", "hit_id")
     laid = rows.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id"))).select(
         "doc_id", "hits", words_of(F.col("text")).alias("words")

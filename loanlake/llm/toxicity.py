@@ -9,10 +9,12 @@ a group cannot raise a score.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -191,20 +193,66 @@ def swaps(mentions: list[list[str]], identity: tuple[tuple[str, ...], ...]) -> l
     return changes
 
 
+def swap_sums(
+    texts: DataFrame, identity: tuple[tuple[str, ...], ...]
+) -> tuple[list[str], np.ndarray, int]:
+    """Features of the identity terms, sums of the products of their changes, number of swaps.
+
+    The penalty of a swap is the square of a weighted sum of its changes, so these
+    sums over all swaps of all ``mentions`` give the whole penalty. They are added up
+    on the executors: the driver gets one number for a pair of features at most,
+    however many sentences mention a group.
+    """
+    names = sorted({one for kind in identity for term in kind for one in features_of(term)})
+    at = {name: i for i, name in enumerate(names)}
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, swapped = np.zeros((len(names), len(names)), dtype=np.int64), 0
+        for batch in slices(batches):
+            rows = batch.column("mentions").to_pylist()
+            for here, times in Counter(tuple(one) for met in rows for one in met).items():
+                for change in swaps([list(here)], identity):
+                    own = [at[feature] for feature in change]
+                    by = np.array(list(change.values()))
+                    sums[np.ix_(own, own)] += times * np.outer(by, by)
+                    swapped += times
+        left, right = np.nonzero(sums)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.append(left, -1), pa.int32()),
+                pa.array(np.append(right, -1), pa.int32()),
+                pa.array(np.append(sums[left, right], swapped), pa.int64()),
+            ],
+            names=["a", "b", "total"],
+        )
+
+    parts = texts.select("mentions").mapInArrow(added, "a int, b int, total long")
+    sums, swapped = np.zeros((len(names), len(names))), 0
+    for row in parts.groupBy("a", "b").agg(F.sum("total").alias("total")).collect():
+        if row["a"] < 0:
+            swapped = row["total"]
+        else:
+            sums[row["a"], row["b"]] = row["total"]
+    return names, sums, swapped
+
+
 def fit_weights(
-    examples: list[tuple[int, list[int]]],
-    changes: list[dict[int, int]],
+    toxic: np.ndarray,
+    row: np.ndarray,
+    column: np.ndarray,
     features: int,
+    moving: np.ndarray,
+    sums: np.ndarray,
+    swapped: int,
     fairness: float,
     steps: int = 400,
 ) -> tuple[np.ndarray, float]:
-    """Minimise log loss + fairness * mean squared score change + ridge, by Adam."""
-    y = np.array([toxic for toxic, _ in examples], dtype=float)
-    row = np.repeat(np.arange(len(examples)), [len(found) for _, found in examples])
-    column = np.fromiter((i for _, found in examples for i in found), dtype=np.int64)
-    swap = np.repeat(np.arange(len(changes)), [len(change) for change in changes])
-    term = np.fromiter((i for change in changes for i in change), dtype=np.int64)
-    by = np.fromiter((v for change in changes for v in change.values()), dtype=float)
+    """Minimise log loss + fairness * mean squared score change + ridge, by Adam.
+
+    Text ``row[i]`` has feature ``column[i]``; ``sums`` are those of the changes of
+    the features ``moving`` over ``swapped`` swaps.
+    """
+    y = toxic.astype(float)
     w = np.zeros(features + 1)
     w[-1] = np.log((y.sum() + 0.1) / (len(y) - y.sum() + 0.9))
     first, second = np.zeros_like(w), np.zeros_like(w)
@@ -213,10 +261,8 @@ def fit_weights(
         error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y) / len(y)
         slope = np.append(np.bincount(column, error[row], features), error.sum())
         slope[:-1] += RIDGE * w[:-1]
-        if changes:
-            moved = np.bincount(swap, w[term] * by, len(changes))
-            pull = 2 * fairness / len(changes) * np.bincount(term, moved[swap] * by, features)
-            slope[:-1] += pull
+        if swapped:
+            slope[moving] += 2 * fairness / swapped * (sums @ w[moving])
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         w -= 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
@@ -233,8 +279,8 @@ def fit(
 ) -> Model:
     """Fit the classifier on a bounded sample of the labelled rows.
 
-    The driver gets the known features of at most ``max_rows`` texts, whatever the
-    size of ``docs``. Without labelled rows, or with one class only, the model is
+    The driver gets the known features of at most ``max_rows`` texts, and one number
+    for a pair of features of identity terms, whatever the size of ``docs``. Without labelled rows, or with one class only, the model is
     a constant.
     """
     rows = training_rows(docs, labels, max_rows)
@@ -246,22 +292,23 @@ def fit(
     chosen = pick_features(texts, positives, n, max_features)
     names = sorted({*chosen, *terms})
     place = {name: i for i, name in enumerate(names)}
-    examples = collect_examples(texts, place)
-    changes = [
-        {place[feature]: by for feature, by in change.items() if feature in place}
-        for change in swaps([here for _, _, met in examples for here in met], identity)
-    ]
-    changes = [change for change in changes if change]
+    swapped_names, sums, swapped = swap_sums(texts, identity)
+    known = [i for i, name in enumerate(swapped_names) if name in place]
     weights, bias = fit_weights(
-        [(toxic, found) for toxic, found, _ in examples], changes, len(names), fairness
+        *collect_examples(texts, place),
+        len(names),
+        np.array([place[swapped_names[i]] for i in known], dtype=np.int64),
+        sums[np.ix_(known, known)],
+        swapped,
+        fairness,
     )
     return Model({name: float(weights[i]) for name, i in place.items()}, bias)
 
 
 def collect_examples(
     texts: DataFrame, place: Mapping[str, int]
-) -> list[tuple[int, list[int], list[list[str]]]]:
-    """Label, numbers of the known features and mentions of each training row, by row."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Labels of the training rows in a fixed order, and the row and number of every known feature."""
     known = dict(place)
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,22 +318,21 @@ def collect_examples(
                 for own in batch.column("features").to_pylist()
             ]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row"),
-                    batch.column("toxic"),
-                    pa.array(found, pa.list_(pa.int32())),
-                    batch.column("mentions"),
-                ],
-                names=["row", "toxic", "found", "mentions"],
+                [batch.column("row"), batch.column("toxic"), pa.array(found, pa.list_(pa.int32()))],
+                names=["row", "toxic", "found"],
             )
 
-    rows = texts.mapInArrow(
-        numbered, "row long, toxic int, found array<int>, mentions array<array<string>>"
+    rows = texts.select("row", "toxic", "features").mapInArrow(
+        numbered, "row long, toxic int, found array<int>"
+    )
+    told = rows.toArrow().sort_by("row")
+    found = told.column("found")
+    sizes = pc.list_value_length(found).to_numpy()
+    return (
+        told.column("toxic").to_numpy(),
+        np.repeat(np.arange(told.num_rows), sizes),
+        pc.list_flatten(found).to_numpy().astype(np.int64),
     )
-    return [
-        (row["toxic"], list(row["found"]), [list(here) for here in row["mentions"]])
-        for row in sorted(rows.toLocalIterator(), key=lambda row: row["row"])
-    ]
 
 
 def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -4,7 +4,15 @@ import random
 
 import pytest
 
-from loanlake.llm.decontaminate import MASKS, ORACLE, op6_decontaminate, overlaps, remove_contaminated
+from loanlake.llm.decontaminate import (
+    MASKS,
+    ORACLE,
+    may_be_asked,
+    op6_decontaminate,
+    overlaps,
+    remove_contaminated,
+    seed_bits,
+)
 
 
 def test_edge_documents_against_sql(spark, edge, sql):
@@ -56,11 +64,31 @@ def test_part_of_an_item_and_short_items(spark, item):
     assert {(r.doc_id, r.item_id) for r in overlaps(docs, benchmark).collect()} == {(1, 1), (3, 2)}
 
 
-def test_large_benchmark_takes_the_shuffle(spark, edge):
+def test_join_by_shuffle_gives_the_same(spark, edge):
     docs, items = (spark.read.parquet(f"{edge}/{t}.parquet") for t in ("documents", "benchmark"))
-    small = overlaps(docs, items)
-    large = overlaps(docs, items, broadcast_seeds=0)
-    assert sorted(small.collect()) == sorted(large.collect())
+    small = sorted(overlaps(docs, items).collect())
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        large = sorted(overlaps(docs, items).collect())
+    finally:
+        spark.conf.set(threshold, before)
+    assert small == large and small
+
+
+@pytest.mark.parametrize("longs", [1, 64, 4096])
+def test_bitmap_lets_every_asked_seed_through(spark, longs):
+    rng = random.Random(longs)
+    asked = [rng.randrange(-(2**63), 2**63) for _ in range(300)] + [0, -1, 2**63 - 1, -(2**63)]
+    others = [rng.randrange(-(2**63), 2**63) for _ in range(2000)]
+    bits = seed_bits(spark.createDataFrame([(s,) for s in asked * 2], "seed long"), longs).scalar()
+    told = spark.createDataFrame([(s,) for s in asked + others], "seed long")
+    passed = {r.seed for r in told.where(may_be_asked(told["seed"], bits, longs)).collect()}
+    set_bits = {((s % 2**64) // 64 % longs, s % 64) for s in asked}
+    assert passed == {s for s in asked + others if ((s % 2**64) // 64 % longs, s % 64) in set_bits}
+    nothing = seed_bits(spark.createDataFrame([], "seed long"), longs).scalar()
+    assert told.where(may_be_asked(told["seed"], nothing, longs)).count() == 0
 
 
 def test_rejected_documents_go_with_all_their_rows(spark, item):

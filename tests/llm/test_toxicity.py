@@ -6,7 +6,19 @@ import zlib
 import numpy as np
 import pytest
 
-from loanlake.llm.toxicity import Model, fit, op4_toxicity, reject, score, swaps
+from loanlake.llm.toxicity import (
+    IDENTITY_TERMS,
+    RIDGE,
+    SENTENCE_END,
+    WORD,
+    Model,
+    features_of,
+    fit,
+    op4_toxicity,
+    reject,
+    score,
+    swaps,
+)
 
 WORDS = [f"{a}{b}" for a in "bcdfglmnprst" for b in ("ala", "eri", "ono", "ulu", "ite")]
 SCHEMA = "doc_id long, text string"
@@ -62,6 +74,52 @@ def test_swaps_of_a_sentence():
     assert swaps([], kinds) == []
 
 
+def plain_fit(examples, names, fairness, steps=400):
+    """Weights and bias by dense matrices, with one row for each swap of each sentence."""
+    at = {name: i for i, name in enumerate(names)}
+    x = np.zeros((len(examples), len(names) + 1))
+    x[:, -1] = 1
+    moves = []
+    terms = {term for kind in IDENTITY_TERMS for term in kind}
+    for row, (text, _) in enumerate(examples):
+        for word in WORD.findall(text.lower()):
+            for feature in features_of(word):
+                if feature in at:
+                    x[row, at[feature]] = 1
+        for sentence in SENTENCE_END.split(text.lower()):
+            here = sorted(terms & set(WORD.findall(sentence)))
+            for change in swaps([here] if here else [], IDENTITY_TERMS):
+                move = np.zeros(len(names) + 1)
+                for feature, by in change.items():
+                    if feature in at:
+                        move[at[feature]] = by
+                moves.append(move)
+    y, moves = np.array([toxic for _, toxic in examples], dtype=float), np.array(moves)
+    w = np.zeros(len(names) + 1)
+    w[-1] = np.log((y.sum() + 0.1) / (len(y) - y.sum() + 0.9))
+    ridge = np.append(np.full(len(names), RIDGE), 0)
+    mean, square = 0, 0
+    for step in range(1, steps + 1):
+        slope = x.T @ (1 / (1 + np.exp(-x @ w)) - y) / len(y) + ridge * w
+        slope += 2 * fairness * moves.T @ (moves @ w) / len(moves)
+        mean, square = 0.9 * mean + 0.1 * slope, 0.999 * square + 0.001 * slope**2
+        w = w - 0.05 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-9)
+    return w
+
+
+@pytest.mark.parametrize("fairness", [0.0, 20.0])
+def test_weights_against_a_plain_fit(biased, fairness):
+    docs, labels = biased
+    marks = {r.doc_id: r.toxic for r in labels.collect()}
+    rows = [(r.doc_id, r.text.replace(".", " ! Old women.") if r.doc_id % 9 == 0 else r.text) for r in docs.collect()]
+    model = fit(docs.sparkSession.createDataFrame(rows, SCHEMA), labels, fairness=fairness)
+    examples = [(text, marks[i]) for i, text in rows if zlib.crc32(str(i).encode()) % 5]
+    names = sorted(model.weights)
+    want = plain_fit(examples, names, fairness)
+    assert np.allclose([model.weights[name] for name in names], want[:-1], atol=1e-4)
+    assert abs(model.bias - want[-1]) < 1e-4
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     rows = op4_toxicity(spark, folder)
