@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from loanlake.schema import NULL_TOKENS, SOURCE_FILES
 
@@ -73,9 +74,10 @@ def scan_csv(
     they are parsed, so there is no second pass, but no column of the file can be
     skipped either.
 
-    ``order`` adds ``source_order``: file, start of the split and place in it,
-    numbered by the scan itself, so that rows can be put in the order of their files,
-    by name, after any shuffle. ``watch=False`` does not count lines.
+    ``order`` adds ``source_order``: place of the file among the files of ``path`` by
+    name, start of the split and place in it, numbered by the scan itself, so that the
+    rows of a scan can be put in the order of their files after any shuffle.
+    ``watch=False`` does not count lines.
     """
     if on_bad_rows not in POLICIES:
         raise ValueError(f"unknown policy for bad rows: {on_bad_rows}")
@@ -94,13 +96,12 @@ def scan_csv(
         columnNameOfCorruptRecord=_BAD,
         enforceSchema=not named,
     )
-    where = ["_metadata.file_path", "_metadata.file_block_start"]
     # Not a bare null test: the scan would evaluate that before it knows the line is bad.
     # The first column is read along, as a plan may not need the bad lines alone.
     first = F.col(f"`{names[0]}`")
     bad = F.coalesce(F.octet_length(_BAD) >= 0, F.octet_length(first) < 0, F.lit(False))
     rejects = parsed.where(bad).select(
-        F.col(where[0]).alias("file"),
+        F.col("_metadata.file_path").alias("file"),
         F.col(_BAD).alias("line"),
         F.lit(len(names)).alias("expected_fields"),
         field_count(F.col(_BAD)).alias("found_fields"),
@@ -112,12 +113,7 @@ def scan_csv(
         .otherwise("unreadable"),
     )
     found = Observation(f"csv-{uuid.uuid4().hex}")
-    place = F.struct(
-        F.col(where[0]).alias("file"),
-        F.col(where[1]).alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    kept = parsed.select("*", place.alias(ORDER)) if order else parsed
+    kept = numbered_rows(parsed, path) if order else parsed
     if watch:
         kept = kept.observe(found, F.count("*").alias("lines"), F.count_if(bad).alias("bad"))
     if on_bad_rows == "raise":
@@ -128,6 +124,28 @@ def scan_csv(
     return CsvScan(nulls_from_tokens(kept.drop(_BAD), null_tokens), rejects, found)
 
 
+def numbered_rows(scan: DataFrame, path: str) -> DataFrame:
+    """Rows of a file scan with ``source_order``, where a number stands for the file's name.
+
+    A path in every row would be most of what a task sorts. The files are listed, not
+    read, to number their names; that list, one row per file, is sent to all tasks.
+    """
+    listed = scan.sparkSession.read.format("binaryFile").load(path)
+    files = listed.select(F.col("_metadata.file_path").alias("_path"))
+    numbered = files.select("_path", F.row_number().over(W.orderBy("_path")).alias("_file"))
+    placed = scan.select(
+        "*",
+        F.col("_metadata.file_path").alias("_scanned"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    place = F.struct(
+        F.col("_file").alias("file"), F.col("_block").alias("block"), F.col("_row").alias("row")
+    )
+    joined = placed.join(F.broadcast(numbered), F.col("_scanned") == F.col("_path"), "left")
+    return joined.select(*[f"`{c}`" for c in scan.columns], place.alias(ORDER))
+
+
 def read_csv(spark: SparkSession, path: str, **options) -> DataFrame:
     """Rows of ``scan_csv``: a header, every column as text, types from declared contracts.
 

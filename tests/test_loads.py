@@ -282,3 +282,25 @@ def test_files_with_bad_lines_are_reported(spark, raw, tmp_path):
     assert [r.line for r in spark.read.parquet(f"{tmp_path}/rejects").collect()] == ["APP009,700"]
     with pytest.raises(PySparkException):
         pipeline.run_files(spark, str(source), files, on_bad_rows="raise", dry_run=True)
+
+
+def test_the_place_in_a_source_carries_no_path(spark, tmp_path):
+    folder = tmp_path / "a folder%20"
+    folder.mkdir()
+    names = ["b 1.csv", "b%201.csv", "a#x.csv", "c.csv", "part-10.csv", "part-9.csv"]
+    for n, name in enumerate(names):
+        # The later a file's name, the larger it is: Spark packs larger files first.
+        rows = "".join(f"{k},{n}\n" for k in range(5 + 40 * sorted(names).index(name)))
+        (folder / name).write_text("key,file\n" + rows)
+    rows = scan_csv(spark, str(folder), order=True, watch=False).rows
+    kinds = [f.dataType.simpleString() for f in rows.schema[ORDER].dataType]
+    assert rows.schema[ORDER].dataType.names == ["file", "block", "row"]
+    assert "string" not in kinds
+    told = [int(r.file) for r in rows.repartition(5).orderBy(ORDER).collect()]
+    by_name = sorted(range(len(names)), key=lambda n: names[n])
+    assert list(dict.fromkeys(told)) == by_name and len(told) == rows.count()
+    from loanlake.operators.rows import keep_one
+
+    first = {int(r.key): int(r.file) for r in keep_one(rows, "key").collect()}
+    sizes = {n: 5 + 40 * by_name.index(n) for n in by_name}
+    assert first == {k: next(n for n in by_name if k < sizes[n]) for k in range(max(sizes.values()))}
