@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from loanlake import schema
-from loanlake.functions.columns import rename_columns
+from loanlake.functions.columns import available, rename_columns
 from loanlake.functions.finance import credit_band, is_delinquent, is_future
 from loanlake.functions.parse import (
     ISO,
@@ -32,6 +32,7 @@ def clean_applications(
     *,
     date_formats: Iterable[str] = (ISO,),
     distinct: bool = True,
+    columns: Iterable[str] | None = None,
     dropped: Observation | None = None,
 ) -> DataFrame:
     """Names, exact copies, missing key, then dates, numbers and phones.
@@ -39,11 +40,15 @@ def clean_applications(
     Copies are compared as raw text, before anything is parsed; where the scan tells
     the place of a row in its source, the first of its copies gives it. Pass
     ``distinct=False`` where the consumer removes duplicates itself on fewer
-    columns, as the dimensions do: it saves the widest shuffle of all.
+    columns, as the dimensions do: it saves the widest shuffle of all. ``columns`` are
+    the only ones wanted of the distinct rows, the key among them.
     """
     df = rename_columns(raw)
+    wanted = None if columns is None else available(df, columns)
     if distinct:
-        df = distinct_rows(df)
+        df = distinct_rows(df, wanted)
+    elif wanted is not None:
+        df = df.select(*wanted)
     df = drop_missing(df, ["application_id"], dropped)
     df = parse_timestamps(df, schema.APPLICATION_DATES, date_formats)
     df = parse_numbers(df, schema.APPLICATION_NUMBERS)

@@ -13,11 +13,24 @@ from pyspark.sql import Window as W
 from loanlake.sources.files import ORDER
 
 
-def distinct_rows(df: DataFrame) -> DataFrame:
+#: Hex digits of a SHA-256 that stand for the columns a distinct does not carry.
+DIGEST_DIGITS = 32
+
+
+def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Whole rows once, NULL equal to NULL; copies collapse before the shuffle.
 
     Rows that tell their place in a source keep the first place of their copies.
+    ``columns`` are the only ones wanted of rows of text: of the others a digest of 128
+    bits is shuffled, so rows that differ in them alone still stay apart.
     """
+    if columns is not None:
+        others = [f"`{c}`" for c in df.columns if c not in (*columns, ORDER)]
+        placed = [c for c in (*columns, ORDER) if c in df.columns]
+        if others:
+            digest = F.substring(F.sha2(F.to_json(F.struct(*others)), 256), 1, DIGEST_DIGITS)
+            df = df.select(*[f"`{c}`" for c in placed], F.unhex(digest).alias("_others"))
+        return distinct_rows(df).select(*[f"`{c}`" for c in placed])
     if ORDER not in df.columns:
         return df.distinct()
     values = [c for c in df.columns if c != ORDER]

@@ -10,6 +10,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanlake import schema
 from loanlake.functions.ids import ID_LENGTH
 from loanlake.operators import clean, quality
 from loanlake.operators.joins import keyed_join
@@ -37,6 +38,7 @@ from loanlake.sources.tpch_lending import (
 
 AS_OF = "2000-01-01"
 SSN = ["applicant_ssn"]
+LOAN_COLUMNS = (*SSN, *schema.FACT_COLUMNS)
 
 
 class Lending:
@@ -68,6 +70,11 @@ class Lending:
     def application_rows(self) -> DataFrame:
         return clean.clean_applications(self.raw["loan_applications"], distinct=False)
 
+    @cached_property
+    def loan_rows(self) -> DataFrame:
+        """The columns of ``applications`` that loans are made of."""
+        return clean.clean_applications(self.raw["loan_applications"], columns=LOAN_COLUMNS)
+
     @cached_property
     def repayments(self) -> DataFrame:
         as_of = F.lit(AS_OF).cast("timestamp_ntz")
@@ -256,7 +263,7 @@ def _fresh(x: Lending, what: str) -> tuple[str, str]:
 
 def _read_and_drop(x: Lending, *names: str) -> list[DataFrame]:
     """What tables hold, kept as staged files, so that the catalogue is left as it was."""
-    read = [stage(read_table(x.spark, name), name) for name in names]
+    read = [stage(read_table(x.spark, name), name, compression=deltas.CODEC) for name in names]
     for name in names:
         x.spark.sql(f"DROP TABLE {name}")
     return read
@@ -441,16 +448,17 @@ def _mart_by_days(x: Lending) -> DataFrame:
     """The mart, made from the first day and refreshed for what the second has touched."""
     states, location = _fresh(x, "states")
     name = f"{states}_mart"
-    loans = stage(mart.stage_loans(x.fact_with_ssn, carry=SSN), "loans")
-    rows = stage(x.repayments, "repayments")
+    loans = mart.stage_loans(star.loan_fact(x.loan_rows, carry=SSN), carry=SSN)
+    loans = stage(loans, "loans", compression=deltas.CODEC)
+    rows = stage(x.repayments.select(*deltas.READ), "repayments", compression=deltas.CODEC)
     later = F.coalesce(F.expr(LATER), F.lit(False))
     for day, part in ((1, rows.where(~later)), (2, rows.where(later))):
         touched = deltas.apply_day(part, date(2024, 1, day), states, location=location)
         deltas.refresh_mart(
             loans, x.credit, states, name, touched, credit_key="applicant_ssn", location=location
         )
-    _, performance = _read_and_drop(x, states, name)
-    return performance.drop(deltas.BUCKET)
+    x.spark.sql(f"DROP TABLE {states}")
+    return _read_and_drop(x, name)[0].drop(deltas.BUCKET)
 
 
 def _cleaned_csv(x: Lending) -> DataFrame:

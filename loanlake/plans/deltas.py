@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,11 @@ BUCKET = "_bucket"
 BUCKETS_PROPERTY = "loanlake.buckets"
 #: Parts of a table that are rewritten as a whole; a table keeps the number it was made with.
 BUCKETS = 256
+#: Of the tables and of staged days, which are written anew with every load.
+CODEC = "zstd"
+#: Columns of the cleaned repayments that states are made of.
+READ = ("application_id", "amount_paid_usd", "repayment_date", "is_delinquent", "payment_status")
+_ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
@@ -67,19 +73,42 @@ def _merged(one: Column, other: Column) -> Column:
     return F.when(one.isNull(), other).when(other.isNull(), one).otherwise(both)
 
 
-def _rewrite(df: DataFrame, table: str, buckets: int, location: str | None, name: str) -> None:
-    """Replace the buckets that ``df`` has rows of; the others are not touched."""
+@contextmanager
+def met_by_bucket(spark: SparkSession) -> Iterator[None]:
+    """Sides of a join that are dealt out by bucket are joined as they lie.
+
+    By its usual setting Spark would deal them out anew by bucket and loan, and the
+    result would need another shuffle before it is written. The setting is put back.
+    """
+    kept = spark.conf.get(_ALL_KEYS)
+    spark.conf.set(_ALL_KEYS, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(_ALL_KEYS, kept)
+
+
+def _rewrite(
+    df: DataFrame, table: str, buckets: int, location: str | None, name: str, *, dealt: bool = True
+) -> None:
+    """Replace the buckets that ``df`` has rows of; the others are not touched.
+
+    ``df`` may read the table itself: new buckets take the place of old ones only when
+    all of them are written. Unless its rows are ``dealt`` out by bucket already, they
+    are shuffled for that.
+    """
     spark = df.sparkSession
-    dealt = df.hint("rebalance", F.col(BUCKET))
+    rows = df if dealt else df.hint("rebalance", F.col(BUCKET))
     if spark.catalog.tableExists(table):
         columns = [f"`{c}`" for c in spark.table(table).columns]
-        with dynamic_overwrite(spark):
-            dealt.select(*columns).write.insertInto(table, overwrite=True)
+        with dynamic_overwrite(spark), met_by_bucket(spark):
+            rows.select(*columns).write.insertInto(table, overwrite=True)
         return
-    writer = dealt.write.format("parquet").partitionBy(BUCKET)
+    writer = rows.write.format("parquet").option("compression", CODEC).partitionBy(BUCKET)
     if location:
         writer = writer.option("path", f"{location.rstrip('/')}/{name}")
-    writer.saveAsTable(table)
+    with met_by_bucket(spark):
+        writer.saveAsTable(table)
     set_properties(spark, table, {BUCKETS_PROPERTY: buckets})
 
 
@@ -110,26 +139,26 @@ def apply_day(
     """
     spark, table = repayments.sparkSession, full_name(name, database)
     buckets = _buckets_of(spark, table, buckets)
-    delta = stage(
-        loan_states(repayments).withColumn(BUCKET, bucket_of(F.col("application_id"), buckets)),
-        "day_states",
-    )
-    touched = delta.select(BUCKET)
+    delta = loan_states(repayments)
+    delta = delta.withColumn(BUCKET, bucket_of(F.col("application_id"), buckets))
     today = F.lit(day)
     fresh = {"state": F.col("added"), "before": F.lit(None).cast(delta.schema["added"].dataType)}
     if not spark.catalog.tableExists(table):
         rows = delta.withColumns(fresh).withColumn("day", today)
         _rewrite(rows.select("application_id", "state", "before", "day", BUCKET),
-                 table, buckets, location, name)
-        return sorted(r[0] for r in touched.distinct().collect())
+                 table, buckets, location, name, dealt=False)
+        return sorted(r[0] for r in spark.table(table).select(BUCKET).distinct().collect())
+    delta = stage(delta, "day_states", compression=CODEC)
+    touched = delta.select(BUCKET)
     held = spark.table(table)
     latest = held.agg(F.max("day")).first()[0]
     if latest is not None and latest > day:
         raise ValueError(f"{table} holds {latest}, which is after {day}")
     touched = touched.unionByName(held.where(F.col("day") == today).select(BUCKET))
     numbers = sorted(r[0] for r in touched.distinct().collect())
-    old = held.where(F.col(BUCKET).isin(numbers))
-    joined = old.join(delta, ["application_id", BUCKET], "full_outer")
+    # Both have one row per loan. Dealt out by bucket, they meet where they are written.
+    old = held.where(F.col(BUCKET).isin(numbers)).repartition(BUCKET)
+    joined = old.join(delta.repartition(BUCKET), [BUCKET, "application_id"], "full_outer")
     again = F.col("day") == today
     base = F.when(again, F.col("before")).otherwise(F.col("state"))
     moved = again | F.col("added").isNotNull()
@@ -140,8 +169,7 @@ def apply_day(
         F.when(moved, today).otherwise(F.col("day")).alias("day"),
         BUCKET,
     )
-    # The table cannot be overwritten while it is read.
-    _rewrite(stage(merged, "merged_states"), table, buckets, location, name)
+    _rewrite(merged, table, buckets, location, name)
     return numbers
 
 
@@ -189,8 +217,9 @@ def refresh_mart(
             return
         chosen = F.col(BUCKET).isin(list(touched))
         loans, held = loans.where(chosen), held.where(chosen)
-    rows = performance_of(loans.drop(BUCKET), summary_of(held), credit, credit_key=credit_key)
-    rows = rows.withColumn(BUCKET, bucket_of(F.col("application_id"), buckets))
+    summary = summary_of(held)
+    summary = summary.withColumn(BUCKET, bucket_of(F.col("application_id"), buckets))
+    rows = performance_of(loans, summary, credit, credit_key=credit_key, part=BUCKET)
     _rewrite(rows, table, buckets, location, name)
 
 

@@ -69,16 +69,26 @@ def performance_of(
     credit: DataFrame,
     *,
     credit_key: str = "application_id",
+    part: str | None = None,
 ) -> DataFrame:
-    """``loan_performance`` from repayments that are summarised already."""
+    """``loan_performance`` from repayments that are summarised already.
+
+    ``part`` names a column of loans and summary that follows from the loan alone, and
+    is kept: the two are dealt out by it before they meet, so the result can be written
+    by it without another shuffle.
+    """
     if credit_key not in ("applicant_ssn", "application_id"):
         raise ValueError(f"unknown credit key: {credit_key}")
     if credit_key not in staged_loans.columns:
         raise ValueError(f"matching by {credit_key} needs that column in the staged loans")
     profile = credit.select(credit_key, *select_typed(credit, schema.MART_CREDIT_TYPES))
     summary = summary.withColumnRenamed("has_defaulted", "_defaulted")
-    joined = keyed_join(staged_loans, summary, "application_id")
-    joined = keyed_join(joined, profile.where(F.col(credit_key).isNotNull()), credit_key)
+    # The bureau first: totals are not carried through the shuffle by its key.
+    joined = keyed_join(staged_loans, profile.where(F.col(credit_key).isNotNull()), credit_key)
+    parts = [] if part is None else [part]
+    if parts:
+        joined, summary = joined.repartition(*parts), summary.repartition(*parts)
+    joined = keyed_join(joined, summary, [*parts, "application_id"])
     amount = F.col("loan_amount_requested_usd")
     paid = or_zero(F.col("total_amount_paid_usd"))
     overdue = F.col("delinquent_payment_count")
@@ -104,6 +114,7 @@ def performance_of(
         "credit_utilization_pct",
         "delinquent_accounts",
         is_high_risk(overdue, F.col("credit_band")).alias("is_high_risk"),
+        *parts,
     )
 
 

@@ -38,13 +38,13 @@ def shared_dir(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` once, with the writer's ``options``, to the shared folder and read it back.
 
     Chosen over ``persist`` and ``checkpoint`` because several consumers each
     need a few columns: parquet gives them pruned scans, and losing an executor
     costs a re-read and not a recomputation of the whole plan.
     """
     path = f"{shared_dir(df.sparkSession)}/loanlake/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

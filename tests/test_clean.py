@@ -164,3 +164,26 @@ def test_legacy_dates_are_strict(spark):
     row[4] = "15/01/2024"
     df = text_frame(spark, LOAN_COLUMNS, [tuple(row)])
     assert clean.legacy_clean_applications(df).first().application_date is None
+
+
+def test_distinct_applications_with_the_wanted_columns_only(spark):
+    columns = ["application_id", "applicant_ssn", "Loan Type", "employer_name", "City"]
+    rows = [
+        ("A1", "S1", "Auto", "Mill", "Oslo"),
+        ("A1", "S1", "Auto", "Mill", "Oslo"),
+        ("A1", "S1", "Auto", "Mill", None),
+        ("A1", "S1", "Auto", None, "Mill"),
+        ("A1", "S1", "Auto", "", "Oslo"),
+        (None, "S2", "Auto", "Mill", "Oslo"),
+        ("A2", None, None, None, None),
+        ("A2", None, None, None, None),
+    ]
+    raw = text_frame(spark, columns, rows)
+    wanted = ["application_id", "applicant_ssn", "loan_type", "interest_rate"]
+    some = clean.clean_applications(raw, columns=wanted)
+    whole = clean.clean_applications(raw).select(*wanted[:3])
+    assert some.columns == wanted[:3]
+    assert sorted(map(repr, some.collect())) == sorted(map(repr, whole.collect()))
+    assert some.count() == 5
+    bare = clean.clean_applications(raw, columns=wanted, distinct=False)
+    assert bare.columns == wanted[:3] and bare.count() == 7

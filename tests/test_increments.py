@@ -3,10 +3,14 @@
 import random
 import uuid
 from datetime import date, datetime
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
+from pyspark.sql import functions as F
 
 from loanlake.plans import deltas, mart, registry, star
+from loanlake.session import shared_dir
 
 DAYS = [date(2024, 5, d) for d in (1, 2, 3)]
 REPAYMENTS = (
@@ -199,3 +203,47 @@ def test_only_touched_buckets_are_rewritten(spark, state_table):
         assert {b for b, _ in kept} == {b for b, _ in before[t]} - set(touched)
     full = mart.loan_performance(loans, repaid(spark, first + later), credit)
     assert summary(spark.table(table).drop(deltas.BUCKET)) == summary(full)
+
+
+def test_sides_of_a_refresh_meet_in_buckets(spark, state_table):
+    name, place = state_table
+    first, later = some_rows(5), some_rows(6)
+    keys = sorted({r[0] for r in first + later})
+    loans = spark.createDataFrame([(k, 5000.0) for k in keys], "application_id string, loan_amount_requested_usd double")
+    staged = mart.stage_loans(loans.selectExpr("*", "date'2024-05-01' as application_date"))
+    bucketed = staged.withColumn(deltas.BUCKET, deltas.bucket_of(F.col("application_id"), 8))
+    summary = mart.summarise_repayments(repaid(spark, first))
+    summary = summary.withColumn(deltas.BUCKET, deltas.bucket_of(F.col("application_id"), 8))
+    credit = spark.createDataFrame([("L1", 700.0)], "application_id string, credit_score double")
+    kept = {c: spark.conf.get(c) for c in (deltas._ALL_KEYS, "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with deltas.met_by_bucket(spark):
+            rows = mart.performance_of(bucketed, summary, credit, part=deltas.BUCKET)
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept["spark.sql.autoBroadcastJoinThreshold"])
+    assert {c: spark.conf.get(c) for c in kept} == kept
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # The uppermost shuffles, one for each side, deal by bucket alone; nothing follows them.
+    assert "hashpartitioning(_bucket" in exchanges[0] and "application_id" not in exchanges[0]
+    assert plan.index("SortMergeJoin") < plan.index("Exchange")
+    plain = mart.performance_of(staged, mart.summarise_repayments(repaid(spark, first)), credit)
+    assert summary_sorted(rows.drop(deltas.BUCKET)) == summary_sorted(plain)
+
+
+def summary_sorted(df):
+    return sorted(map(repr, df.collect()))
+
+
+def test_a_day_is_merged_in_place_without_a_copy_of_the_table(spark, state_table):
+    name, place = state_table
+    rows = some_rows(7), some_rows(8)
+    staged = Path(urlparse(shared_dir(spark)).path) / "loanlake"
+    before = set(staged.glob("*")) if staged.exists() else set()
+    for day, some in zip(DAYS, rows, strict=False):
+        deltas.apply_day(repaid(spark, some), day, name, **place)
+    new = {p.name.rsplit("-", 1)[0] for p in set(staged.glob("*")) - before}
+    assert new == {"day_states"}
+    both = mart.summarise_repayments(repaid(spark, rows[0] + rows[1]))
+    assert summary(deltas.summary_of(spark.table(name))) == summary(both)
