@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from loanlake.session import stage
 
@@ -18,6 +20,9 @@ ROWS_PER_BUCKET = 5_000
 SLICE_ROWS = 256
 #: Bytes that a row counts for beside its text where batches are balanced by bytes.
 ROW_BYTES = 64
+#: Bytes of an Arrow batch that an executor makes for a function.
+ARROW_BYTES = 1 << 21
+ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,6 +44,30 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return by_place(df).select(*[place(df, old).alias(new) for new, old in columns.items()])
 
 
+def size_in_bytes(setting: str) -> int:
+    """A size as Spark's settings spell it: ``4m``, ``67108864b`` or a plain number of bytes."""
+    number, unit = re.fullmatch(r"(\d+)([bkmgtp]?)b?", setting.strip().lower()).groups()
+    return int(number) << 10 * "bkmgtp".index(unit or "b")
+
+
+def map_batches(
+    df: DataFrame,
+    function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: StructType | str,
+) -> DataFrame:
+    """``df.mapInArrow``, fed with batches of about ``ARROW_BYTES`` however long the rows are.
+
+    Spark's own limits let a batch of texts grow to tens of megabytes, and every running
+    task holds it in the JVM, beyond the heap, and again in its Python worker. Only a row
+    that is longer makes a batch larger. Spark reads the limit when a job is planned, so
+    it is lowered for the whole session, and stays; a lower one is kept.
+    """
+    conf = df.sparkSession.conf
+    if size_in_bytes(conf.get(ARROW_LIMIT)) > ARROW_BYTES:
+        conf.set(ARROW_LIMIT, ARROW_BYTES)
+    return df.mapInArrow(function, schema)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The rows of Arrow batches a few at a time, so that what is made of them stays small."""
     for batch in batches:

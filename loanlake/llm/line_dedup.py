@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from loanlake.llm.common import by_place, pick, place, positions, slices, table
+from loanlake.llm.common import by_place, map_batches, pick, place, positions, slices, table
 from loanlake.session import stage
 
 #: A line of at most so many documents leads to all of its earlier documents at once.
@@ -139,7 +139,8 @@ def document_lines(docs: DataFrame) -> DataFrame:
             )
 
     rows = docs.select(F.struct("id", "text_hash").alias("doc"), "text")
-    found = rows.mapInArrow(
+    found = map_batches(
+        rows,
         split,
         f"doc struct<id:{kind},text_hash:bigint>, places array<int>, words array<int>, lines array<binary>",
     )
@@ -261,7 +262,8 @@ def shared_documents(lines: DataFrame, shared: DataFrame, rare: int, min_words:
                 names=["doc", "places", "words", "lines", "kind", "windows"],
             )
 
-    return lines.join(known, "doc").mapInArrow(
+    return map_batches(
+        lines.join(known, "doc"),
         mark,
         f"doc {schema}, places array<int>, words array<int>, lines array<binary>, kind binary, "
         "windows array<struct<window:binary,rarest:binary,inside:array<binary>,at:array<int>>>",
@@ -320,9 +322,8 @@ def window_holders(windows: DataFrame, holding: DataFrame, documents: DataFrame)
                 names=["window", "kind", "doc"],
             )
 
-    held = salted.join(documents.select("doc", "lines", "kind"), "doc").drop("_group").mapInArrow(
-        hold, f"window binary, kind binary, doc {schema}"
-    )
+    asked = salted.join(documents.select("doc", "lines", "kind"), "doc").drop("_group")
+    held = map_batches(asked, hold, f"window binary, kind binary, doc {schema}")
     return held.groupBy("window", "kind").agg(F.min("doc").alias("other")).drop("kind")
 
 
@@ -354,9 +355,8 @@ def deleted_by(pairs: DataFrame, documents: DataFrame, min_words: int) -> DataFr
                 [batch.column("doc"), pa.array(gone, pa.list_(pa.int32()))], names=["doc", "gone"]
             )
 
-    found = rows.select("doc", "places", "words", "lines", "other_lines").mapInArrow(
-        align, f"doc {schema}, gone array<int>"
-    )
+    both_lines = rows.select("doc", "places", "words", "lines", "other_lines")
+    found = map_batches(both_lines, align, f"doc {schema}, gone array<int>")
     return (
         found.where(F.size("gone") > 0)
         .groupBy("doc")
@@ -498,7 +498,7 @@ def delete_repeats(
     counted = [StructField("_deleted", IntegerType())] if deleted else []
     schema = StructType([*rows.schema.fields, *counted])
     names = [*docs.columns, deleted] if deleted else docs.columns
-    return joined.mapInArrow(shorten, schema).toDF(*names)
+    return map_batches(joined, shorten, schema).toDF(*names)
 
 
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:

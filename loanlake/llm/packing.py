@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm.common import by_bytes, pick, rank_within, table
+from loanlake.llm.common import by_bytes, map_batches, pick, rank_within, table
 from loanlake.llm.tokens import encoder, text_list, tokenizer_path
 from loanlake.session import stage
 
@@ -18,7 +17,7 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 CAPACITY = 1024
 #: Bytes of text that are encoded at a time.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 17
 
 
 def id_bytes(ids: list[int]) -> bytes:
@@ -31,22 +30,24 @@ def short_id_bytes(ids: list[int]) -> bytes:
     return np.array(ids, "<u2").tobytes()
 
 
+def wide_ids(ids: pa.Array) -> pa.Array:
+    """Ids of 16 bits, as ``short_id_bytes`` writes them, with 32 bits; no nulls."""
+    _, offsets, data = ids.buffers()
+    ends = np.frombuffer(offsets, np.int32)[ids.offset : ids.offset + len(ids) + 1]
+    wide = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view("<u2").astype("<u4")
+    moved = pa.py_buffer(((ends - ends[0]) * 2).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(ids), [None, moved, pa.py_buffer(wide)])
+
+
 def widened(pieces: DataFrame) -> DataFrame:
     """Pieces whose ``ids`` have 16 bits with the same ids in 32 bits."""
 
     def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index("ids")
-            ids = batch.column(at)
-            _, offsets, data = ids.buffers()
-            ends = np.frombuffer(offsets, np.int32)[ids.offset : ids.offset + len(ids) + 1]
-            wide = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view("<u2").astype("<u4")
-            moved = pa.py_buffer(((ends - ends[0]) * 2).astype(np.int32))
-            columns = list(batch.columns)
-            columns[at] = pa.Array.from_buffers(pa.binary(), len(ids), [None, moved, pa.py_buffer(wide)])
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            yield batch.set_column(at, "ids", wide_ids(batch.column(at)))
 
-    return pieces.mapInArrow(widen, pieces.schema)
+    return map_batches(pieces, widen, pieces.schema)
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -116,8 +117,8 @@ def tokenised_pieces(
                 done.append((current, b"".join([*held, end])))
             yield output(batch, done)
 
-    return rows.mapInArrow(
-        encoded, f"doc_id {kind}, piece int, start long, length long, ids binary"
+    return map_batches(
+        rows, encoded, f"doc_id {kind}, piece int, start long, length long, ids binary"
     )
 
 
@@ -173,15 +174,20 @@ def plan_slots(histogram: dict[int, int], capacity: int) -> list[tuple[int, int,
     return runs
 
 
-def pack(pieces: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataFrame:
+def pack(
+    pieces: DataFrame, order: list[str], capacity: int = CAPACITY, short: str | None = None
+) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces of 1 to ``capacity`` tokens in ``length``.
 
     Only the histogram, at most ``capacity`` counts, reaches the driver, and only
     the plan made from it goes to the tasks. Pieces then take the planned slots by
     their rank within their length, which ``rank_within`` spreads over tasks, so
     that a length which a third of all pieces have is no hot spot. ``order`` names
-    columns that tell pieces apart; any other columns are carried along. Give a
-    staged frame: it is read four times.
+    columns that tell pieces apart; any other columns are carried along. The column
+    ``short`` names, if any, has ids of 16 bits and gets them with 32: in the step that
+    tells the slots, since a task needs a Python worker for each step in Python, and
+    the workers stay with what they have loaded. Give a staged frame: it is read four
+    times.
     """
     histogram = {
         row["length"]: row["n"]
@@ -192,21 +198,27 @@ def pack(pieces: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataF
     longest = max(histogram.values(), default=0) + 1
     keys = runs[:, 0] * longest + runs[:, 1]
 
-    @F.pandas_udf("sequence_id long, offset long")
-    def slot(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        key = length.to_numpy() * longest + rank.to_numpy()
-        run = runs[np.searchsorted(keys, key, side="right") - 1]
-        within = rank.to_numpy() - run[:, 1]
-        return pd.DataFrame(
-            {
-                "sequence_id": run[:, 3] + within % run[:, 4],
-                "offset": run[:, 5] + within // run[:, 4] * run[:, 0],
-            }
-        )
+    def slot(*given: pa.Array) -> pa.Array:
+        length, rank = (column.to_numpy() for column in given[:2])
+        run = runs[np.searchsorted(keys, length * longest + rank, side="right") - 1]
+        within = rank - run[:, 1]
+        found = {
+            "sequence_id": pa.array(run[:, 3] + within % run[:, 4]),
+            "offset": pa.array(run[:, 5] + within // run[:, 4] * run[:, 0]),
+        }
+        if len(given) > 2:
+            found["ids"] = wide_ids(given[2])
+        return pa.StructArray.from_arrays(list(found.values()), names=list(found))
 
     ranked = rank_within(pieces, "length", order)
-    placed = ranked.withColumn("_slot", slot(F.col("length").cast("long"), F.col("rank")))
-    return placed.select(*pieces.columns, "_slot.sequence_id", "_slot.offset")
+    keyed = [F.col("length").cast("long"), F.col("rank")]
+    if short is None:
+        own = [F.col(name) for name in pieces.columns]
+        slots = F.arrow_udf(slot, "sequence_id long, offset long")(*keyed)
+    else:
+        own = [F.col("_slot.ids").alias(name) if name == short else F.col(name) for name in pieces.columns]
+        slots = F.arrow_udf(slot, "sequence_id long, offset long, ids binary")(*keyed, F.col(short))
+    return ranked.withColumn("_slot", slots).select(*own, "_slot.sequence_id", "_slot.offset")
 
 
 def packed_documents(docs: DataFrame, name: str = "pieces") -> DataFrame:
@@ -219,7 +231,7 @@ def packed_documents(docs: DataFrame, name: str = "pieces") -> DataFrame:
     Ranks need only a checksum of the ids.
     """
     pieces = tokenised_pieces(docs, short=True).withColumn("_tie", F.crc32("ids"))
-    return widened(pack(stage(pieces, name), ["doc_id", "piece", "_tie"]).drop("_tie"))
+    return pack(stage(pieces, name), ["doc_id", "piece", "_tie"], short="ids").drop("_tie")
 
 
 def sequences(placed: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm.common import by_place, pick, place, slices, table
+from loanlake.llm.common import by_place, map_batches, pick, place, slices, table
 from loanlake.llm.components import components
 from loanlake.session import stage
 
@@ -63,7 +63,7 @@ def fingerprints(
                 names=["doc_id", "text_hash", "fp"],
             )
 
-    return rows.mapInArrow(hashed, f"doc_id {kind}, text_hash long, fp long")
+    return map_batches(rows, hashed, f"doc_id {kind}, text_hash long, fp long")
 
 
 def rotated(fp: Column, by: Column | int) -> Column:

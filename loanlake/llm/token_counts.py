@@ -8,13 +8,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm.common import by_bytes, pick, table
+from loanlake.llm.common import by_bytes, map_batches, pick, table
 from loanlake.llm.tokens import encoder, text_list, tokenizer_path
 
 TOKENIZER = "byte_bpe_50k.json"
 MAX_TOKENS = 512
 #: Bytes of text that are encoded at a time.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 17
 
 
 def count_tokens(
@@ -44,7 +44,7 @@ def count_tokens(
             )
 
     sized = rows.withColumn("n_bytes", F.octet_length("text").cast("long"))
-    return sized.mapInArrow(lengths, f"doc_id {kind}, n_bytes long, n_tokens long")
+    return map_batches(sized, lengths, f"doc_id {kind}, n_bytes long, n_tokens long")
 
 
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:

@@ -24,8 +24,9 @@ import pyarrow as pa
 
 SAFE_CUT = re.compile(r"(?<=\S)(?= )")
 UNSAFE_SPACE = re.compile(r"\s ")
-#: Characters of text encoded at a time, and of the longest part of a text.
-BATCH_CHARS = 1 << 20
+#: Characters of text encoded at a time, which cost a worker many times their size, and of
+#: the longest part of a text.
+BATCH_CHARS = 1 << 17
 PART_CHARS = 1 << 18
 #: Pieces without these are encoded by ranks; both libraries agree on smaller code points.
 OTHER = re.compile("[\u0250-\U0010ffff]|<\\|")

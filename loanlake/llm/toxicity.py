@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm.common import by_place, pick, slices, table
+from loanlake.llm.common import by_place, map_batches, pick, slices, table
 from loanlake.session import stage
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -108,8 +108,8 @@ def distinct_features(rows: DataFrame, identity: tuple[tuple[str, ...], ...]) ->
                 names=["row", "toxic", "features", "mentions"],
             )
 
-    return rows.mapInArrow(
-        found, "row long, toxic int, features array<string>, mentions array<array<string>>"
+    return map_batches(
+        rows, found, "row long, toxic int, features array<string>, mentions array<array<string>>"
     )
 
 
@@ -226,7 +226,7 @@ def swap_sums(
             names=["a", "b", "total"],
         )
 
-    parts = texts.select("mentions").mapInArrow(added, "a int, b int, total long")
+    parts = map_batches(texts.select("mentions"), added, "a int, b int, total long")
     sums, swapped = np.zeros((len(names), len(names))), 0
     for row in parts.groupBy("a", "b").agg(F.sum("total").alias("total")).collect():
         if row["a"] < 0:
@@ -322,8 +322,8 @@ def collect_examples(
                 names=["row", "toxic", "found"],
             )
 
-    rows = texts.select("row", "toxic", "features").mapInArrow(
-        numbered, "row long, toxic int, found array<int>"
+    rows = map_batches(
+        texts.select("row", "toxic", "features"), numbered, "row long, toxic int, found array<int>"
     )
     told = rows.toArrow().sort_by("row")
     found = told.column("found")
@@ -353,7 +353,7 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
                 names=["doc_id", "score"],
             )
 
-    return rows.mapInArrow(scored, f"doc_id {kind}, score double")
+    return map_batches(rows, scored, f"doc_id {kind}, score double")
 
 
 def reject(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -369,7 +369,7 @@ def reject(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 pa.array([model.score(one.as_py() or "") < THRESHOLD for one in texts], pa.bool_())
             )
 
-    return rows.mapInArrow(clean, schema).toDF(*docs.columns)
+    return map_batches(rows, clean, schema).toDF(*docs.columns)
 
 
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,7 +11,14 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from loanlake.llm.common import ROW_BYTES, by_bytes
+from loanlake.llm.common import (
+    ARROW_BYTES,
+    ARROW_LIMIT,
+    ROW_BYTES,
+    by_bytes,
+    map_batches,
+    size_in_bytes,
+)
 from loanlake.llm.packing import (
     cut,
     op8_packing,
@@ -248,3 +255,60 @@ def test_short_ids_are_widened(spark, edge):
     wide = Counter((r.doc_id, r.start, bytes(r.ids)) for r in tokenised_pieces(docs).collect())
     short = widened(tokenised_pieces(docs, short=True).repartition(3))
     assert Counter((r.doc_id, r.start, bytes(r.ids)) for r in short.collect()) == wide
+
+
+def test_a_task_of_packing_runs_one_python_worker(spark, edge):
+    docs = spark.read.parquet(f"{edge}/documents.parquet")
+    plan = packed_documents(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(plan.count(node) for node in ("ArrowEvalPython", "MapInArrow", "PythonMapInArrow")) == 1
+
+
+def test_pieces_of_other_names_are_widened_in_their_slots(spark):
+    rows = [(i, 3 + i % 2, np.arange(3 + i % 2).astype("<u2").tobytes(), b"x") for i in range(50)]
+    frame = spark.createDataFrame(rows, "id long, length long, short binary, other binary").repartition(3)
+    placed = pack(frame, ["id"], 10, short="short").collect()
+    assert sorted(row["id"] for row in placed) == list(range(50))
+    for row in placed:
+        assert bytes(row["short"]) == np.arange(row["length"]).astype("<u4").tobytes()
+        assert bytes(row["other"]) == b"x"
+    check = {(row["id"], row["sequence_id"], row["offset"]) for row in pack(frame, ["id"], 10).collect()}
+    assert check == {(row["id"], row["sequence_id"], row["offset"]) for row in placed}
+
+
+def test_arrow_batches_are_bounded_by_bytes(spark):
+    before = spark.conf.get(ARROW_LIMIT)
+    texts = spark.range(0, 5000, 1, 1).selectExpr("id", "repeat('word ', 1000) AS text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([batch.num_rows], pa.int64()), pa.array([batch.nbytes], pa.int64())],
+                names=["rows", "bytes"],
+            )
+
+    try:
+        spark.conf.set(ARROW_LIMIT, "64m")
+        found = map_batches(texts, sizes, "rows long, bytes long").collect()
+        assert sum(row["rows"] for row in found) == 5000
+        assert max(row["bytes"] for row in found) < 2 * ARROW_BYTES
+        # A lower limit stays.
+        spark.conf.set(ARROW_LIMIT, "64k")
+        found = map_batches(texts.limit(500), sizes, "rows long, bytes long").collect()
+        assert max(row["bytes"] for row in found) < 1 << 17
+        assert spark.conf.get(ARROW_LIMIT) == "64k"
+    finally:
+        spark.conf.set(ARROW_LIMIT, before)
+
+
+def test_texts_reach_packing_in_bounded_batches(spark, edge):
+    before = spark.conf.get(ARROW_LIMIT)
+    try:
+        spark.conf.set(ARROW_LIMIT, "64m")
+        packed_documents(spark.read.parquet(f"{edge}/documents.parquet"))
+        assert size_in_bytes(spark.conf.get(ARROW_LIMIT)) == ARROW_BYTES
+    finally:
+        spark.conf.set(ARROW_LIMIT, before)
+
+
+def test_sizes_as_settings_spell_them():
+    assert [size_in_bytes(one) for one in ("64", "64b", "3k", "4MB", "1g")] == [64, 64, 3072, 4 << 20, 1 << 30]
